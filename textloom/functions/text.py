@@ -106,6 +106,11 @@ def shingles(tokens: Column, size: int = 5) -> Column:
     return F.when(F.size(tokens) >= size, F.array_distinct(runs)).otherwise(empty)
 
 
+def int_div(value: Column, divisor: Column | int) -> Column:
+    """Whole-number division, exact for the full bigint range."""
+    return F.call_function("div", value, divisor if isinstance(divisor, Column) else F.lit(divisor))
+
+
 def keep_last(values: Column, limit: int) -> Column:
     """The last ``limit`` items of an array."""
     return F.slice(values, F.greatest(F.size(values) - limit + 1, F.lit(1)), limit)
