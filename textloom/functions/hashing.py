@@ -136,17 +136,14 @@ def shingle_hashes(tokens: Column, size: int) -> Column:
     """Base hash of every word shingle; repeats are harmless because only minima are taken."""
     hashed = F.transform(
         F.sequence(F.lit(0), F.size(tokens) - size),
-        lambda i: base_hash(F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(size)])).cast("int"),
+        lambda i: base_hash(F.array_join(F.slice(tokens, i + 1, size), " ")).cast("int"),
     )
     return F.when(F.size(tokens) >= size, hashed).otherwise(F.array().cast("array<int>"))
 
 
-def equal_positions(left: Column, right: Column, permutations: int) -> Column:
-    """How many of the first ``permutations`` positions agree, as unrolled compiled comparisons."""
-    terms = [(F.get(left, F.lit(i)) == F.get(right, F.lit(i))).cast("int") for i in range(permutations)]
-    while len(terms) > 1:
-        terms = [sum(terms[i + 1 : i + 2], terms[i]) for i in range(0, len(terms), 2)]
-    return terms[0]
+def equal_positions(left: str, right: str, permutations: int) -> Column:
+    """How many positions of two signature columns agree, as unrolled compiled comparisons."""
+    return F.expr(" + ".join(f"int(get({left}, {i}) = get({right}, {i}))" for i in range(permutations)))
 
 
 def signature_similarity(left: Column, right: Column) -> Column:

@@ -4,10 +4,10 @@ A distinct piece is one row: its text as a string in which every symbol is a sin
 (``BASE`` plus the symbol's id), and its count. Counting pairs is a grouped sum over adjacent code
 points, and applying a merge is the built-in string ``replace``, so both stay in compiled code.
 
-Several merges are taken per round. They are the head of the pair ranking up to the first pair that
-shares a symbol with an earlier one. Merging disjoint pairs does not change each other's counts, and
-a pair created by a merge occurs at most as often as some pair that shares a symbol with it, so it
-cannot overtake pairs that occur strictly more often than the first one left out.
+Several merges are taken per round: the head of the pair ranking up to the first pair that can touch
+an earlier one. Merging ``(a, b)`` only changes pairs that end in ``a`` or start with ``b``. Every
+pair created by it stands in for one of those, hence is no more frequent than the first such pair
+in the ranking, and cannot overtake the pairs taken before that one is reached.
 """
 
 from __future__ import annotations
@@ -23,7 +23,15 @@ BASE = 0x10000
 # pairs looked at per round; fetched to the driver, hence bounded
 RANKED_PAIRS = 512
 # a table is written after this many merges, which bounds the length of the plan
-MERGES_PER_TABLE = 64
+MERGES_PER_TABLE = 32
+ROWS_PER_TASK = 20_000
+
+
+def _symbol_table(words: DataFrame) -> DataFrame:
+    """Write the pieces that still have pairs, in enough parts to use the cluster."""
+    table = materialize(words.filter(F.char_length("symbols") > 1), "symbols")
+    parts = min(table.count() // ROWS_PER_TASK, words.sparkSession.sparkContext.defaultParallelism)
+    return table if table.rdd.getNumPartitions() >= parts else materialize(table.repartition(parts), "symbols")
 
 
 def piece_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -78,27 +86,38 @@ def accept_merges(
     ranked: list[tuple[int, int, int]], vocab: dict[str, int], names: list[str], room: int, complete: bool
 ) -> list[tuple[int, int]]:
     """Pairs to merge in this round, from ``(left, right, count)`` in ranking order."""
-    used: set[int] = set()
+    heads: set[int] = set()
+    tails: set[int] = set()
     taken: list[tuple[int, int, int]] = []
-    bound = 0
+    bound = 0 if complete else ranked[-1][2]
     for left, right, count in ranked:
-        if left in used or right in used:
+        if right in heads or left in tails:
             bound = count
             break
         taken.append((left, right, count))
-        used.update((left, right))
-    else:
-        bound = 0 if complete else ranked[-1][2]
+        heads.add(left)
+        tails.add(right)
     out = []
     for left, right, count in taken[:room]:
         if out and count <= bound:
-            break
+            break  # a new pair could tie with this one
         out.append((left, right))
-        if names[left] + names[right] in vocab:
-            break  # an existing symbol gains occurrences: rank again
+        # doubled symbols and symbols that exist already can make pairs more frequent: rank again
+        if left == right or names[left] + names[right] in vocab:
+            break
     return out
 
 
+def apply_merges(symbols: str, merges: list[tuple[str, str]]) -> Column:
+    """Replace each ``(pair, symbol)`` in turn.
+
+    Written as a fold over a constant so that every round compiles to the same code.
+    """
+    table = ", ".join(f"('{pair}', '{new}')" for pair, new in merges)
+    rule = "(text, m) -> replace(text, m.col1, m.col2)"
+    return F.expr(f"aggregate(array({table}), {symbols}, {rule})")
+
+
 def train(
     docs: DataFrame,
     cfg: TokenizerConfig = TokenizerConfig(),
@@ -114,9 +133,9 @@ def train(
     source = "".join(chr(b) for b in alphabet)
     target = "".join(chr(BASE + vocab[symbols[b]]) for b in alphabet)
     start = F.translate(byte_string(F.col("piece")), source, target) if alphabet else F.col("piece")
-    words = materialize(counts.select(start.alias("symbols"), "n").filter(F.char_length("symbols") > 1), "symbols")
+    table = words = _symbol_table(counts.select(start.alias("symbols"), "n"))
     merges: list[tuple[str, str]] = []
-    pending = 0
+    pending: list[tuple[str, str]] = []
     while len(vocab) < cfg.vocab_size:
         top = (
             pair_counts(words)
@@ -130,18 +149,15 @@ def train(
         ranked = [(ord(r.pair[0]) - BASE, ord(r.pair[1]) - BASE, r.n) for r in top]
         room = cfg.vocab_size - len(vocab)
         accepted = accept_merges(ranked, vocab, names, room, len(top) < RANKED_PAIRS)
-        merged = F.col("symbols")
         for left, right in accepted:
             token = names[left] + names[right]
             merges.append((names[left], names[right]))
             if token not in vocab:
                 vocab[token] = len(names)
                 names.append(token)
-            pair = chr(BASE + left) + chr(BASE + right)
-            merged = F.replace(merged, F.lit(pair), F.lit(chr(BASE + vocab[token])))
-        words = words.withColumn("symbols", merged)
-        pending += len(accepted)
-        if pending >= MERGES_PER_TABLE:
-            words = materialize(words.filter(F.char_length("symbols") > 1), "symbols")
-            pending = 0
+            pending.append((chr(BASE + left) + chr(BASE + right), chr(BASE + vocab[token])))
+        words = table.withColumn("symbols", apply_merges("symbols", pending))
+        if len(pending) >= MERGES_PER_TABLE:
+            table = words = _symbol_table(words)
+            pending = []
     return Tokenizer(vocab, merges, {t: vocab[t] for t in special.ordered()}, special)

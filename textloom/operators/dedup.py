@@ -56,26 +56,23 @@ def band_slices(sig: Column, cfg: DedupConfig) -> Column:
     )
 
 
-def band_buckets(sig: Column, cfg: DedupConfig, bands: int | None = None) -> Column:
-    """Bucket number of each of the first ``bands`` bands."""
-    rows = band_rows(cfg)
-    return F.array(
-        *[F.xxhash64(F.lit(b), F.slice(sig, b * rows + 1, rows)) for b in range(bands or cfg.bands)]
-    )
+def _band_key(sig: str, band: int, rows: int) -> str:
+    return f"slice({sig}, {band * rows + 1}, {rows})"
 
 
-def shares_band(left: Column, right: Column, cfg: DedupConfig) -> Column:
+def band_buckets(sig: str, cfg: DedupConfig, bands: int | None = None) -> Column:
+    """Bucket number of each of the first ``bands`` bands of a signature column."""
     rows = band_rows(cfg)
-    return F.exists(
-        F.sequence(F.lit(0), F.lit(cfg.bands - 1)),
-        lambda b: F.slice(left, b * rows + 1, rows) == F.slice(right, b * rows + 1, rows),
-    )
+    keys = (f"xxhash64({b}, {_band_key(sig, b, rows)})" for b in range(bands or cfg.bands))
+    return F.expr(f"array({', '.join(keys)})")
 
 
-def is_near_duplicate(left: Column, right: Column, cfg: DedupConfig) -> Column:
+def is_near_duplicate(left: str, right: str, cfg: DedupConfig) -> Column:
     """Similarity at or above the threshold, among pairs that share a band."""
+    rows = band_rows(cfg)
+    shared = (f"{_band_key(left, b, rows)} = {_band_key(right, b, rows)}" for b in range(cfg.bands))
     similar = hashing.equal_positions(left, right, cfg.permutations) >= min_equal_positions(cfg)
-    return similar & shares_band(left, right, cfg)
+    return similar & F.expr(" or ".join(shared))
 
 
 def signatures(docs: DataFrame, cfg: DedupConfig = DedupConfig(), family: str = "affine") -> DataFrame:
@@ -96,7 +93,7 @@ def leader_pairs(signed: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFra
     This is the star-shaped part of the candidate relation: linear in the documents, where all
     pairs of a bucket would be quadratic in its size.
     """
-    members = signed.select("doc_id", "sig", F.explode(band_buckets(F.col("sig"), cfg)).alias("bucket"))
+    members = signed.select("doc_id", "sig", F.explode(band_buckets("sig", cfg)).alias("bucket"))
     first = materialize(
         members.groupBy("bucket").agg(
             F.min_by("sig", "doc_id").alias("leader_sig"),
@@ -108,7 +105,7 @@ def leader_pairs(signed: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFra
     hot = hot_keys(first, "bucket")
     first = first.filter("n > 1").drop("n")
     pairs = skew_join(members, first, "bucket", hot, condition=F.col("leader_id") < F.col("doc_id"))
-    similarity = hashing.equal_positions(F.col("leader_sig"), F.col("sig"), cfg.permutations) / cfg.permutations
+    similarity = hashing.equal_positions("leader_sig", "sig", cfg.permutations) / cfg.permutations
     return pairs.select("leader_id", "doc_id", similarity.alias("similarity")).distinct()
 
 
@@ -141,7 +138,7 @@ def first_kept_wins(
 
 def _prefix_members(reps: DataFrame, cfg: DedupConfig, hot_rows: int) -> DataFrame | None:
     """(bucket, id, sig) for the rarest bands of each document that meet another document."""
-    bands = reps.select("id", F.explode(band_buckets(F.col("sig"), cfg)).alias("bucket"))
+    bands = reps.select("id", F.explode(band_buckets("sig", cfg)).alias("bucket"))
     sizes = materialize(key_sizes(bands, "bucket").filter("n > 1"), "sizes")
     met = skew_join(bands, sizes, "bucket", hot_keys(sizes, "bucket", min_rows=hot_rows))
     prefix = cfg.bands - shared_bands(cfg) + 1
@@ -179,7 +176,7 @@ def _round(
         )
         probed = materialize(probed, "probes")
     earlier = F.col("probe") < F.col("id")
-    similar = is_near_duplicate(F.col("probe_sig"), F.col("sig"), cfg)
+    similar = is_near_duplicate("probe_sig", "sig", cfg)
     pairs = skew_join(members, probed, "bucket", hot, condition=earlier & similar)
     edges = materialize(pairs.select("probe", "id").distinct(), "edges")
     if all_small:
