@@ -10,9 +10,18 @@ from textloom.functions.text import int_div
 from textloom.operators.ordering import running_total
 
 
-def token_offsets(docs: DataFrame, order: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """Add ``offset``: the number of tokens in all earlier documents."""
-    return running_total(docs, order, F.size(tokens))
+def token_offsets(lengths: DataFrame, order: str = "doc_id") -> DataFrame:
+    """Add ``offset``, the tokens in all earlier documents, to (order, n_tokens) rows."""
+    return running_total(lengths, order, F.col("n_tokens"))
+
+
+def sequence_count(offsets: DataFrame, seq_len: int, max_sequences: int | None = None) -> int:
+    """Full sequences to write. A limit takes effect after the document that reaches it."""
+    end = F.col("offset") + F.col("n_tokens")
+    total = F.max(end)
+    if max_sequences:
+        total = F.coalesce(F.min(F.when(int_div(end, seq_len) >= max_sequences, end)), total)
+    return (offsets.agg(total).first()[0] or 0) // seq_len
 
 
 def pack(
@@ -21,32 +30,32 @@ def pack(
     order: str = "doc_id",
     tokens: str = "tokens",
     max_sequences: int | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """(seq_id, tokens): the concatenated documents cut every ``seq_len`` tokens.
 
     Documents may span sequences and a short tail is discarded. With ``max_sequences`` packing
     stops after the document that reaches that number, so a few more sequences may come out.
-    ``docs`` should be a table.
+    ``offsets`` holds (order, n_tokens, offset) of the documents to pack; those of all ``docs`` by
+    default. Only these narrow rows are put in order: the token arrays are shuffled once to meet
+    their offset, and once more as slices to meet the other slices of their sequence.
     """
-    placed = token_offsets(docs, order, tokens).filter(F.size(tokens) > 0)
-    end = F.col("offset") + F.size(tokens)
-    total = F.sum(F.size(tokens))
-    if max_sequences:
-        reached = F.min(F.when(int_div(end, seq_len) >= max_sequences, end))
-        total = F.coalesce(reached, total)
-    stop = (placed.agg(total).first()[0] or 0) // seq_len
+    if offsets is None:
+        offsets = token_offsets(docs.select(order, F.size(tokens).cast("bigint").alias("n_tokens")), order)
+    count = sequence_count(offsets, seq_len, max_sequences)
+    placed = docs.select(order, F.col(tokens).alias("tokens")).join(offsets.filter("n_tokens > 0"), order)
     first = int_div(F.col("offset"), seq_len)
-    last = int_div(end - 1, seq_len)
+    last = int_div(F.col("offset") + F.col("n_tokens") - 1, seq_len)
     # one row per document and sequence, holding only the slice that belongs there
     parts = (
-        placed.select("offset", tokens, F.explode(F.sequence(first, last)).alias("seq_id"))
-        .filter(F.col("seq_id") < F.lit(stop))
+        placed.select("offset", "n_tokens", "tokens", F.explode(F.sequence(first, last)).alias("seq_id"))
+        .filter(F.col("seq_id") < F.lit(count))
         .withColumn("from", F.greatest(F.col("seq_id") * seq_len - F.col("offset"), F.lit(0)).cast("int"))
-        .withColumn("upto", F.least((F.col("seq_id") + 1) * seq_len - F.col("offset"), F.size(tokens)).cast("int"))
+        .withColumn("upto", F.least((F.col("seq_id") + 1) * seq_len - F.col("offset"), "n_tokens").cast("int"))
         .select(
             "seq_id",
             (F.col("offset") + F.col("from")).alias("at"),
-            F.slice(tokens, F.col("from") + 1, F.col("upto") - F.col("from")).alias("part"),
+            F.slice("tokens", F.col("from") + 1, F.col("upto") - F.col("from")).alias("part"),
         )
     )
     # at most seq_len slices per group, since every slice holds a token
@@ -60,19 +69,32 @@ def split_of(seq_id: Column, val_fraction: float, seed: int) -> Column:
     return F.when(draw < F.lit(round(val_fraction * 1_000_000)), F.lit("val")).otherwise(F.lit("train"))
 
 
-def assign_shards(
-    sequences: DataFrame, shard_sequences: int, val_fraction: float = 0.05, seed: int = 1337
+def place_sequences(
+    ids: DataFrame, shard_sequences: int, val_fraction: float = 0.05, seed: int = 1337
 ) -> DataFrame:
-    """Add ``split``, ``shard_id`` and ``seq_in_shard``; validation shards are a quarter the size."""
-    split = sequences.withColumn("split", split_of(F.col("seq_id"), val_fraction, seed))
+    """(seq_id, split, shard_id, seq_in_shard); validation shards are a quarter the size."""
+    split = ids.select("seq_id", split_of(F.col("seq_id"), val_fraction, seed).alias("split"))
     numbered = running_total(split, "seq_id", by=["split"], out="_n")
     size = F.when(F.col("split") == "val", F.lit(max(1, shard_sequences // 4))).otherwise(F.lit(shard_sequences))
-    return (
-        numbered.withColumn("shard_id", int_div(F.col("_n"), size))
-        .withColumn("seq_in_shard", F.col("_n") % size)
-        .drop("_n")
+    return numbered.select(
+        "seq_id", "split", int_div(F.col("_n"), size).alias("shard_id"), (F.col("_n") % size).alias("seq_in_shard")
     )
 
 
+def assign_shards(
+    sequences: DataFrame,
+    shard_sequences: int,
+    val_fraction: float = 0.05,
+    seed: int = 1337,
+    ids: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``split``, ``shard_id`` and ``seq_in_shard``.
+
+    ``ids`` are the sequence ids when they are known without computing the sequences.
+    """
+    places = place_sequences(sequences if ids is None else ids, shard_sequences, val_fraction, seed)
+    return sequences.join(places, "seq_id")
+
+
 def shard_statistics(placed: DataFrame) -> DataFrame:
     return placed.groupBy("split", "shard_id").agg(F.count(F.lit(1)).alias("sequences"))
