@@ -62,9 +62,9 @@ def test_filters_prune_files(written):
 
     path, _ = written
     reader = TokenShardReader(path, "train", 8)
-    assert len(reader.partitions()) > 1
+    assert sum(len(task.ranges) for task in reader.partitions()) > 1
     list(reader.pushFilters([EqualTo(("global_idx",), 13)]))
-    (only,) = reader.partitions()
+    ((only,),) = [task.ranges for task in reader.partitions()]
     assert (only.shard_idx, only.first_local, only.count) == (1, 1, 1)
 
 

@@ -539,7 +539,7 @@ def evaluation_report(spark, sf_dir):
     path = new_table_path(spark, "report")
     records = scores.evaluation_report("model-a", eval_reports(spark, sf_dir), ppl, EVAL)
     reports.write_report(records, path)
-    back = spark.read.option("wholetext", True).text(path)
+    back = spark.read.text(path, wholetext=True)
     one = F.explode(F.split("value", r"(?<=\n\})\n"))
     rows = back.select(one.alias("value")).filter(F.length(F.trim("value")) > 0)
     number = lambda p: F.round(F.get_json_object("value", p).cast("double"), 6)

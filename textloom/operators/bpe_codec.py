@@ -156,14 +156,11 @@ def merge_piece(symbols: list, ranks: dict) -> list:
     return [s for s in symbols if s is not None]
 
 
-def piece_encoder(tokenizer: Tokenizer):
+def piece_encoder(vocab: dict, merges: list, special: dict, unknown: int | None):
     """A function from piece to ids that remembers up to ``MEMO_PIECES`` pieces."""
-    symbols = byte_symbols()
-    unknown = tokenizer.id_of(tokenizer.roles.unk)
-    byte_ids = [tokenizer.vocab.get(s, unknown) for s in symbols]
-    vocab = tokenizer.vocab
-    ranks = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(tokenizer.merges)))}
-    fixed = {token: [i] for token, i in tokenizer.special.items()}
+    byte_ids = [vocab.get(s, unknown) for s in byte_symbols()]
+    ranks = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(merges)))}
+    fixed = {token: [i] for token, i in special.items()}
     memo: dict[str, list[int]] = dict(fixed)
 
     def encode(piece: str) -> list[int]:
@@ -202,8 +199,9 @@ def _ids_of_pieces(column: pa.Array, encode) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _broadcast(tokenizer: Tokenizer):
-    """One copy of the tokenizer per executor; its size is bounded by the vocabulary."""
-    return SparkSession.active().sparkContext.broadcast(tokenizer)
+    """One copy of the tables per executor; their size is bounded by the vocabulary."""
+    tables = (tokenizer.vocab, tokenizer.merges, tokenizer.special, tokenizer.id_of(tokenizer.roles.unk))
+    return SparkSession.active().sparkContext.broadcast(tables)
 
 
 def encode_pieces(piece_array: Column, tokenizer: Tokenizer) -> Column:
@@ -214,7 +212,7 @@ def encode_pieces(piece_array: Column, tokenizer: Tokenizer) -> Column:
     @F.arrow_udf("array<int>")
     def ids(column: pa.Array) -> pa.Array:
         if "encode" not in cache:
-            cache["encode"] = piece_encoder(shared.value)
+            cache["encode"] = piece_encoder(*shared.value)
         offsets, lengths, values = _ids_of_pieces(column, cache["encode"])
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), pa.array(values))
@@ -230,7 +228,7 @@ def encode_pieces_nested(piece_array: Column, tokenizer: Tokenizer) -> Column:
     @F.arrow_udf("array<array<int>>")
     def ids(column: pa.Array) -> pa.Array:
         if "encode" not in cache:
-            cache["encode"] = piece_encoder(shared.value)
+            cache["encode"] = piece_encoder(*shared.value)
         offsets, lengths, values = _ids_of_pieces(column, cache["encode"])
         ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         inner = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
@@ -250,11 +248,11 @@ def decode(ids: Column, tokenizer: Tokenizer, skip_special: bool = True) -> Colu
 
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
-        model = shared.value
+        vocab, _, special, _ = shared.value
         byte_of = {s: b for b, s in enumerate(byte_symbols())}
         by_id = {}
-        for token, i in model.vocab.items():
-            hidden = skip_special and token in model.special
+        for token, i in vocab.items():
+            hidden = skip_special and token in special
             by_id[i] = b"" if hidden else bytes(byte_of[c] for c in token)
         rows = column.to_pylist()
         return pa.array(

@@ -45,11 +45,11 @@ def encode_chat(df: DataFrame, tokenizer: Tokenizer, max_seq_len: int, messages:
     first_id = [_int_array(tokenizer.bos_id)] if has_bos else []
     first_label = [_int_array(IGNORE_LABEL)] if has_bos else []
     last = [_int_array(tokenizer.eos_id)] if has_eos else []
-    return encoded.select(
-        *keep,
+    example = F.struct(
         F.slice(F.concat(*first_id, F.flatten("_ids"), *last), 1, max_seq_len).alias("input_ids"),
         F.slice(F.concat(*first_label, F.flatten(labels), *last), 1, max_seq_len).alias("labels"),
     )
+    return encoded.select(*keep, F.inline(F.array(example)))
 
 
 def number_batches(df: DataFrame, order: str, batch_size: int, out: str = "batch_id") -> DataFrame:

@@ -62,7 +62,9 @@ def _list_shards(path: str, split: str | None) -> list[tuple[str, str, int]]:
 
 
 @dataclass
-class ShardRange(InputPartition):
+class ShardRange:
+    """Consecutive sequences of one file."""
+
     split: str
     file: str
     shard_idx: int
@@ -71,6 +73,13 @@ class ShardRange(InputPartition):
     count: int
 
 
+@dataclass
+class ShardTask(InputPartition):
+    """What one task reads: part of a large file, or several small files."""
+
+    ranges: list[ShardRange]
+
+
 class TokenShardReader(DataSourceReader):
     def __init__(self, path: str, split: str | None, seq_len: int) -> None:
         self.path, self.split, self.seq_len = path, split, seq_len
@@ -115,7 +124,8 @@ class TokenShardReader(DataSourceReader):
         if not shards:
             raise FileNotFoundError(f"no {self.split or '*'}_*.bin shards in {self.path}")
         step = max(1, TASK_TOKENS // self.seq_len)
-        plan: list[InputPartition] = []
+        plan: list[ShardTask] = []
+        room = 0
         prior: dict[str, int] = {}
         index: dict[str, int] = {}
         for split, file, tokens in shards:
@@ -127,28 +137,35 @@ class TokenShardReader(DataSourceReader):
             start = max(0, self.low - base)
             stop = count if self.high is None else min(count, self.high - base)
             for first in range(start, stop, step):
-                plan.append(ShardRange(split, file, shard_idx, first, base + first, min(step, stop - first)))
+                rows = min(step, stop - first)
+                if rows > room:
+                    plan.append(ShardTask([]))
+                    room = step
+                plan[-1].ranges.append(ShardRange(split, file, shard_idx, first, base + first, rows))
+                room -= rows
         return plan
 
-    def read(self, partition: ShardRange) -> Iterator[pa.RecordBatch]:
-        if partition is None or not isinstance(partition, ShardRange):
-            return
+    def read(self, partition: ShardTask) -> Iterator[pa.RecordBatch]:
         fs, _ = _filesystem(self.path)
+        for part in partition.ranges if isinstance(partition, ShardTask) else []:
+            yield from self._read_range(fs, part)
+
+    def _read_range(self, fs: pafs.FileSystem, part: ShardRange) -> Iterator[pa.RecordBatch]:
         length = self.seq_len
         step = max(1, BATCH_TOKENS // length)
-        with fs.open_input_file(partition.file) as source:
-            source.seek(partition.first_local * length * 2)
-            for done in range(0, partition.count, step):
-                rows = min(step, partition.count - done)
+        with fs.open_input_file(part.file) as source:
+            source.seek(part.first_local * length * 2)
+            for done in range(0, part.count, step):
+                rows = min(step, part.count - done)
                 data = np.frombuffer(source.read(rows * length * 2), dtype="<u2").astype(np.int32)
                 offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * length)
                 counter = np.arange(done, done + rows, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([partition.split] * rows, pa.string()),
-                        pa.array(np.full(rows, partition.shard_idx, np.int32)),
-                        pa.array(partition.first_local + counter),
-                        pa.array(partition.first_global + counter),
+                        pa.array([part.split] * rows, pa.string()),
+                        pa.array(np.full(rows, part.shard_idx, np.int32)),
+                        pa.array(part.first_local + counter),
+                        pa.array(part.first_global + counter),
                         pa.ListArray.from_arrays(offsets, pa.array(data)),
                     ],
                     names=["split", "shard_idx", "local_idx", "global_idx", "tokens"],
