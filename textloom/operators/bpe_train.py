@@ -25,13 +25,14 @@ RANKED_PAIRS = 512
 # a table is written after this many merges, which bounds the length of the plan
 MERGES_PER_TABLE = 32
 ROWS_PER_TASK = 20_000
+# longer pieces are cut into an array first, so that taking all pairs stays linear
+SHORT_PIECE = 48
 
 
-def _symbol_table(words: DataFrame) -> DataFrame:
-    """Write the pieces that still have pairs, in enough parts to use the cluster."""
-    table = materialize(words.filter(F.char_length("symbols") > 1), "symbols")
-    parts = min(table.count() // ROWS_PER_TASK, words.sparkSession.sparkContext.defaultParallelism)
-    return table if table.rdd.getNumPartitions() >= parts else materialize(table.repartition(parts), "symbols")
+def _symbol_table(words: DataFrame, parts: int | None = None) -> DataFrame:
+    """Write the pieces that still have pairs; ``parts`` spreads them over the cluster."""
+    words = words.filter(F.char_length("symbols") > 1)
+    return materialize(words if parts is None else words.repartition(parts), "symbols")
 
 
 def piece_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -69,17 +70,19 @@ def initial_vocab(alphabet: list[int], special: SpecialTokens = SpecialTokens())
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """(pair, n): total count of every two adjacent symbols."""
-    chars = F.col("chars")
-    split = words.select("n", F.explode(F.array(code_points(F.col("symbols")))).alias("chars"))
-    adjacent = F.transform(
-        F.sequence(F.lit(0), F.size(chars) - 2), lambda i: F.concat(F.get(chars, i), F.get(chars, i + 1))
+    # SQL text: this is rebuilt in every round, and building it call by call would take longer
+    short = words.filter(f"char_length(symbols) between 2 and {SHORT_PIECE}").selectExpr(
+        "n",
+        "explode(transform(sequence(1, char_length(symbols) - 1), i -> substring(symbols, i, 2))) as pair",
     )
-    return (
-        split.filter(F.size(chars) >= 2)
-        .select("n", F.explode(adjacent).alias("pair"))
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
+    cut = words.filter(f"char_length(symbols) > {SHORT_PIECE}").selectExpr(
+        "n", "explode(array(regexp_extract_all(symbols, '(?s).', 0))) as chars"
+    )
+    long = cut.selectExpr(
+        "n",
+        "explode(transform(sequence(0, size(chars) - 2), i -> concat(get(chars, i), get(chars, i + 1)))) as pair",
     )
+    return short.unionByName(long).groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def accept_merges(
@@ -133,7 +136,8 @@ def train(
     source = "".join(chr(b) for b in alphabet)
     target = "".join(chr(BASE + vocab[symbols[b]]) for b in alphabet)
     start = F.translate(byte_string(F.col("piece")), source, target) if alphabet else F.col("piece")
-    table = words = _symbol_table(counts.select(start.alias("symbols"), "n"))
+    parts = min(counts.count() // ROWS_PER_TASK + 1, docs.sparkSession.sparkContext.defaultParallelism)
+    table = words = _symbol_table(counts.select(start.alias("symbols"), "n"), parts)
     merges: list[tuple[str, str]] = []
     pending: list[tuple[str, str]] = []
     while len(vocab) < cfg.vocab_size:
