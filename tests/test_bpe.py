@@ -7,7 +7,7 @@ from textloom.config import TokenizerConfig
 from textloom.functions.text import keep_last
 from textloom.operators import bpe_codec, bpe_train
 
-VOCAB = 400
+VOCAB = 340
 
 
 @pytest.fixture(scope="module")
@@ -113,13 +113,13 @@ def test_batched_merges_equal_one_at_a_time(spark, seed):
     rng = random.Random(seed)
     texts = [" ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))) for _ in range(12)) for _ in range(15)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    model = bpe_train.train(df, TokenizerConfig(vocab_size=60))
+    model = bpe_train.train(df, TokenizerConfig(vocab_size=40))
     counts = {r.piece: r.n for r in bpe_train.piece_counts(df).collect()}
     symbols = bpe_codec.byte_symbols()
     vocab = bpe_train.initial_vocab(bpe_train.byte_alphabet(bpe_train.piece_counts(df)))
     names = list(vocab)
     words = [([vocab[symbols[b]] for b in p.encode()], n) for p, n in counts.items()]
-    assert model.merges == one_at_a_time(words, 0, names, vocab, 60)
+    assert model.merges == one_at_a_time(words, 0, names, vocab, 40)
 
 
 def test_keep_last(spark):

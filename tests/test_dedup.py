@@ -84,12 +84,10 @@ def test_unlike_documents_in_one_hot_bucket(spark):
     rng = random.Random(7)
     cfg = DedupConfig()
     shared = [rng.randrange(10**6) for _ in range(32)]
-    sigs = [shared + [rng.randrange(10**6) for _ in range(32)] for _ in range(40)]
-    sigs += [changed(sigs[i], rng.sample(range(64), 6), rng) for i in range(10)]
+    sigs = [shared + [rng.randrange(10**6) for _ in range(32)] for _ in range(20)]
+    sigs += [changed(sigs[i], rng.sample(range(64), 6), rng) for i in range(5)]
     rows = list(enumerate(sigs))
-    for small_bucket in (2, 64):
-        got = kept_ids(spark, rows, cfg, small_bucket=small_bucket, hot_rows=5)
-        assert got == one_by_one(rows, cfg)
+    assert kept_ids(spark, rows, cfg, small_bucket=2, hot_rows=5) == one_by_one(rows, cfg)
 
 
 @pytest.mark.parametrize("cfg", [DedupConfig(32, 8, 0.5), DedupConfig(20, 6, 0.3), DedupConfig(16, 16, 1.0)])

@@ -29,6 +29,8 @@ from textloom.session import materialize
 
 # Buckets up to this size are compared completely in one round.
 SMALL_BUCKET = 64
+# Probes per large bucket double from round to round up to this number.
+MAX_PROBES = 512
 
 
 def band_rows(cfg: DedupConfig) -> int:
@@ -129,7 +131,7 @@ def first_kept_wins(
         lost, members = _round(members, cfg, probes, small_bucket, hot_rows)
         if lost is not None:
             dropped.append(lost)
-        probes = min(probes * 2, small_bucket)
+        probes = min(probes * 2, MAX_PROBES)
     kept = reps.select("id")
     if dropped:
         kept = kept.join(union_all(dropped), "id", "left_anti")
@@ -169,7 +171,7 @@ def _round(
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("probe"))
         probed = (
             probed.withColumn("rank", rank)
-            .filter(F.col("rank") <= small_bucket)
+            .filter(F.col("rank") <= max(small_bucket, probes))
             .join(sizes, "bucket")
             .filter((F.col("n") <= small_bucket) | (F.col("rank") <= probes))
             .drop("rank", "n")
