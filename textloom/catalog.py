@@ -18,6 +18,7 @@ from textloom.sources import reports, text, tokenshard
 from textloom.streaming import incremental
 
 SEQ_LEN = 64
+BYTE_SEQ_LEN = 256
 SHARD = 16
 PREFIX_BYTES = 500_000
 PREFIX_DOCS = 150
@@ -25,7 +26,6 @@ MAX_SEQUENCES = 300
 QUERY_VOCAB = 400
 BATCH = 8
 CHAT_LEN = 96
-ANY_LANGUAGE = CorpusConfig()
 
 _tokenizers: dict[tuple[str, str], bpe_codec.Tokenizer] = {}
 
@@ -269,6 +269,17 @@ def corpus_to_shards(spark, sf_dir):
     )
 
 
+def corpus_sequences(spark, sf_dir):
+    """Raw documents to shard files with a vocabulary of single bytes, read back."""
+    cfg = CorpusConfig(seq_len=BYTE_SEQ_LEN, shard_sequences=512)
+    docs = read(spark, sf_dir, "documents")
+    model = bpe_train.train(spread_small_input(docs), TokenizerConfig(vocab_size=0))
+    path = new_table_path(spark, "shards")
+    corpus_prep.write_corpus(corpus_prep.prepare(docs, model, cfg), path, cfg)
+    rows = tokenshard.read_token_shards(spark, path, BYTE_SEQ_LEN)
+    return rows.select("split", "global_idx", joined("tokens").alias("tokens"))
+
+
 # -- tokenizer ---------------------------------------------------------------------------------
 
 
@@ -559,7 +570,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         minhash_signature, band_keys, bucket_leader_candidates, near_duplicates_of_leader, signature_similarity,
         dedup_first_kept, clean_unique_by_source, incremental_dedup,
         byte_budget_prefix, first_documents, pack_sequences, pack_sequence_limit, train_val_split,
-        shard_assignment, shard_statistics, corpus_to_shards,
+        shard_assignment, shard_statistics, corpus_sequences, corpus_to_shards,
         piece_counts, byte_alphabet, bpe_merges, english_tokenizer, chat_vocabulary, bpe_encode, bpe_round_trip,
         normalized_messages, chatml_segments, generation_prompt, chat_encoding, chat_batches, padded_batches,
         preference_pairs, response_from_messages, pair_encoding, pair_batches,

@@ -17,10 +17,20 @@ def first_rows(df: DataFrame, order: str, limit: int | None) -> DataFrame:
         return df
     if limit <= HEAP_ROWS:
         return df.orderBy(order).limit(limit)
-    return running_total(df, order, out="_rank").filter(F.col("_rank") < limit).drop("_rank")
+    ranked = running_total(df.select(order), order, out="before")
+    return _up_to(df, order, ranked, limit)
 
 
 def byte_budget(df: DataFrame, order: str, budget: int, text: str = "text") -> DataFrame:
     """Rows whose preceding UTF-8 bytes stay below ``budget``; the crossing row is kept."""
-    sized = running_total(df, order, F.octet_length(text), out="_bytes_before")
-    return sized.filter(F.col("_bytes_before") < budget).drop("_bytes_before")
+    sizes = df.select(order, F.octet_length(text).cast("bigint").alias("bytes"))
+    return _up_to(df, order, running_total(sizes, order, F.col("bytes"), out="before"), budget)
+
+
+def _up_to(df: DataFrame, order: str, totals: DataFrame, bound: int) -> DataFrame:
+    """Rows up to the last one whose total ``before`` it stays below ``bound``.
+
+    Only the narrow totals are put in order; the rows themselves are filtered during their scan.
+    """
+    last = totals.filter(F.col("before") < bound).agg(F.max(order)).first()[0]
+    return df.filter(F.lit(False)) if last is None else df.filter(F.col(order) <= last)

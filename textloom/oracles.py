@@ -32,7 +32,6 @@ bands AS (SELECT doc_id, sig, b AS band, array_to_string(sig[b * 4 + 1:b * 4 + 4
   FROM sigs, range(16) t(b))"""
 
 
-SIMILARITY = "(SELECT count(*) FROM range(1, 65) r(k) WHERE x.sig[k] = y.sig[k]) / 64"
 LEADERS = f"""leaders AS (SELECT band, key, min(doc_id) AS leader_id FROM bands GROUP BY band, key),
 pairs AS (SELECT DISTINCT leader_id, doc_id FROM bands JOIN leaders USING (band, key) WHERE leader_id < doc_id),
 scored AS (SELECT leader_id, p.doc_id,
@@ -60,6 +59,21 @@ split AS (SELECT seq_id, tokens, {SPLIT} AS split FROM seqs),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY seq_id) - 1 AS n,
   CASE WHEN split = 'val' THEN {SHARD // 4} ELSE {SHARD} END AS size FROM split)"""
 
+ALPHABET = r"""seen AS (SELECT DISTINCT unnest(regexp_extract_all(hex(encode(text)), '..')) AS h FROM documents),
+found AS (SELECT ('0x' || h)::BIGINT AS byte FROM seen),
+own AS (SELECT r AS byte, (r BETWEEN 33 AND 126 OR r BETWEEN 161 AND 172 OR r >= 174) AS printable FROM range(256) t(r)),
+named AS (SELECT byte, CASE WHEN printable THEN byte
+  ELSE 256 + count(*) FILTER (WHERE NOT printable) OVER (ORDER BY byte) - 1 END AS code FROM own),
+alphabet AS (SELECT row_number() OVER (ORDER BY code) + 3 AS id, byte, chr(code::INTEGER) AS symbol
+  FROM named JOIN found USING (byte))"""
+BYTE_SEQS = f"""cut AS (SELECT doc_id, regexp_extract_all(hex(encode(text)), '..') AS hs FROM docs
+  WHERE doc_id IN (SELECT doc_id FROM kept)),
+byte_ids AS (SELECT doc_id, p, id AS t FROM (SELECT doc_id, unnest(range(1, len(hs) + 1)) AS p, unnest(hs) AS h FROM cut)
+  JOIN alphabet ON byte = ('0x' || h)::BIGINT UNION ALL SELECT doc_id, 1000000000, 2 FROM cut),
+placed AS (SELECT t, row_number() OVER (ORDER BY doc_id, p) - 1 AS n FROM byte_ids),
+seqs AS (SELECT n // {c.BYTE_SEQ_LEN} AS seq_id, list(t ORDER BY n) AS tokens FROM placed GROUP BY 1
+  HAVING count(*) = {c.BYTE_SEQ_LEN})"""
+
 MESSAGES = """msgs AS (SELECT conv_id, role, text AS content,
   row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos FROM conversations WHERE text <> '')"""
 ROLE = "CASE WHEN role IN ('system', 'user', 'assistant') THEN role ELSE 'user' END"
@@ -190,18 +204,16 @@ def all_oracles() -> dict[str, str]:
         + "SELECT seq_id, split, n // size AS shard_id, n % size AS seq_in_shard FROM numbered",
         "shard_statistics": with_(PLACED)
         + "SELECT split, n // size AS shard_id, count(*) AS sequences FROM numbered GROUP BY ALL",
+        "corpus_sequences": with_(minhash("WHERE lang = 'en'"), KEPT, ALPHABET, BYTE_SEQS, recursive=True)
+        + f"""SELECT split, row_number() OVER (PARTITION BY split ORDER BY seq_id) - 1 AS global_idx, {csv('tokens')} AS tokens
+            FROM (SELECT *, {SPLIT} AS split FROM seqs)""",
         # RE2 has no look-ahead: char 1 marks where a run of blanks gives its last one to the next piece
         "piece_counts": r"""WITH marked AS (SELECT regexp_replace(text, '(\s+)(\s)(\S)', '\1' || chr(1) || '\2\3', 'g') AS t
             FROM documents),
             cut AS (SELECT unnest(regexp_extract_all(t, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+'))
             AS piece FROM marked)
             SELECT piece, count(*) AS n FROM cut GROUP BY piece""",
-        "byte_alphabet": r"""WITH seen AS (SELECT DISTINCT unnest(regexp_extract_all(hex(encode(text)), '..')) AS h FROM documents),
-            b AS (SELECT ('0x' || h)::BIGINT AS byte FROM seen),
-            own AS (SELECT r AS byte, (r BETWEEN 33 AND 126 OR r BETWEEN 161 AND 172 OR r >= 174) AS printable FROM range(256) t(r)),
-            named AS (SELECT byte, CASE WHEN printable THEN byte
-              ELSE 256 + count(*) FILTER (WHERE NOT printable) OVER (ORDER BY byte) - 1 END AS code FROM own)
-            SELECT row_number() OVER (ORDER BY code) + 3 AS id, byte, chr(code::INTEGER) AS symbol FROM named JOIN b USING (byte)""",
+        "byte_alphabet": with_(ALPHABET) + "SELECT id, byte, symbol FROM alphabet",
         "bpe_round_trip": "SELECT doc_id, text FROM documents",
         "normalized_messages": with_(MESSAGES) + "SELECT conv_id, pos, role, content FROM msgs",
         "chatml_segments": with_(SEGMENTS)

@@ -14,11 +14,10 @@ MIN_HOT_ROWS = 100_000
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Use all cores for an input of very few files; large inputs already come in many splits."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if files and len(files) < parallelism and df.sparkSession.sparkContext.master.startswith("local"):
-        return df.repartition(parallelism * 2)
+    """Use all cores of a single machine for an input of very few files; clusters read many splits."""
+    context = df.sparkSession.sparkContext
+    if context.master.startswith("local") and 0 < len(df.inputFiles()) < context.defaultParallelism:
+        return df.repartition(context.defaultParallelism * 2)
     return df
 
 
