@@ -5,9 +5,10 @@ A distinct piece is one row: its text as a string in which every symbol is a sin
 points, and applying a merge is the built-in string ``replace``, so both stay in compiled code.
 
 Several merges are taken per round: the head of the pair ranking up to the first pair that can touch
-an earlier one. Merging ``(a, b)`` only changes pairs that end in ``a`` or start with ``b``. Every
-pair created by it stands in for one of those, hence is no more frequent than the first such pair
-in the ranking, and cannot overtake the pairs taken before that one is reached.
+an earlier one. Merging ``(a, b)`` only changes pairs that end in ``a`` or start with ``b``, and all
+of these rank behind the pairs taken. A pair created by the merge stands in for one of them, so it
+is no more frequent; where counts tie, ids decide, and new symbols have the largest ids. So no new
+pair can come before one that was taken.
 """
 
 from __future__ import annotations
@@ -71,43 +72,35 @@ def initial_vocab(alphabet: list[int], special: SpecialTokens = SpecialTokens())
 def pair_counts(words: DataFrame) -> DataFrame:
     """(pair, n): total count of every two adjacent symbols."""
     # SQL text: this is rebuilt in every round, and building it call by call would take longer
-    short = words.filter(f"char_length(symbols) between 2 and {SHORT_PIECE}").selectExpr(
-        "n",
-        "explode(transform(sequence(1, char_length(symbols) - 1), i -> substring(symbols, i, 2))) as pair",
-    )
-    cut = words.filter(f"char_length(symbols) > {SHORT_PIECE}").selectExpr(
-        "n", "explode(array(regexp_extract_all(symbols, '(?s).', 0))) as chars"
-    )
-    long = cut.selectExpr(
-        "n",
-        "explode(transform(sequence(0, size(chars) - 2), i -> concat(get(chars, i), get(chars, i + 1)))) as pair",
-    )
-    return short.unionByName(long).groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = f"""explode(case
+        when char_length(symbols) <= {SHORT_PIECE} then
+            transform(sequence(1, char_length(symbols) - 1), i -> substring(symbols, i, 2))
+        else transform(array(regexp_extract_all(symbols, '(?s).', 0)),
+            c -> transform(sequence(0, size(c) - 2), i -> concat(get(c, i), get(c, i + 1))))[0]
+        end) as pair"""
+    split = words.filter(F.char_length("symbols") > 1).selectExpr("n", pairs)
+    return split.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def accept_merges(
-    ranked: list[tuple[int, int, int]], vocab: dict[str, int], names: list[str], room: int, complete: bool
+    ranked: list[tuple[int, int]], vocab: dict[str, int], names: list[str], room: int
 ) -> list[tuple[int, int]]:
-    """Pairs to merge in this round, from ``(left, right, count)`` in ranking order."""
+    """Pairs to merge in this round, from ``(left, right)`` in ranking order."""
     heads: set[int] = set()
     tails: set[int] = set()
-    taken: list[tuple[int, int, int]] = []
-    bound = 0 if complete else ranked[-1][2]
-    for left, right, count in ranked:
-        if right in heads or left in tails:
-            bound = count
+    made: set[str] = set()
+    out: list[tuple[int, int]] = []
+    for left, right in ranked[:RANKED_PAIRS]:
+        if len(made) >= room or right in heads or left in tails:
             break
-        taken.append((left, right, count))
-        heads.add(left)
-        tails.add(right)
-    out = []
-    for left, right, count in taken[:room]:
-        if out and count <= bound:
-            break  # a new pair could tie with this one
         out.append((left, right))
+        token = names[left] + names[right]
         # doubled symbols and symbols that exist already can make pairs more frequent: rank again
-        if left == right or names[left] + names[right] in vocab:
+        if left == right or token in vocab or token in made:
             break
+        heads.add(left)
+        tails.add(right)
+        made.add(token)
     return out
 
 
@@ -150,9 +143,8 @@ def train(
         )
         if not top:
             break
-        ranked = [(ord(r.pair[0]) - BASE, ord(r.pair[1]) - BASE, r.n) for r in top]
-        room = cfg.vocab_size - len(vocab)
-        accepted = accept_merges(ranked, vocab, names, room, len(top) < RANKED_PAIRS)
+        ranked = [(ord(r.pair[0]) - BASE, ord(r.pair[1]) - BASE) for r in top]
+        accepted = accept_merges(ranked, vocab, names, cfg.vocab_size - len(vocab))
         for left, right in accepted:
             token = names[left] + names[right]
             merges.append((names[left], names[right]))
