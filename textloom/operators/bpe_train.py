@@ -25,7 +25,7 @@ BASE = 0x10000
 RANKED_PAIRS = 512
 # a table is written after this many merges, which bounds the length of the plan
 MERGES_PER_TABLE = 32
-ROWS_PER_TASK = 20_000
+ROWS_PER_TASK = 5_000
 # longer pieces are cut into an array first, so that taking all pairs stays linear
 SHORT_PIECE = 48
 

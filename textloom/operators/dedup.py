@@ -29,7 +29,7 @@ from textloom.session import materialize
 
 # Buckets up to this size are compared completely in one round.
 SMALL_BUCKET = 64
-# Probes per large bucket double from round to round up to this number.
+# Probes per large bucket grow fourfold from round to round up to this number.
 MAX_PROBES = 512
 
 
@@ -131,7 +131,7 @@ def first_kept_wins(
         lost, members = _round(members, cfg, probes, small_bucket, hot_rows)
         if lost is not None:
             dropped.append(lost)
-        probes = min(probes * 2, MAX_PROBES)
+        probes = min(probes * 4, MAX_PROBES)
     kept = reps.select("id")
     if dropped:
         kept = kept.join(union_all(dropped), "id", "left_anti")
