@@ -272,10 +272,9 @@ def corpus_to_shards(spark, sf_dir):
 def corpus_sequences(spark, sf_dir):
     """Raw documents to shard files with a vocabulary of single bytes, read back."""
     cfg = CorpusConfig(seq_len=BYTE_SEQ_LEN, shard_sequences=512)
-    docs = read(spark, sf_dir, "documents")
-    model = bpe_train.train(spread_small_input(docs), TokenizerConfig(vocab_size=0))
+    prepared = corpus_prep.prepare(read(spark, sf_dir, "documents"), byte_tokenizer(spark, sf_dir), cfg)
     path = new_table_path(spark, "shards")
-    corpus_prep.write_corpus(corpus_prep.prepare(docs, model, cfg), path, cfg)
+    corpus_prep.write_corpus(prepared, path, cfg)
     rows = tokenshard.read_token_shards(spark, path, BYTE_SEQ_LEN)
     return rows.select("split", "global_idx", joined("tokens").alias("tokens"))
 
@@ -294,6 +293,13 @@ def tokenizer(spark, sf_dir) -> bpe_codec.Tokenizer:
     return _tokenizers[key]
 
 
+def byte_tokenizer(spark, sf_dir) -> bpe_codec.Tokenizer:
+    """A vocabulary without merges, saved and loaded."""
+    path = new_table_path(spark, "tokenizer")
+    bpe_train.train(documents(spark, sf_dir), TokenizerConfig(vocab_size=0)).save(spark, path)
+    return bpe_codec.Tokenizer.load(spark, path)
+
+
 def piece_counts(spark, sf_dir):
     return bpe_train.piece_counts(documents(spark, sf_dir))
 
@@ -317,7 +323,9 @@ def english_tokenizer(spark, sf_dir):
 
 
 def chat_vocabulary(spark, sf_dir):
-    return tokenizer(spark, sf_dir).with_special_tokens().vocab_table(spark)
+    """A saved vocabulary of single bytes, loaded and extended by the chat marks."""
+    rows = byte_tokenizer(spark, sf_dir).with_special_tokens().vocab_table(spark)
+    return rows.select("token", F.col("id").cast("bigint").alias("id"), "special")
 
 
 def bpe_encode(spark, sf_dir):

@@ -214,6 +214,11 @@ def all_oracles() -> dict[str, str]:
             AS piece FROM marked)
             SELECT piece, count(*) AS n FROM cut GROUP BY piece""",
         "byte_alphabet": with_(ALPHABET) + "SELECT id, byte, symbol FROM alphabet",
+        "chat_vocabulary": with_(ALPHABET)
+        + """SELECT * FROM (VALUES ('<|pad|>', 0::BIGINT, true), ('<|bos|>', 1, true), ('<|eos|>', 2, true), ('<|unk|>', 3, true)) v(token, id, special)
+            UNION ALL SELECT symbol, id, false FROM alphabet
+            UNION ALL SELECT '<|im_start|>', max(id) + 1, true FROM alphabet
+            UNION ALL SELECT '<|im_end|>', max(id) + 2, true FROM alphabet""",
         "bpe_round_trip": "SELECT doc_id, text FROM documents",
         "normalized_messages": with_(MESSAGES) + "SELECT conv_id, pos, role, content FROM msgs",
         "chatml_segments": with_(SEGMENTS)
