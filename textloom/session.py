@@ -1,12 +1,11 @@
 """Session settings and lineage cuts.
 
 Intermediate results that a loop reads again are written as Parquet below the shared folder
-named by ``spark.checkpoint.dir``. Losing an executor then costs a re-read, not a recomputation.
+named by ``spark.checkpoint.dir``, or below the warehouse where that is unset. Losing an executor then costs a re-read, not a recomputation.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,11 +43,8 @@ def work_dir(spark: SparkSession) -> str:
     folder = folder or sc.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    sc.setCheckpointDir(folder)
-    return folder
+    # the warehouse is always set and shared
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
