@@ -18,18 +18,15 @@ LEAST_LANGUAGE_SHARE = 0.5
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters that are mainly in one known language; ``lang`` becomes the predicted one."""
-    found = language_mix.identify(docs).select("doc_id", "lang_pred", "score")
-    good = found.filter((F.col("lang_pred") != language_mix.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SHARE))
-    # repeated rows with one id have one prediction each
-    best = good.groupBy("doc_id").agg(F.max_by("lang_pred", "score").alias("lang_pred"))
-    return docs.join(best, "doc_id").withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    model = language_mix.train(docs.select("doc_id", "text", "lang").filter(~language_mix.held_out()))
+    return language_mix.keep_identified(docs, model, LEAST_LANGUAGE_SHARE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near-duplicates."""
-    classes = minhash.near_duplicate_classes(docs)
-    first = classes.filter("doc_id = class_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi").select(docs.columns)
+    """The first document of each class of near-duplicates; a document without an id stays."""
+    first = minhash.near_duplicate_classes(docs).filter("doc_id = class_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,3 +181,24 @@ def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learnt from the labelled documents that are not held out."""
     model = train(docs.select("doc_id", "text", "lang").filter(~held_out()))
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
+    """Rows whose text is mainly in one language (share at least ``least``), ``lang`` set to it; texts
+    without a language go. Columns stay those of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text_at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names: list[str] = []
+            scores: list[np.ndarray] = [np.zeros(0)]
+            for _, texts in bl.blocks(bl.texts_of(batch.column(text_at))):
+                found, score = predict_texts(texts, shared.value)
+                names += found
+                scores.append(score)
+            columns = [pa.array(names, pa.string()) if i == lang_at else c for i, c in enumerate(batch.columns)]
+            keep = (np.concatenate(scores) >= least) & (np.array(names, object) != UNDETERMINED)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

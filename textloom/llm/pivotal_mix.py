@@ -11,20 +11,27 @@ other's, expected values unchanged, until one of them is 0 or 1. The sum of word
 source ends within one document of its target. Rounding runs inside salted groups of a source; each
 group leaves at most one fraction, and these are combined in a tree until one per source is left.
 
-Defined results: a null or empty text has size 0, takes 0 words and takes no part in rounding; repeated
-rows count as documents of their own; an empty table gives an empty result. Random numbers are hashes
+Defined results: a null or empty text has size 0, takes 0 words and takes no part in rounding; rows equal
+in id, source and size are taken equally often; a null id is an id like any other; an empty table gives an
+empty result. Random numbers are hashes
 of the document's id and place, so reruns agree.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from textloom.llm import blocks as bl
+from textloom.plans.skew import union_all
 from textloom.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -102,29 +109,30 @@ def round_pairs(weight: np.ndarray, share: np.ndarray, draws: np.ndarray) -> tup
     return out, at, p
 
 
-def _round_group(level: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["place", "doc_id", "size"], kind="stable")
-        draws = _unit(group["place"].to_numpy(np.int64), 100 + level)
-        copies, at, rest = round_pairs(group["size"].to_numpy(float), group["share"].to_numpy(float), draws)
-        group["up"] = copies.astype(np.int32)
-        group["share"] = 0.0
+def _round_group(level: int, schema: pa.Schema):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.take(pc.sort_indices(group, [(c, "ascending") for c in ("place", "doc_id", "size")]))
+        draws = _unit(np.asarray(group.column("place"), np.int64), 100 + level)
+        weight, share = (np.asarray(group.column(c), float) for c in ("weight", "share"))
+        copies, at, rest = round_pairs(weight, share, draws)
+        left = np.zeros(len(copies))
         if at >= 0:
-            group.iloc[at, group.columns.get_loc("up")] = -1
-            group.iloc[at, group.columns.get_loc("share")] = rest
-        return group
+            copies[at], left[at] = -1, rest
+        columns = {**dict(zip(group.column_names, group.columns)), "share": pa.array(left), "up": pa.array(copies, pa.int32())}
+        return pa.table([columns[name] for name in schema.names], schema=schema)
 
     return run
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Add ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (words) to each document.
+def decisions(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, n, source_size, target, copies) for each distinct (doc_id, source, size).
 
-    ``docs`` has ``doc_id``, ``text`` and ``source``; the text stays where it is.
+    ``n`` is the number of such rows; they are taken equally often.
     """
-    sized = materialize(with_sizes(docs).select("doc_id", "source", "size"), "sizes")
-    plan = materialize(source_targets(sized), "targets")
-    # one row per source: joined by a null-safe key
+    sized = with_sizes(docs.select("doc_id", "text", "source")).groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    sized = materialize(sized, "sizes")
+    plan = materialize(source_targets(sized.select("source", (F.col("size") * F.col("n")).alias("size"))), "targets")
+    # one row per source
     wanted = sized.join(plan, sized.source.eqNullSafe(plan.source)).drop(plan.source)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + 1e-12)
@@ -132,52 +140,49 @@ def mix(docs: DataFrame) -> DataFrame:
     groups = F.ceil(F.col("n_docs") / GROUP_ROWS)
     key = F.xxhash64("doc_id", "size")
     wanted = wanted.select(
-        "doc_id", "source", "size", "source_size", "target", whole.alias("whole"),
+        "doc_id", "source", "size", "n", "source_size", "target", whole.alias("whole"),
         F.when(F.col("size") > 0, fraction).otherwise(F.lit(0.0)).alias("share"),
-        key.alias("place"), F.pmod(F.shiftrightunsigned(key, 20), groups).alias("cell"), F.col("n_docs"),
+        (F.col("size") * F.col("n")).cast("double").alias("weight"),
+        key.alias("place"), F.pmod(F.shiftrightunsigned(key, 20), groups).cast("bigint").alias("cell"),
     )
-    return _rounded(wanted, plan)
+    groups_of_largest = plan.agg(F.max(F.ceil(F.col("n_docs") / GROUP_ROWS))).first()[0] or 0
+    return _rounded(wanted, groups_of_largest)
 
 
-def _rounded(wanted: DataFrame, plan: DataFrame) -> DataFrame:
-    columns = wanted.columns
-    schema = ", ".join(f"{n} {t}" for n, t in wanted.dtypes)
-    whole = wanted.filter("share = 0").withColumn("up", F.lit(0))
-    open_rows = wanted.filter("share > 0")
-    largest = plan.agg(F.max(F.ceil(F.col("n_docs") / GROUP_ROWS))).first()[0] or 0
-    done, level = [whole], 0
+def _rounded(wanted: DataFrame, groups: int) -> DataFrame:
+    """Round level by level; ``groups`` is the number of cells of the largest source."""
+    schema = to_arrow_schema(T.StructType([*wanted.schema.fields, T.StructField("up", T.IntegerType())]))
+    spec = ", ".join(f"{n} {t}" for n, t in wanted.dtypes) + ", up int"
+    done = [wanted.filter("share = 0").withColumn("up", F.lit(0))]
+    open_rows, level = wanted.filter("share > 0"), 0
     while True:
         level += 1
-        stepped = open_rows.groupBy("source", "cell").applyInPandas(_round_group(level), f"{schema}, up int")
+        stepped = open_rows.groupBy("source", "cell").applyInArrow(_round_group(level, schema), spec)
         stepped = materialize(stepped, "rounded")
         done.append(stepped.filter("up >= 0"))
-        open_rows = stepped.filter("up < 0").drop("up").withColumn("cell", F.floor(F.col("cell") / FAN_IN)).select(columns)
-        if largest <= 1:
+        open_rows = stepped.filter("up < 0").drop("up").withColumn("cell", F.floor(F.col("cell") / FAN_IN)).select(wanted.columns)
+        if groups <= 1:
             break
-        largest = -(-largest // FAN_IN)
+        groups = -(-groups // FAN_IN)
     # the last fraction of a source is drawn alone
     chance = F.pmod(F.xxhash64(F.lit("last"), "place"), F.lit(1 << 30)) / float(1 << 30)
     done.append(open_rows.withColumn("up", (chance < F.col("share")).cast("int")))
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    copies = F.col("whole") + F.col("up")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.cast("bigint").alias("copies"),
-                      (copies * F.col("size")).cast("bigint").alias("taken"))
+    copies = (F.col("whole") + F.col("up")).cast("bigint").alias("copies")
+    return union_all(done).select("doc_id", "source", "size", "n", "source_size", "target", copies)
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: each taken document as often as it is taken, with the columns of ``docs``.
+def mix(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) for each row of ``docs``, which has
+    ``doc_id``, ``text`` and ``source``; ``taken`` counts words, repeats included."""
+    rows = decisions(docs).withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+    taken = (F.col("copies") * F.col("size")).cast("bigint")
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", taken.alias("taken"))
 
-    Row counts per (doc_id, size) are matched by place, so that repeated rows get their own copies.
-    """
-    keyed = with_sizes(docs)
-    nth = Window.partitionBy("doc_id", "size").orderBy(F.xxhash64("source"), F.xxhash64("text"))
-    taken = mix(docs).select("doc_id", "size", "source", "copies")
-    rank = Window.partitionBy("doc_id", "size").orderBy(F.xxhash64("source"), "copies")
-    left = keyed.withColumn("_nth", F.row_number().over(nth))
-    right = taken.withColumn("_nth", F.row_number().over(rank)).drop("source")
-    rows = left.join(right, ["doc_id", "size", "_nth"])
-    repeated = rows.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(docs.columns)
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix itself: each taken document as often as it is taken, with the columns of ``docs``."""
+    chosen = materialize(decisions(docs).filter("copies > 0").select("doc_id", "source", "size", "copies"), "chosen")
+    keyed = with_sizes(docs.select("doc_id", "source", "text", F.struct("*").alias("row"))).drop("text")
+    same = [keyed[c].eqNullSafe(chosen[c]) for c in ("doc_id", "source", "size")]
+    rows = keyed.join(chosen, reduce(Column.__and__, same)).select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return rows.select("row.*")
