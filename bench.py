@@ -15,7 +15,7 @@ from textloom.session import local_session  # noqa: E402
 
 # the tokenizer is learnt first and timed on its own; later queries use it
 HEADLINE = (
-    "bpe_merges", "word_tokens", "quality_filter", "minhash_signature", "dedup_first_kept", "clean_unique_by_source",
+    "bpe_merges", "word_tokens", "quality_filter", "minhash_signature", "dedup_first_kept", "clean_unique_by_source", "incremental_dedup",
     "byte_budget_prefix", "pack_sequences", "shard_assignment", "piece_counts", "bpe_encode", "bpe_round_trip",
     "corpus_to_shards", "chat_encoding", "padded_batches", "preference_pairs", "epoch_batches",
     "sequence_log_probs", "sampling_candidates",
@@ -26,6 +26,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cores, shuffle_partitions=cores)
+    # the driver's tables are single files, which one task would read
+    spark.conf.set("textloom.spreadTasks", str(2 * cores))
     # start the JVM's and Python's workers outside the measurements
     catalog.language_filter(spark, sf_dir).count()
     catalog.minhash_signature(spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()

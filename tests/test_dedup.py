@@ -103,14 +103,6 @@ def test_more_bands_than_positions_is_refused():
         dedup.band_rows(DedupConfig(permutations=8, bands=16))
 
 
-def test_blake2b_family(spark, documents):
-    rows = corpus_prep.quality_rows(documents.limit(60).select("doc_id", "text")).select("doc_id", "words")
-    signed = dedup.signatures(rows, family="blake2b")
-    pairs = [(r.doc_id, r.sig) for r in signed.collect()]
-    got = sorted(r.doc_id for r in dedup.first_kept_wins(signed).collect())
-    assert got == one_by_one(pairs, DedupConfig())
-
-
 def test_stream_equals_batch_and_survives_replay(spark, documents, tmp_path):
     docs = documents.select("doc_id", "text", "lang")
     feed, out, index = (str(tmp_path / n) for n in ("feed", "out", "index"))

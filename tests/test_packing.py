@@ -81,3 +81,13 @@ def test_shards_number_sequences_per_split(spark):
         seen[r.split] += 1
     assert 50 < seen["val"] < 150
     assert shard_statistics(placed).agg(F.sum("sequences")).first()[0] == 400
+
+
+def test_first_rows_with_ties(spark):
+    rows = [(i // 3, i % 3, f"t{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "at bigint, n bigint, text string")
+    for limit in (1, 4, 20, 59, 60, 100):
+        got = sorted((r["at"], r["n"]) for r in first_rows(df, "at", limit, tie=("n",)).collect())
+        assert got == sorted((a, n) for a, n, _ in rows)[:limit]
+    with pytest.raises(ValueError, match="tie-breaker"):
+        first_rows(df, "at", 4)

@@ -139,9 +139,23 @@ def test_greedy_and_draw_frequencies(spark):
 
 def test_evaluation_report_file(spark, tmp_path):
     cfg = EvalConfig(tasks=("a",))
-    df = spark.createDataFrame([(report({"results": {"a": {"acc": 0.25}}}),)], "report string")
+    result = {"results": {"a": {"acc": 0.25, "n": 3}}, "config": {"limit": None, "seeds": [1, 2]}, "versions": {"a": 1}}
+    df = spark.createDataFrame([(report(result),)], "report string")
     path = str(tmp_path / "deep" / "report")
     write_report(scores.evaluation_report("m", df, scores.perplexity(None, 1, 1, 1), cfg), path)
     record = json.loads(spark.read.text(path, wholetext=True).first()[0])
     assert record["model"] == "m" and record["tasks"] == ["a"] and record["macro_average"] == 0.25
-    assert record["val_perplexity"] is None and record["lm_eval"]["results"]["a"]["acc"] == "0.25"
+    assert record["val_perplexity"] is None and record["lm_eval"] == result
+    skipped = spark.createDataFrame([(report({"skipped": True}),)], "report string")
+    text = scores.evaluation_report("m", skipped, scores.perplexity(None, 1, 1, 1), cfg).first()[0]
+    assert json.loads(text)["lm_eval"] == {"skipped": True} and json.loads(text)["macro_average"] is None
+
+
+def test_scores_that_are_no_numbers_or_missing_fail(spark):
+    df = spark.createDataFrame([(report({"results": {"a": {"acc_norm": "high", "acc": 0.2}}}),)], "report string")
+    with pytest.raises(Exception, match="not a number"):
+        scores.macro_average(df, ("a",)).collect()
+    logits = spark.createDataFrame([(1, 0, 0, 0.5), (1, 0, 1, 0.1)], "seq int, pos int, token int, logit double")
+    labels = spark.createDataFrame([(1, 0, 5), (1, 1, 7)], "seq int, pos int, label int")
+    with pytest.raises(Exception, match="no score for the label"):
+        scores.cross_entropy(logits, labels).collect()

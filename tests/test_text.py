@@ -124,14 +124,6 @@ def test_affine_signature_equals_direct_minima(spark):
         assert list(r.sig) == expected
 
 
-def test_blake2b_signature_equals_direct_minima(spark):
-    docs = [(1, ["x y", "z", "é"]), (2, []), (3, ["z"])]
-    df = spark.createDataFrame(docs, "id int, s array<string>")
-    for r in df.select("id", "s", hashing.blake2b_signature(F.col("s"), 8).alias("sig")).collect():
-        expected = [min((hashing.seeded_digest(s, seed) for s in r.s), default=0) for seed in range(8)]
-        assert [v % (1 << 64) for v in r.sig] == expected
-
-
 def test_similarity_of_unequal_lengths_is_zero(spark):
     df = spark.createDataFrame([(1, [1, 2, 3, 4], [1, 2, 0, 4]), (2, [1], [1, 2]), (3, [], [])], "id int, a array<int>, b array<int>")
     got = {r.id: r.s for r in df.select("id", hashing.signature_similarity(F.col("a"), F.col("b")).alias("s")).collect()}

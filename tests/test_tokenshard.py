@@ -93,3 +93,23 @@ def test_synthetic_rows_depend_on_seed_plus_index(spark):
     assert a[5] == b[4] and all(0 <= t < 50 for row in a.values() for t in row)
     train, val = synthetic_splits(spark, 50, 6, 3)
     assert (train.count(), val.count()) == (4096, 512)
+
+
+def test_shards_are_ordered_by_number(spark, tmp_path):
+    for shard, value in ((999_999, 1), (1_000_000, 2)):
+        np.full(8, value, "<u2").tofile(tmp_path / f"train_{shard:06d}.bin")
+    shards = read_token_shards(spark, str(tmp_path), 8)
+    assert lookup(shards, "train", 0).first().tokens == [1] * 8
+    assert lookup(shards, "train", 1).first().tokens == [2] * 8
+
+
+def test_an_unfinished_write_is_refused(spark, tmp_path):
+    np.full(8, 1, "<u2").tofile(tmp_path / "train_000000.bin")
+    (tmp_path / "_unfinished").touch()
+    with pytest.raises(Exception, match="did not finish"):
+        read_token_shards(spark, str(tmp_path), 8).collect()
+    # writing again clears it, and shards of the old run go
+    seqs = spark.createDataFrame([(0, [5] * 8)], "seq_id bigint, tokens array<int>")
+    np.full(8, 1, "<u2").tofile(tmp_path / "train_000009.bin")
+    write_token_shards(assign_shards(seqs, 12, val_fraction=0.0), str(tmp_path), 8)
+    assert [r.tokens for r in read_token_shards(spark, str(tmp_path), 8).collect()] == [[5] * 8]

@@ -12,7 +12,6 @@ from textloom.functions import chatml, hashing
 from textloom.functions import text as tx
 from textloom.operators import batches, bpe_codec, bpe_train, chat, dedup, packing, preference, sampling, scores
 from textloom.plans import corpus_prep, tokenizer_training
-from textloom.plans.skew import spread_small_input
 from textloom.session import materialize, new_table_path
 from textloom.sources import reports, text, tokenshard
 from textloom.streaming import incremental
@@ -35,7 +34,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_input(read(spark, sf_dir, "documents"))
+    """Dealt over ``textloom.spreadTasks`` tasks where the caller set that: a table of one small file is
+    otherwise read by one task."""
+    docs, tasks = read(spark, sf_dir, "documents"), spark.conf.get("textloom.spreadTasks", None)
+    return docs.repartition(int(tasks)) if tasks else docs
 
 
 def joined(values, separator: str = ",") -> F.Column:
@@ -188,7 +190,7 @@ def dedup_first_kept(spark, sf_dir):
 
 def clean_unique_by_source(spark, sf_dir):
     """Flagship: English documents that pass all filters, counted per source."""
-    docs = read(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     kept = corpus_prep.unique_ids(docs)
     by_source = docs.select("doc_id", "source").join(kept, "doc_id", "left_semi").groupBy("source")
     return by_source.agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"), F.sum("doc_id").alias("id_sum"))
@@ -201,7 +203,7 @@ def incremental_dedup(spark, sf_dir):
     feed, out, index, state = (new_table_path(spark, n) for n in ("feed", "stream", "index", "state"))
     for part in range(4):
         inside = (F.col("doc_id") >= top * part // 4) & (F.col("doc_id") < top * (part + 1) // 4)
-        docs.filter(inside).coalesce(1).write.mode("append").parquet(feed)
+        docs.filter(inside).write.mode("append").parquet(feed)
     stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(feed)
     query = incremental.dedup_stream(stream, out, index, state)
     query.awaitTermination()
@@ -232,7 +234,7 @@ def byte_budget_prefix(spark, sf_dir):
 
 
 def first_documents(spark, sf_dir):
-    rows = corpus_prep.source_rows(read(spark, sf_dir, "documents"), max_docs=PREFIX_DOCS)
+    rows = corpus_prep.source_rows(documents(spark, sf_dir), max_docs=PREFIX_DOCS)
     return rows.select("doc_id", F.md5("text").alias("text_md5"))
 
 
@@ -260,7 +262,7 @@ def shard_statistics(spark, sf_dir):
 def corpus_to_shards(spark, sf_dir):
     """Everything from raw documents to shard files, read back and counted."""
     cfg = CorpusConfig(seq_len=SEQ_LEN, shard_sequences=512)
-    prepared = corpus_prep.prepare(read(spark, sf_dir, "documents"), tokenizer(spark, sf_dir), cfg)
+    prepared = corpus_prep.prepare(documents(spark, sf_dir), tokenizer(spark, sf_dir), cfg)
     path = new_table_path(spark, "shards")
     corpus_prep.write_corpus(prepared, path, cfg)
     rows = tokenshard.read_token_shards(spark, path, SEQ_LEN)
@@ -272,7 +274,7 @@ def corpus_to_shards(spark, sf_dir):
 def corpus_sequences(spark, sf_dir):
     """Raw documents to shard files with a vocabulary of single bytes, read back."""
     cfg = CorpusConfig(seq_len=BYTE_SEQ_LEN, shard_sequences=512)
-    prepared = corpus_prep.prepare(read(spark, sf_dir, "documents"), byte_tokenizer(spark, sf_dir), cfg)
+    prepared = corpus_prep.prepare(documents(spark, sf_dir), byte_tokenizer(spark, sf_dir), cfg)
     path = new_table_path(spark, "shards")
     corpus_prep.write_corpus(prepared, path, cfg)
     rows = tokenshard.read_token_shards(spark, path, BYTE_SEQ_LEN)
@@ -286,9 +288,8 @@ def tokenizer(spark, sf_dir) -> bpe_codec.Tokenizer:
     """A small vocabulary learnt from all documents; learnt once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _tokenizers:
-        docs = read(spark, sf_dir, "documents")
         path = new_table_path(spark, "tokenizer")
-        bpe_train.train(spread_small_input(docs), TokenizerConfig(vocab_size=QUERY_VOCAB)).save(spark, path)
+        bpe_train.train(documents(spark, sf_dir), TokenizerConfig(vocab_size=QUERY_VOCAB)).save(spark, path)
         _tokenizers[key] = bpe_codec.Tokenizer.load(spark, path)
     return _tokenizers[key]
 
@@ -535,7 +536,8 @@ def eval_reports(spark, sf_dir) -> DataFrame:
     task = F.struct("lang", F.when(F.col("lang") == "en", english).otherwise(other).alias("m"))
     # a report has one entry per language
     rows = means.groupBy("source").agg(F.map_from_entries(F.collect_list(task)).alias("results"))
-    return rows.select("source", F.to_json(F.struct("results")).alias("report"))
+    config = F.struct(F.lit(5).alias("num_fewshot"), F.size("results").alias("languages"))
+    return rows.select("source", F.to_json(F.struct("results", config.alias("config"))).alias("report"))
 
 
 def eval_macro_average(spark, sf_dir):
@@ -561,12 +563,18 @@ def evaluation_report(spark, sf_dir):
     back = spark.read.text(path, wholetext=True)
     one = F.explode(F.split("value", r"(?<=\n\})\n"))
     rows = back.select(one.alias("value")).filter(F.length(F.trim("value")) > 0)
-    number = lambda p: F.round(F.get_json_object("value", p).cast("double"), 6)
+    field = lambda p: F.get_json_object("value", p)
+    number = lambda p: F.round(field(p).cast("double"), 6)
     return rows.select(
-        F.get_json_object("value", "$.model").alias("model"),
-        F.get_json_object("value", "$.tasks[1]").alias("task"),
+        field("$.model").alias("model"),
+        field("$.tasks[1]").alias("task"),
         number("$.macro_average").alias("macro_average"),
         number("$.val_perplexity").alias("val_perplexity"),
+        field("$.lm_eval.config.num_fewshot").cast("bigint").alias("num_fewshot"),
+        field("$.lm_eval.config.languages").cast("bigint").alias("languages"),
+        number("$.lm_eval.results.en['acc,none']").alias("en_acc_none"),
+        field("$.lm_eval.results.fr.alias").alias("fr_alias"),
+        number("$.lm_eval.results.fr.acc_norm").alias("fr_acc_norm"),
     )
 
 

@@ -1,9 +1,7 @@
 """Deterministic hashes and MinHash signatures.
 
-Two hash families are offered. ``affine`` (the default) hashes a shingle once with MD5 inside the
-JVM and derives all permutations from it as ``(a*h + b) mod p``. ``blake2b`` hashes every shingle
-once per permutation with a seeded 64-bit BLAKE2b: about twenty times the work, for runs that must
-reproduce signatures built that way.
+A shingle is hashed once with MD5 inside the JVM, and all permutations are derived from that as
+``(a*h + b) mod p``.
 """
 
 from __future__ import annotations
@@ -45,12 +43,6 @@ def permuted_hash(value: Column, seed: int) -> Column:
     return (base_hash(value) * F.lit(a) + F.lit(b)) % F.lit(PRIME)
 
 
-def seeded_digest(value: str, seed: int) -> int:
-    """Unsigned 64-bit BLAKE2b of ``seed:value``."""
-    digest = hashlib.blake2b(f"{seed}:{value}".encode("utf-8", "ignore"), digest_size=8)
-    return int.from_bytes(digest.digest(), "little")
-
-
 def _list_bounds(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Row offsets starting at zero, and the flattened values, of a list array."""
     offsets = np.asarray(column.offsets)
@@ -114,24 +106,6 @@ def affine_signature(hashes: Column, permutations: int) -> Column:
     return signature(hashes)
 
 
-def blake2b_signature(items: Column, permutations: int) -> Column:
-    """MinHash signature (array<bigint>, unsigned bits) of an array of strings."""
-
-    @F.arrow_udf("array<bigint>")
-    def signature(column: pa.Array) -> pa.Array:
-        offsets, values = _list_bounds(column)
-        texts = values.to_pylist()
-        matrix = np.zeros((len(offsets) - 1, permutations), dtype=np.uint64)
-        filled = np.diff(offsets) > 0
-        if filled.any():
-            for seed in range(permutations):
-                hashed = np.fromiter((seeded_digest(t, seed) for t in texts), np.uint64, len(texts))
-                matrix[filled, seed] = _row_minima(hashed, offsets)
-        return _signature_array(matrix.view(np.int64), pa.int64())
-
-    return signature(items)
-
-
 def shingle_hashes(tokens: Column, size: int) -> Column:
     """Base hash of every word shingle; repeats are harmless because only minima are taken."""
     hashed = F.transform(

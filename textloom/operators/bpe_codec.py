@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -244,25 +245,37 @@ def encode(text: Column, tokenizer: Tokenizer) -> Column:
 
 def decode(ids: Column, tokenizer: Tokenizer, skip_special: bool = True) -> Column:
     """Text of an array of token ids; byte sequences that are not UTF-8 become U+FFFD."""
-    shared = _broadcast(tokenizer)
+    table = decoding_table(tokenizer, skip_special)
 
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
-        vocab, _, special, _ = shared.value
-        byte_of = {s: b for b, s in enumerate(byte_symbols())}
-        by_id = {}
-        for token, i in vocab.items():
-            hidden = skip_special and token in special
-            by_id[i] = b"" if hidden else bytes(byte_of[c] for c in token)
-        rows = column.to_pylist()
-        return pa.array(
-            [None if r is None else b"".join(by_id.get(i, b"") for i in r).decode("utf-8", "replace") for r in rows],
-            pa.string(),
-        )
+        flat = np.asarray(column.flatten().fill_null(-1), np.int64)
+        # ids outside the vocabulary decode to nothing
+        known = np.where((flat >= 0) & (flat < len(table) - 1), flat, len(table) - 1)
+        sizes = pc.fill_null(pc.list_value_length(column), 0)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.asarray(sizes))]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(table, pa.binary()).take(pa.array(known)))
+        whole = pc.if_else(column.is_null(), None, pc.binary_join(lists, b""))
+        try:
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([None if v is None else v.decode("utf-8", "replace") for v in whole.to_pylist()], pa.string())
 
     return text(ids)
 
 
+def decoding_table(tokenizer: Tokenizer, skip_special: bool) -> list[bytes]:
+    """Bytes of each id, and an empty entry at the end. Special tokens are literal text."""
+    byte_of = {s: b for b, s in enumerate(byte_symbols())}
+    out = [b""] * (max(tokenizer.vocab.values(), default=-1) + 2)
+    for token, i in tokenizer.vocab.items():
+        if token in tokenizer.special:
+            out[i] = b"" if skip_special else token.encode()
+        else:
+            out[i] = bytes(byte_of[c] for c in token)
+    return out
+
+
 def tokenize_documents(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", out: str = "tokens") -> DataFrame:
     """Replace the text by its ids with one end-of-text id appended."""
     ids = F.array_append(encode(F.col(text), tokenizer), F.lit(tokenizer.eos_id))

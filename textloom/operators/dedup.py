@@ -23,8 +23,7 @@ from pyspark.sql.window import Window
 
 from textloom.config import DedupConfig
 from textloom.functions import hashing
-from textloom.functions import text as tx
-from textloom.plans.skew import MIN_HOT_ROWS, hot_keys, key_sizes, skew_join, union_all
+from textloom.plans.skew import HOT_ROWS, hot_keys, key_sizes, skew_join, union_all
 from textloom.session import materialize
 
 # Buckets up to this size are compared completely in one round.
@@ -77,16 +76,10 @@ def is_near_duplicate(left: str, right: str, cfg: DedupConfig) -> Column:
     return similar & F.expr(" or ".join(shared))
 
 
-def signatures(docs: DataFrame, cfg: DedupConfig = DedupConfig(), family: str = "affine") -> DataFrame:
+def signatures(docs: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
     """Replace ``words`` by the MinHash signature ``sig``. Row-local: no shuffle."""
-    tokens = F.col("words")
-    if family == "affine":
-        sig = hashing.affine_signature(hashing.shingle_hashes(tokens, cfg.shingle_size), cfg.permutations)
-    elif family == "blake2b":
-        sig = hashing.blake2b_signature(tx.shingles(tokens, cfg.shingle_size), cfg.permutations)
-    else:
-        raise ValueError(f"unknown hash family {family!r}")
-    return docs.withColumn("sig", sig).drop("words")
+    hashes = hashing.shingle_hashes(F.col("words"), cfg.shingle_size)
+    return docs.withColumn("sig", hashing.affine_signature(hashes, cfg.permutations)).drop("words")
 
 
 def leader_pairs(signed: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
@@ -116,7 +109,7 @@ def first_kept_wins(
     cfg: DedupConfig = DedupConfig(),
     order: str = "doc_id",
     small_bucket: int = SMALL_BUCKET,
-    hot_rows: int = MIN_HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Ids (column ``order``) of the documents that survive; ``signed`` has ``order`` and ``sig``.
 
@@ -142,7 +135,7 @@ def _prefix_members(reps: DataFrame, cfg: DedupConfig, hot_rows: int) -> DataFra
     """(bucket, id, sig) for the rarest bands of each document that meet another document."""
     bands = reps.select("id", F.explode(band_buckets("sig", cfg)).alias("bucket"))
     sizes = materialize(key_sizes(bands, "bucket").filter("n > 1"), "sizes")
-    met = skew_join(bands, sizes, "bucket", hot_keys(sizes, "bucket", min_rows=hot_rows))
+    met = skew_join(bands, sizes, "bucket", hot_keys(sizes, "bucket", task_rows=hot_rows))
     prefix = cfg.bands - shared_bands(cfg) + 1
     # a document's bands of its own are rarer than the ones collected here and come first
     rarest = (
@@ -162,7 +155,7 @@ def _round(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """One round. Returns the ids dropped in it and the members that remain undecided."""
     sizes = materialize(key_sizes(members, "bucket").filter("n > 1"), "sizes")
-    hot = hot_keys(sizes, "bucket", min_rows=hot_rows)
+    hot = hot_keys(sizes, "bucket", task_rows=hot_rows)
     large = sizes.filter(F.col("n") > small_bucket)
     probed = members.select("bucket", F.col("id").alias("probe"), F.col("sig").alias("probe_sig"))
     all_small = large.isEmpty()
@@ -209,7 +202,7 @@ def _decide(
     dropped = []
     hot = None
     if edges.count() > hot_rows:
-        hot = hot_keys(materialize(key_sizes(edges, "probe"), "sizes"), "probe", min_rows=hot_rows)
+        hot = hot_keys(materialize(key_sizes(edges, "probe"), "sizes"), "probe", task_rows=hot_rows)
     while not edges.isEmpty():
         blocked = edges.select(F.col("id").alias("probe"))
         if open_ids is not None:

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.ordering import running_total
 
-# Up to this many rows a top-n heap per task is cheaper than numbering all rows.
-HEAP_ROWS = 10_000
 
+def first_rows(df: DataFrame, order: str, limit: int | None, tie: Sequence[str] = ()) -> DataFrame:
+    """The first ``limit`` rows in ``order``, then ``tie``; no limit for None or zero.
 
-def first_rows(df: DataFrame, order: str, limit: int | None) -> DataFrame:
-    """The first ``limit`` rows in ``order``; no limit for None or zero."""
+    The columns must tell the rows at the cut apart: rows equal in all of them are refused, because
+    which of them come first would be left to chance. Only these columns are put in order; the rows
+    themselves are filtered during their scan.
+    """
     if not limit:
         return df
-    if limit <= HEAP_ROWS:
-        return df.orderBy(order).limit(limit)
-    ranked = running_total(df.select(order), order, out="before")
-    return _up_to(df, order, ranked, limit)
+    keys = [order, *tie]
+    ranked = running_total(df.select(*keys), order, out="before", tie=tie)
+    last = ranked.filter(F.col("before") == limit - 1).select(F.struct(*keys).alias("last")).first()
+    if last is None:
+        return df
+    cut = F.struct(*[F.lit(last["last"][k]).cast(df.schema[k].dataType).alias(k) for k in keys])
+    if df.filter(F.struct(*keys) == cut).limit(2).count() > 1:
+        raise ValueError(f"rows at the cut are equal in {', '.join(keys)}: name a tie-breaker")
+    inside = F.struct(*keys) <= cut if tie else F.col(order) <= F.lit(last["last"][order])
+    return df.filter(inside)
 
 
 def byte_budget(df: DataFrame, order: str, budget: int, text: str = "text") -> DataFrame:

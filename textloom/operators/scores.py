@@ -24,7 +24,10 @@ def macro_average(
 
     def score(task: str) -> Column:
         metrics = parsed[task]
-        return F.coalesce(*[metrics[name].try_cast("double") for name in METRICS])
+        found = F.coalesce(*[metrics[name] for name in METRICS])
+        number = found.try_cast("double")
+        wrong = F.raise_error(F.concat(F.lit(f"a score of task {task} is not a number: "), found)).cast("double")
+        return F.when(found.isNotNull() & number.isNull(), wrong).otherwise(number)
 
     scores = F.filter(F.array(*[score(t) for t in tasks]), lambda s: s.isNotNull())
     total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s)
@@ -49,20 +52,22 @@ def label_log_probs(logits: DataFrame, labels: DataFrame) -> DataFrame:
 
     The scores at ``pos`` predict the label at ``pos + 1``; masked labels are left out. Maximum, sum
     and label score of a position share one shuffle by (seq, pos), and a position holds at most one
-    row per vocabulary entry.
+    row per vocabulary entry. A label without a score is an error.
     """
-    wanted = labels.filter(F.col("label") != IGNORE_LABEL).select(
+    wanted = labels.filter((F.col("label") != IGNORE_LABEL) & (F.col("pos") > 0)).select(
         "seq", (F.col("pos") - 1).alias("pos"), "label"
     )
     at_position = Window.partitionBy("seq", "pos")
-    shifted = logits.join(wanted, ["seq", "pos"]).withColumn("peak", F.max("logit").over(at_position))
+    shifted = wanted.join(logits, ["seq", "pos"], "left").withColumn("peak", F.max("logit").over(at_position))
+    missing = F.raise_error(F.concat_ws(" ", F.lit("no score for the label at"), "seq", "pos")).cast("double")
+    score = F.col("score") - F.col("peak") - F.log("mass")
     return (
         shifted.groupBy("seq", "pos", "label", "peak")
         .agg(
             F.sum(F.exp(F.col("logit") - F.col("peak"))).alias("mass"),
             F.max(F.when(F.col("token") == F.col("label"), F.col("logit"))).alias("score"),
         )
-        .select("seq", "pos", "label", (F.col("score") - F.col("peak") - F.log("mass")).alias("logp"))
+        .select("seq", "pos", "label", F.when(F.col("score").isNull(), missing).otherwise(score).alias("logp"))
     )
 
 
@@ -132,13 +137,16 @@ def draw(candidate_rows: DataFrame, seed: int = 1337, row: str = "row_id") -> Da
 
 
 def evaluation_report(model: str, reports: DataFrame, ppl: DataFrame, cfg: EvalConfig = EvalConfig()) -> DataFrame:
-    """One row ``report`` per evaluation report: a JSON record with scores and perplexity."""
+    """One row ``report`` per evaluation report: a JSON record with scores and perplexity.
+
+    The evaluation's own result is passed through as it is, with all its fields and number types.
+    """
     scored = macro_average(reports, cfg.tasks)
     value = ppl.first()  # one row
     record = F.struct(
         F.lit(model).alias("model"),
         F.array(*[F.lit(t) for t in cfg.tasks]).alias("tasks"),
-        F.from_json("report", "struct<results: map<string, map<string, string>>>").alias("lm_eval"),
+        F.parse_json("report").alias("lm_eval"),
         F.col("macro_average"),
         F.lit(value[0] if value else None).cast("double").alias("val_perplexity"),
     )

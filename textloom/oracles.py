@@ -279,6 +279,9 @@ def all_oracles() -> dict[str, str]:
         "perplexity": f"SELECT round(({PERPLEXITY}), 6) AS val_perplexity",
         "evaluation_report": with_(MACRO)
         + f"""SELECT 'model-a' AS model, 'fr' AS task, round(macro_average, 6) AS macro_average,
-            round(({PERPLEXITY}), 6) AS val_perplexity FROM macro""",
+            round(({PERPLEXITY}), 6) AS val_perplexity, 5::BIGINT AS num_fewshot, count(*) AS languages,
+            round(max(t) FILTER (lang = 'en'), 6) AS en_acc_none, max(lang) FILTER (lang = 'fr') AS fr_alias,
+            round(max(q) FILTER (lang = 'fr'), 6) AS fr_acc_norm
+            FROM macro JOIN means USING (source) GROUP BY source, macro_average""",
     }
     return out

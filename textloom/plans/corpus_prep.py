@@ -13,7 +13,6 @@ from textloom.operators import dedup
 from textloom.operators.bpe_codec import Tokenizer, encode
 from textloom.operators.packing import assign_shards, pack, sequence_count, token_offsets
 from textloom.operators.sampling import first_rows
-from textloom.plans.skew import spread_small_input
 from textloom.session import materialize
 from textloom.sources.text import text_rows
 from textloom.sources.tokenshard import write_token_shards
@@ -23,7 +22,7 @@ def source_rows(
     docs: DataFrame, cfg: CorpusConfig = CorpusConfig(), order: str = "doc_id", max_docs: int | None = None
 ) -> DataFrame:
     """(order, text) after the language and blank filters and the document limit."""
-    rows = text_rows(spread_small_input(docs), cfg.text_field, cfg.language, cfg.language_score)
+    rows = text_rows(docs, cfg.text_field, cfg.language, cfg.language_score)
     return first_rows(rows.select(order, "text"), order, max_docs)
 
 

@@ -7,31 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one MAX_HOT-th of the rows, so fewer than MAX_HOT keys
-# can be hot, however large the table is. That is what makes broadcasting them safe.
-MAX_HOT = 1000
-MIN_HOT_ROWS = 100_000
+# A key is hot when it holds more rows than one task should take, however large the table is.
+HOT_ROWS = 1_000_000
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Use all cores of a single machine for an input of very few files; clusters read many splits."""
-    context = df.sparkSession.sparkContext
-    if context.master.startswith("local") and 0 < len(df.inputFiles()) < context.defaultParallelism:
-        return df.repartition(context.defaultParallelism * 2)
-    return df
+def hot_keys(sizes: DataFrame, key: str, task_rows: int = HOT_ROWS) -> DataFrame | None:
+    """(key, parts) of the keys with more than ``task_rows`` rows, or None when there are none.
 
-
-def hot_keys(sizes: DataFrame, key: str, max_hot: int = MAX_HOT, min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
-    """The keys that hold more than ``1/max_hot`` of the rows, or None when there are none.
-
-    ``sizes`` is a written table with the row count ``n`` of each key.
+    ``sizes`` is a written table with the row count ``n`` of each key. The counts add up to the rows of
+    the table, so there are fewer than rows / task_rows such keys: 100,000 for 10**11 rows.
     """
-    total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    limit = max(total // max_hot, min_rows)
-    if largest <= limit:
-        return None
-    rows = sizes.filter(F.col("n") > limit).select(key).collect()  # fewer than max_hot rows
-    return sizes.sparkSession.createDataFrame(rows, sizes.select(key).schema)
+    hot = sizes.filter(F.col("n") > task_rows).select(key, F.ceil(F.col("n") / task_rows).cast("bigint").alias("_parts"))
+    return None if hot.isEmpty() else hot
 
 
 def key_sizes(df: DataFrame, key: str) -> DataFrame:
@@ -48,20 +35,20 @@ def skew_join(
 ) -> DataFrame:
     """Join ``big`` with ``small``, which has a bounded number of rows per key.
 
-    Rows of hot keys never travel: the matching rows of ``small`` are few and are broadcast to
-    them. All other rows take the ordinary shuffle join. ``condition`` filters inner matches.
+    Rows of a hot key are dealt over several tasks, and the few matching rows of ``small`` are copied
+    to each of them. All other rows take the ordinary join. ``condition`` filters inner matches.
     """
-
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        out = left.join(right, key, how)
-        return out if condition is None else out.filter(condition)
-
     if hot is None:
-        return joined(big, small)
-    hot = F.broadcast(hot)
-    hot_part = joined(big.join(hot, key, "left_semi"), F.broadcast(small.join(hot, key, "left_semi")))
-    cold_part = joined(big.join(hot, key, "left_anti"), small.join(hot, key, "left_anti"))
-    return hot_part.unionByName(cold_part)
+        out = big.join(small, key, how)
+    else:
+        # at most rows / task_rows keys, see hot_keys
+        hot = F.broadcast(hot)
+        parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+        dealt = big.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*big.columns), parts)).drop("_parts")
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
+        copied = small.join(hot, key, "left").withColumn("_part", every).drop("_parts")
+        out = dealt.join(copied, [key, "_part"], how).drop("_part")
+    return out if condition is None else out.filter(condition)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -6,5 +6,5 @@ from pyspark.sql import DataFrame
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Write the JSON text of a one-row report; parent folders are created."""
-    report.select("report").coalesce(1).write.mode("overwrite").text(path)
+    """Write the JSON texts of reports below ``path``, one after another; parent folders are created."""
+    report.select("report").write.mode("overwrite").text(path)

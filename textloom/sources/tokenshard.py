@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +40,9 @@ FORMAT = "tokenshard"
 SCHEMA = "split string, shard_idx int, local_idx bigint, global_idx bigint, tokens array<int>"
 FILE_NAME = re.compile(r"(?P<split>.+)_(?P<shard>\d{6,})\.bin$")
 MAX_ID = 65_535
+# stands in the folder while files are being put in place; readers refuse it
+UNFINISHED = "_unfinished"
+RENAMES_AT_ONCE = 64
 # sequences per read task and tokens per Arrow batch
 TASK_TOKENS = 16 << 20
 BATCH_TOKENS = 1 << 20
@@ -51,14 +55,16 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _list_shards(path: str, split: str | None) -> list[tuple[str, str, int]]:
-    """(split, file, tokens) in name order."""
+    """(split, file, tokens), ordered by split and shard number."""
     fs, root = _filesystem(path)
+    if fs.get_file_info(f"{root}/{UNFINISHED}").type == pafs.FileType.File:
+        raise RuntimeError(f"a write to {path} did not finish: write it again")
     found = []
     for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
         match = FILE_NAME.fullmatch(info.base_name)
         if match and (split is None or match["split"] == split):
-            found.append((match["split"], info.path, info.size // 2))
-    return sorted(found)
+            found.append((match["split"], int(match["shard"]), info.path, info.size // 2))
+    return [(split, file, tokens) for split, _, file, tokens in sorted(found)]
 
 
 @dataclass
@@ -199,12 +205,14 @@ class TokenShardWriter(DataSourceArrowWriter):
                 if len(ids) and (ids.min() < 0 or ids.max() > MAX_ID):
                     raise ValueError("token ids must fit in 16 bits")
                 data = ids.astype("<u2")
-                keys = zip(
-                    batch.column("split").to_pylist(),
-                    batch.column("shard_id").to_pylist(),
-                    batch.column("seq_in_shard").to_pylist(),
-                )
-                for row, (split, shard, position) in enumerate(keys):
+                shards, places = (np.asarray(batch.column(c)) for c in ("shard_id", "seq_in_shard"))
+                splits = np.asarray(batch.column("split").to_pylist(), object)
+                # runs of rows that belong to one shard
+                cuts = np.flatnonzero((shards[1:] != shards[:-1]) | (splits[1:] != splits[:-1])) + 1
+                for first, last in zip([0, *cuts], [*cuts, len(shards)]):
+                    if first == last:
+                        continue
+                    split, shard = splits[first], int(shards[first])
                     if (split, shard) != current:
                         if sink is not None:
                             sink.close()
@@ -213,24 +221,31 @@ class TokenShardWriter(DataSourceArrowWriter):
                         temporary = f"{staging}/{uuid.uuid4().hex}_{name}"
                         files.append((temporary, f"{root}/{name}"))
                         sink = fs.open_output_stream(temporary)
-                    if position != expected:
-                        raise ValueError(f"shard {current} is not in order at sequence {position}")
-                    expected += 1
-                    sink.write(data[offsets[row] : offsets[row + 1]].tobytes())
+                    count = last - first
+                    if (places[first:last] != np.arange(expected, expected + count)).any():
+                        raise ValueError(f"shard {current} is not in order after {expected} sequences")
+                    expected += count
+                    sink.write(data[offsets[first] : offsets[last]].tobytes())
         finally:
             if sink is not None:
                 sink.close()
         return WrittenShards(files)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Put all files in place. New files replace old ones of the same name one by one and leftovers go
+        last, behind a mark that makes readers refuse the folder should this break off."""
         fs, root = _filesystem(self.path)
         fs.create_dir(root, recursive=True)
-        if self.overwrite:
-            for _, file, _ in _list_shards(self.path, None):
-                fs.delete_file(file)
-        for message in messages:
-            for temporary, final in message.files if message else []:
-                fs.move(temporary, final)
+        moves = [move for message in messages if message for move in message.files]
+        names = {final for _, final in moves}
+        with fs.open_output_stream(f"{root}/{UNFINISHED}"):
+            pass
+        present = [info.path for info in fs.get_file_info(pafs.FileSelector(root)) if FILE_NAME.fullmatch(info.base_name)]
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            list(pool.map(lambda move: fs.move(*move), moves))
+            if self.overwrite:
+                list(pool.map(fs.delete_file, [path for path in present if path not in names]))
+        fs.delete_file(f"{root}/{UNFINISHED}")
         self._drop_staging(fs, root)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
