@@ -118,3 +118,34 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in mh.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
+
+
+def test_bounds_hold_and_variants_are_classed_like_brute_force(spark):
+    rng = random.Random(8)
+    base = words(rng, 120)
+    rows = []
+    for i in range(70):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            copy[rng.randrange(len(copy))] = rng.choice([f"z{rng.randrange(9999)}", copy[0]])
+        rows.append((i, " ".join(copy + (copy[:30] if i % 9 == 0 else []))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in mh.near_duplicate_classes(docs).collect()}
+    assert got == brute_classes(rows)
+    sets = mh.run_sets(docs, docs.select(F.col("doc_id").alias("node")), CFG)
+    found, rare = mh.shared_runs(sets, sets.select("node", F.col("node").alias("root")), mh.NearDupConfig(threshold=0.0))
+    stats = {r["node"]: r["stats"] for r in found.collect()}
+    met = {(r["a"], r["b"]) for r in rare.collect()}
+    kind = "struct<total bigint, own bigint, most int, many int, shared bigint>"
+    rows_of = [(stats[a], stats[b], a, b) for a, b in itertools.combinations(range(70), 2) if (a, b) not in met]
+    pairs = spark.createDataFrame(rows_of, f"x {kind}, y {kind}, a int, b int")
+    bounds = pairs.select("a", "b", F.least(mh.most_similar(F.col("x"), F.col("y")), mh.most_similar(F.col("y"), F.col("x"))).alias("most"))
+    texts = {i: runs(t) for i, t in rows}
+    for r in bounds.collect():
+        assert jaccard(texts[r["a"]], texts[r["b"]]) <= r["most"] + 1e-9
+    # pairs left to the bounds have no rare run in common
+    count = {}
+    for t in texts.values():
+        for run in t:
+            count[run] = count.get(run, 0) + 1
+    assert met == {(a, b) for a, b in itertools.combinations(range(70), 2) if any(count[r] <= mh.RARE for r in set(texts[a]) & set(texts[b]))}

@@ -41,7 +41,8 @@ def test_exact_search_equals_brute_force(spark):
     assert got == brute(rows, lambda x: int(np.floor(64 * x)))
 
 
-def test_posting_lists_recall(spark):
+def test_posting_lists_recall(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "VECTORS_PER_LIST", 128)
     rows = sample(1500) + [(2000, None), (2020, [0.0] * 16), (2040, [float("inf")] * 16)]
     got = collect(posting_lists.search(table(spark, rows)))
     want = brute(rows, float, usable=lambda v: any(v))

@@ -98,6 +98,41 @@ def test_other_settings(spark, cfg):
     assert kept_ids(spark, rows, cfg, small_bucket=4) == one_by_one(rows, cfg)
 
 
+def test_boilerplate_buckets_take_no_more_rounds_when_they_grow(spark, monkeypatch):
+    rng = random.Random(21)
+    base = [rng.randrange(10**6) for _ in range(64)]
+    rounds = []
+    whole = dedup._round
+    monkeypatch.setattr(dedup, "_round", lambda *a: rounds.append(1) or whole(*a))
+    counts = []
+    for n in (100, 3000):
+        # nine bands in common, otherwise unlike; and one true copy
+        rows = [(i, changed(base, range(36, 64), rng)) for i in range(n)]
+        rows.append((n, changed(rows[5][1], range(40, 44), rng)))
+        rounds.clear()
+        assert kept_ids(spark, rows) == list(range(n))
+        counts.append(len(rounds))
+    assert counts[1] <= counts[0] + 1 <= 3
+
+
+def test_dropped_by_names_the_first_kept_document(spark):
+    cfg = DedupConfig()
+    rng = random.Random(5)
+    rows = list(enumerate(family(rng, 30, cfg, [1, 3, 5, 8]) + family(rng, 5, cfg, [1, 2])))
+    rows += [(100, rows[0][1]), (101, rows[31][1]), (102, rows[31][1])]
+    kept = set(one_by_one(rows, cfg))
+    sigs = dict(rows)
+    want = {}
+    for i, sig in rows:
+        if i not in kept:
+            near = [(k, sum(x == y for x, y in zip(sig, sigs[k])) / 64) for k in sorted(kept) if k < i]
+            want[i] = next((k, s) for k, s in near if s >= cfg.threshold)
+    df = spark.createDataFrame(rows, "doc_id bigint, sig array<int>")
+    for small in (2, 64):
+        got = {r.doc_id: (r.kept_id, r.similarity) for r in dedup.dropped_by(df, cfg, small_bucket=small).collect()}
+        assert got == want
+
+
 def test_more_bands_than_positions_is_refused():
     with pytest.raises(ValueError):
         dedup.band_rows(DedupConfig(permutations=8, bands=16))

@@ -188,6 +188,12 @@ def dedup_first_kept(spark, sf_dir):
     return dedup.first_kept_wins(materialize(signed_documents(spark, sf_dir), "signed"))
 
 
+def dropped_by(spark, sf_dir):
+    """Each dropped document with the first kept one that drops it."""
+    rows = dedup.dropped_by(materialize(signed_documents(spark, sf_dir), "signed"))
+    return rows.select("doc_id", "kept_id", F.round("similarity", 6).alias("similarity"))
+
+
 def clean_unique_by_source(spark, sf_dir):
     """Flagship: English documents that pass all filters, counted per source."""
     docs = documents(spark, sf_dir)
@@ -584,7 +590,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         language_filter, metadata_value, blank_filter, word_tokens, quality_filter, word_shingles, seeded_hash,
         end_of_text, keep_last_tokens,
         minhash_signature, band_keys, bucket_leader_candidates, near_duplicates_of_leader, signature_similarity,
-        dedup_first_kept, clean_unique_by_source, incremental_dedup,
+        dedup_first_kept, dropped_by, clean_unique_by_source, incremental_dedup,
         byte_budget_prefix, first_documents, pack_sequences, pack_sequence_limit, train_val_split,
         shard_assignment, shard_statistics, corpus_sequences, corpus_to_shards,
         piece_counts, byte_alphabet, bpe_merges, english_tokenizer, chat_vocabulary, bpe_encode, bpe_round_trip,

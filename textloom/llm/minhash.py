@@ -10,10 +10,11 @@ first, so two documents agree in a register with the probability of their simila
 soon as its next arrival is later than the latest first arrival of all registers.
 
 **Candidates.** Documents with equal word sequences collapse to the first of them during the map-side
-aggregation. The signature is cut into bands. Each bucket first links its members to its first member
-only, so a bucket of n rows gives n - 1 pairs. After verification, only members that are still in
-different components of the same bucket are compared, the join's condition demanding similar
-signatures: six standard deviations below the threshold, so that no link is lost to the estimate.
+aggregation. The signature is cut into bands. Each bucket first links its members to one leader only, so
+a bucket of n rows gives n - 1 pairs. After verification, only members that are still in different
+components of the same bucket are compared, without those that have too many runs of their own to
+reach the threshold with any document. The join's condition demands similar signatures, by four bits of
+each register: six standard deviations below the threshold, so that no link is lost to the estimate.
 
 **Verification** reads the runs of candidate documents again and computes the similarity exactly.
 Components come from alternating stars over tables; no links are gathered on the driver.
@@ -26,17 +27,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.hashing import equal_positions
 from textloom.llm import blocks as bl
 from textloom.session import materialize
 
 
+# runs of at most so many documents are rare; see shared_runs
+RARE = 3
+
+
 @dataclass(frozen=True)
 class NearDupConfig:
     words: int = 5
@@ -49,10 +54,16 @@ class NearDupConfig:
         return self.bands * self.rows
 
     @property
-    def least_equal(self) -> int:
-        """Equal registers below which two documents at the threshold fall once in a billion pairs."""
-        t = self.threshold
-        return max(0, int(self.registers * t - 6 * (self.registers * t * (1 - t)) ** 0.5))
+    def most_different(self) -> int:
+        """Differing bits, of four per register, that two documents at the threshold pass once in a billion
+        pairs: a register differs with probability 1 - threshold, and then each of its bits by chance."""
+        miss = 1 - self.threshold
+        mean, square = 2 * miss, 5 * miss
+        return int(self.registers * mean + 6 * (self.registers * (square - mean**2)) ** 0.5) + 1
+
+    @property
+    def bit_words(self) -> list[str]:
+        return [f"bits{i}" for i in range(-(-self.registers // 16))]
 
 
 def weighted_runs(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -124,10 +135,18 @@ def signatures(hashes: np.ndarray, weights: np.ndarray, lengths: np.ndarray, reg
     return (bl.mix(winner) >> np.uint64(32)).astype(np.uint32).view(np.int32).reshape(n, registers)
 
 
+def packed_bits(sig: np.ndarray, words: int) -> np.ndarray:
+    """Four bits of each register, sixteen registers to a 64-bit word: (texts, words)."""
+    wide = np.zeros((len(sig), words * 16), np.uint64)
+    wide[:, : sig.shape[1]] = sig & 15
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return (wide.reshape(len(sig), words, 16) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
 def _sign(cfg: NearDupConfig):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.list_(pa.int32()))]
-    )
+    words = cfg.bit_words
+    longs = [(name, pa.int64()) for name in ("doc_id", "h1", "h2", *words)]
+    schema = pa.schema([*longs, ("sig", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,10 +157,9 @@ def _sign(cfg: NearDupConfig):
                 sig_list = bl.list_array(sig.ravel(), np.where(lengths, cfg.registers, 0), pa.int32())
                 if not lengths.all():
                     sig_list = bl.list_array(sig[lengths > 0].ravel(), np.where(lengths, cfg.registers, 0), pa.int32())
-                both = whole.view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, len(texts)), pa.array(both[:, 0]), pa.array(both[:, 1]), sig_list], schema=schema
-                )
+                numbers = np.concatenate([whole.view(np.int64), packed_bits(sig, len(words))], axis=1)
+                columns = [pa.array(np.ascontiguousarray(column)) for column in numbers.T]
+                yield pa.RecordBatch.from_arrays([ids.slice(start, len(texts)), *columns, sig_list], schema=schema)
 
     return run
 
@@ -192,18 +210,21 @@ def _annotated(f):
     return f
 
 
-def verified(pairs: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """The pairs (a, b) whose documents reach the threshold. ``docs`` has ``doc_id`` and ``text``."""
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    # rows with the same doc_id are one document: the first text in order stands for it
-    wanted = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi")
-    sets = materialize(
-        wanted.mapInArrow(_runs_of(cfg), "node bigint, runs array<bigint>, counts array<int>"), "runs"
-    )
+def run_sets(docs: DataFrame, nodes: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """(node, runs, counts) of the documents named in ``nodes``: the one time that texts are shuffled.
+
+    The list of nodes follows the corpus, so both sides are always dealt by id and never broadcast.
+    """
+    wanted = docs.select("doc_id", "text").join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    return materialize(wanted.mapInArrow(_runs_of(cfg), "node bigint, runs array<bigint>, counts array<int>"), "runs")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """The pairs (a, b) whose documents reach the threshold."""
     left = sets.select(F.col("node").alias("b"), F.col("runs").alias("y"), F.col("counts").alias("yw"))
     right = sets.select(F.col("node").alias("a"), F.col("runs").alias("x"), F.col("counts").alias("xw"))
-    met = pairs.join(left, "b").join(right, "a")
-    return met.filter(_similar(cfg.threshold)("x", "xw", "y", "yw")).select("a", "b").distinct()
+    met = pairs.hint("merge").join(left, "b").join(right.hint("merge"), "a")
+    return materialize(met.filter(_similar(cfg.threshold)("x", "xw", "y", "yw")).select("a", "b").distinct(), "edges")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -236,36 +257,40 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def buckets(reps: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """(bucket, node) for each band of each document."""
+def band_keys(cfg: NearDupConfig) -> Column:
+    """Bucket numbers of a signature's bands."""
     keys = (
         f"xxhash64({b}, {', '.join(f'get(sig, {b * cfg.rows + i})' for i in range(cfg.rows))})" for b in range(cfg.bands)
     )
-    return reps.select("node", F.explode(F.expr(f"array({', '.join(keys)})")).alias("bucket"))
+    return F.expr(f"array({', '.join(keys)})")
+
+
+def buckets(reps: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """(bucket, band, node) for each band of each document."""
+    return reps.select("node", F.posexplode(band_keys(cfg)).alias("band", "bucket"))
 
 
 def near_duplicate_classes(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:
     """(doc_id, class_id) for each row of ``docs``, which has ``doc_id`` and ``text``; see above."""
     docs = docs.select("doc_id", "text")
     signed = materialize(
-        docs.mapInArrow(_sign(cfg), "doc_id bigint, h1 bigint, h2 bigint, sig array<int>"), "signed"
+        docs.mapInArrow(_sign(cfg), f"doc_id bigint, h1 bigint, h2 bigint, {' '.join(f'{w} bigint,' for w in cfg.bit_words)} sig array<int>"),
+        "signed",
     )
     filled = signed.filter(F.size("sig") > 0)
     firsts = materialize(filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "firsts")
-    reps = filled.join(firsts, (F.col("doc_id") == F.col("node")) & (filled.h1 == firsts.h1) & (filled.h2 == firsts.h2), "left_semi")
-    reps = materialize(reps.select(F.col("doc_id").alias("node"), "sig"), "representatives")
-
-    members = buckets(reps, cfg)
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialize(members.join(leaders, "bucket"), "members")
-    pairs = members.filter("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    edges = materialize(verified(materialize(pairs, "pairs"), docs, cfg), "edges")
+    reps = filled.join(firsts.hint("merge"), (F.col("doc_id") == F.col("node")) & (filled.h1 == firsts.h1) & (filled.h2 == firsts.h2), "left_semi")
+    reps = materialize(reps.select(F.col("doc_id").alias("node"), "sig", *cfg.bit_words), "representatives")
+
+    members = led_buckets(buckets(reps, cfg))
+    pairs = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    sets = run_sets(docs, members.select("node").distinct(), cfg)
+    edges = verified(pairs, sets, cfg)
     linked = components(edges)
 
-    rest = _across(members.filter("n > 2"), linked, reps, cfg)
+    rest = _across(members.filter("n > 2"), linked, reps, sets, cfg)
     if not rest.isEmpty():
-        more = materialize(verified(rest, docs, cfg), "edges")
-        linked = components(edges.unionByName(more))
+        linked = components(edges.unionByName(verified(rest, sets, cfg)))
 
     # rows with one doc_id but several texts tie their classes together
     root = F.coalesce("root", "node")
@@ -274,30 +299,108 @@ def near_duplicate_classes(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()
     return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def _across(members: DataFrame, linked: DataFrame, reps: DataFrame, cfg: NearDupConfig) -> DataFrame:
+def led_buckets(rows: DataFrame) -> DataFrame:
+    """(bucket, band, node, n, leader) of the buckets with several members. The leader is the member that meets
+    most others over all its buckets: among variants of one text that is the one nearest to all."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialize(rows.join(sizes.hint("merge"), "bucket"), "shared")
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked = shared.join(met.hint("merge"), "node").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("first"))
+    led = shared.join(ranked.select("bucket", (-F.col("first.node")).alias("leader")).hint("merge"), "bucket")
+    return materialize(led, "members")
+
+
+def shared_runs(sets: DataFrame, nodes: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame, DataFrame]:
+    """What the runs of ``nodes`` (node, root) say about possible pairs: figures, and pairs by rare runs.
+
+    Figures (node, stats) of documents that can have a partner at all: ``total`` is the number of runs by
+    count, ``most`` the largest count, ``many`` the number of distinct runs with a count above one; ``own``
+    is a part that only ``RARE`` of the nodes have, ``shared`` the number of the other distinct runs.
+    A document is left out when the part that no other node has rules the threshold out by itself.
+
+    Pairs (a, b): nodes of different roots that have a rare run in common. For all other pairs rare runs
+    count as runs of their own.
+    """
+    inside = sets.join(nodes.hint("merge"), "node")
+    total = inside.select(
+        "node",
+        F.aggregate("counts", F.lit(0).cast("bigint"), lambda acc, c: acc + c).alias("total"),
+        F.size("counts").alias("distinct"),
+        F.array_max("counts").alias("most"),
+        F.size(F.filter("counts", lambda c: c > 1)).alias("many"),
+    )
+    rows = inside.select("node", "root", F.explode(F.arrays_zip("runs", "counts")).alias("r"))
+    by_run = rows.groupBy(F.col("r.runs").alias("run")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("mixed"),
+        F.sum("r.counts").alias("mass"), (F.min("root") != F.max("root")).alias("across"),
+    )
+    # the lowest, the highest and, of three, the one that is left
+    third = F.col("mixed").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
+    who = F.when(F.col("n") == 1, F.array("low")).when(F.col("n") == 2, F.array("low", "high")).otherwise(F.array("low", third, "high"))
+    rare = by_run.filter(F.col("n") <= RARE).withColumn("who", who)
+    rare = materialize(rare.select("n", "who", "mass", "across"), "rare")
+    alone = F.col("n") == 1
+    parts = rare.select(F.explode("who").alias("node"), alone.alias("alone"), F.when(alone, F.col("mass")).otherwise(1).alias("mass"))
+    own = parts.groupBy("node").agg(
+        F.sum("mass").alias("own"), F.count(F.lit(1)).alias("own_distinct"), F.sum(F.when(F.col("alone"), F.col("mass"))).alias("sole")
+    )
+    found = total.join(own.hint("merge"), "node", "left").na.fill(0, ["own", "own_distinct", "sole"])
+    able = found.filter(F.col("total") - F.col("sole") >= F.col("total") * (cfg.threshold - 1e-9))
+    stats = able.select("node", F.struct("total", "own", "most", "many", (F.col("distinct") - F.col("own_distinct")).alias("shared")).alias("stats"))
+    met = rare.filter("across").select("who").distinct()
+    two = F.array(*[F.struct(F.get("who", F.lit(i)).alias("a"), F.get("who", F.lit(j)).alias("b")) for i, j in ((0, 1), (1, 2), (0, 2))])
+    pairs = met.select(F.explode(F.when(F.size("who") == 2, F.slice(two, 1, 1)).otherwise(two)).alias("p")).select("p.a", "p.b").distinct()
+    return stats, pairs
+
+
+def most_similar(x: Column, y: Column) -> Column:
+    """The largest similarity that two documents with these figures and without a common rare run can
+    have, seen from ``x``.
+
+    A common run i adds x_i / (X + rest), where the rest holds what only y has, by its count in units of
+    y_i. Common runs are at most the shared ones of either side; those repeated in y, whose rest may be
+    small, weigh at most ``most`` each in x.
+    """
+    common = x["total"] - x["own"] - F.greatest(x["shared"] - y["shared"], F.lit(0))
+    repeated = F.least(common, x["most"] * y["many"])
+    return (common - repeated) / (x["total"] + y["own"]) + repeated / x["total"]
+
+
+def _across(members: DataFrame, linked: DataFrame, reps: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
     """Pairs that share a bucket, lie in different components, and have similar signatures.
 
     The bucket's leader has been compared with all members, so one side is a member outside the
-    leader's component and neither side is the leader.
+    leader's component and neither side is the leader. Documents that cannot have a partner at all are
+    taken out first, and pairs whose runs of their own rule out the threshold are not formed, which
+    leaves few even where many unlike documents share a bucket.
     """
-    tree = linked.select("node", "root")
-    placed = members.join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.join(linked.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = materialize(placed, "placed")
     split = placed.groupBy("bucket").agg(
         F.max(F.when(F.col("node") == F.col("leader"), F.col("root"))).alias("lead_root"),
-        F.countDistinct("root").alias("roots"),
-        F.first("n").alias("total"),
-    )
-    split = split.filter("roots > 1 and total > 2").select("bucket", "lead_root")
-    open_rows = placed.filter("node > leader").join(split, "bucket").join(reps, "node")
-    open_rows = materialize(
-        open_rows.select("bucket", "node", "root", "sig", (F.col("root") != F.col("lead_root")).alias("outside")), "open"
-    )
-    one = open_rows.filter("outside").select("bucket", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("sig").alias("y_sig"))
-    two = open_rows.select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("sig").alias("x_sig"), F.col("outside").alias("x_outside"))
-    near = equal_positions("y_sig", "x_sig", cfg.registers) >= cfg.least_equal
-    met = one.join(two, "bucket").filter(
-        (F.col("y_root") != F.col("x_root")) & (~F.col("x_outside") | (F.col("x") < F.col("y"))) & near
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
     )
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return materialize(pairs, "pairs")
+    split = split.filter("low <> high").select("bucket", "lead_root")
+    open_rows = materialize(placed.filter("node <> leader").join(split.hint("merge"), "bucket").drop("leader", "n"), "open")
+    stats, rare = shared_runs(sets, open_rows.select("node", "root").distinct(), cfg)
+    able = materialize(stats, "stats")
+    # both ends must be able to have a partner
+    ids = able.select("node")
+    rare = rare.join(ids.withColumnRenamed("node", "a").hint("merge"), "a", "left_semi")
+    rare = materialize(rare.join(ids.withColumnRenamed("node", "b").hint("merge"), "b", "left_semi").select("a", "b"), "rare_pairs")
+    signed = able.join(reps, "node").withColumn("keys", band_keys(cfg)).drop("sig")
+    rows = open_rows.join(signed.hint("merge"), "node")
+    rows = materialize(rows.withColumn("outside", F.col("root") != F.col("lead_root")), "comparable")
+    figures = ["node", "root", "outside", "stats", "keys", *cfg.bit_words]
+    one = rows.filter("outside").select("bucket", "band", *[F.col(c).alias(f"y_{c}") for c in figures])
+    two = rows.select("bucket", *[F.col(c).alias(f"x_{c}") for c in figures])
+    apart = (F.col("y_root") != F.col("x_root")) & (~F.col("x_outside") | (F.col("x_node") < F.col("y_node")))
+    x_stats, y_stats = F.col("x_stats"), F.col("y_stats")
+    possible = F.least(most_similar(x_stats, y_stats), most_similar(y_stats, x_stats)) >= cfg.threshold - 1e-9
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(f"y_{w}"))) for w in cfg.bit_words])
+    # a pair is formed in the first of its common buckets only
+    earlier = F.arrays_overlap(F.slice("x_keys", 1, F.col("band")), F.slice("y_keys", 1, F.col("band")))
+    met = one.join(two, "bucket").filter(apart & possible & (differ <= cfg.most_different) & ~earlier)
+    pairs = met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+    return materialize(pairs.unionByName(rare).distinct(), "pairs")

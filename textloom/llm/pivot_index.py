@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.posting_lists import lifted, squared
-from textloom.llm.vectors import matrix, ranked, score_lists, usable
+from textloom.llm.vectors import kth_scores, matrix, ranked, score_lists, usable
 from textloom.session import materialize
 
 SCALE = 64
@@ -89,8 +89,8 @@ def _annuli(shared):
             pick = (place >= np.reshape(lower, (-1, 1))) & (place < np.reshape(upper, (-1, 1))) & (bound >= least[:, None])
             row, which = np.nonzero(pick)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(name[which]), batch.column(1).take(pa.array(row))],
-                ["query_id", "list", "q"],
+                [batch.column(0).take(pa.array(row)), pa.array(name[which]), *(batch.column(i).take(pa.array(row)) for i in (1, 2))],
+                ["query_id", "list", "q", "least"],
             )
 
     return run
@@ -125,11 +125,9 @@ def search(table: DataFrame, k: int = TOP, every: int = 20) -> DataFrame:
         if best is None:
             asking = queries.withColumn("least", F.lit(float("-inf")))
         else:
-            # fewer than k found so far: nothing can be left out yet
-            so_far = best.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
-            asking = queries.join(so_far, "query_id", "left").select("query_id", "q", F.coalesce("kth", F.lit(float("-inf"))).alias("least"))
+            asking = queries.join(kth_scores(best, k), "query_id", "left").na.fill(float("-inf"), ["least"])
         shared = spark.sparkContext.broadcast((points, length, annuli, k, first, last))
-        asked = materialize(asking.mapInArrow(_annuli(shared), "query_id bigint, list bigint, q array<double>"), "asked")
+        asked = materialize(asking.mapInArrow(_annuli(shared), "query_id bigint, list bigint, q array<double>, least double"), "asked")
         found = score_lists(asked, postings, k)
         best = materialize(ranked(found if best is None else found.unionByName(best.select("query_id", "vec_id", "score")), k), "best")
     return best.select("query_id", "rank", "vec_id", F.col("score").cast("bigint").alias("score"))

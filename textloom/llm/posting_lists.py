@@ -9,7 +9,8 @@ near a border, to further lists whose centroid is at most ``1 + BORDER`` times a
 
 **Search.** Centroids form a graph of nearest neighbours in memory; a best-first walk finds the nearest
 ones for vectors and queries. A query reads the lists whose centroid is at most ``1 + REACH`` times as far
-as the nearest. All vectors of these lists are scored exactly, in double precision.
+as the nearest: that one first, then the others for scores that reach its k-th one. All vectors of these
+lists are scored exactly, in double precision.
 
 Every vector is indexed; lists have no cap, large ones are dealt over several groups.
 
@@ -27,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.vectors import matrix, ranked, score_lists, usable
+from textloom.llm.vectors import kth_scores, matrix, ranked, score_lists, usable
 from textloom.session import materialize
 
 SAMPLE = 16_384
-VECTORS_PER_LIST, MOST_LISTS = 256, 2048
+VECTORS_PER_LIST, MOST_LISTS = 1024, 2048
 NEIGHBOURS, BEAM = 16, 64
-REPLICAS, BORDER = 3, 0.05
-REACH = 0.12
+REPLICAS, BORDER = 2, 0.05
+REACH = 0.08
 TOP = 20
 BATCH = 512
 
@@ -130,9 +131,10 @@ def _lists_of(shared, column: str, ratio: float, most: int | None):
                     place = np.argsort(np.argsort(apart, axis=1, kind="stable"), axis=1)
                     close &= place < most
                 row, which = np.nonzero(close)
+                nearest = apart.argmin(axis=1)[row] == which
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row)), pa.array(which), part.column(1).take(pa.array(row))],
-                    [part.schema.names[0], "list", column],
+                    [part.column(0).take(pa.array(row)), pa.array(which), pa.array(nearest), part.column(1).take(pa.array(row))],
+                    [part.schema.names[0], "list", "nearest", column],
                 )
 
     return run
@@ -153,8 +155,11 @@ def search(table: DataFrame, k: int = TOP, reach: float = REACH, every: int = 20
     lists = int(max(1, min(MOST_LISTS, n // VECTORS_PER_LIST, len(sample))))
     index = build(sample, lists, longest * (1 + 1e-9))
     shared = spark.sparkContext.broadcast(index)  # MOST_LISTS centroids at most
-    postings = vectors.mapInArrow(_lists_of(shared, "vec", BORDER, REPLICAS), "vec_id bigint, list bigint, vec array<double>")
+    postings = vectors.mapInArrow(_lists_of(shared, "vec", BORDER, REPLICAS), "vec_id bigint, list bigint, nearest boolean, vec array<double>")
     asking = vectors.filter(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q"))
-    asked = asking.mapInArrow(_lists_of(shared, "q", reach, None), "query_id bigint, list bigint, q array<double>")
-    found = score_lists(materialize(asked, "asked"), materialize(postings, "postings"), k)
-    return ranked(found, k)
+    asked = asking.mapInArrow(_lists_of(shared, "q", reach, None), "query_id bigint, list bigint, nearest boolean, q array<double>")
+    asked, postings = materialize(asked, "asked"), materialize(postings.drop("nearest"), "postings")
+    near = asked.filter("nearest").withColumn("least", F.lit(float("-inf")))
+    first = materialize(ranked(score_lists(near, postings, k), k), "first")
+    rest = asked.filter("not nearest").join(kth_scores(first, k), "query_id", "left").na.fill(float("-inf"), ["least"])
+    return ranked(score_lists(rest, postings, k).unionByName(first.drop("rank")), k)

@@ -30,40 +30,37 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def inner_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products added up component by component, so that a pair's value does not depend on the
-    other rows around it and equal vectors tie exactly."""
-    out = np.zeros((len(queries), len(rows)))
-    part = np.empty_like(out)
-    for d in range(queries.shape[1] if out.size else 0):
-        np.multiply(queries[:, d, None], rows[None, :, d], out=part)
-        out += part
-    return out
-
-
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and columns of the k best of each row: larger scores, then smaller ids."""
-    order = np.argsort(ids, kind="stable")
-    ranked = scores[:, order]
-    if ranked.shape[1] > k:
-        # everything at or above the k-th score, so that ties are settled by id and not by position
-        kth = -np.partition(-ranked, k - 1, axis=1)[:, k - 1]
-        row, col = np.nonzero(ranked >= kth[:, None])
-    else:
-        row, col = np.nonzero(ranked > -np.inf)
-    value = ranked[row, col]
-    keep = value > -np.inf
-    row, col, value = row[keep], col[keep], value[keep]
-    by = np.lexsort((col, -value, row))
-    row, col = row[by], col[by]
-    nth = np.arange(len(row)) - np.searchsorted(row, row)
-    return row[nth < k], order[col[nth < k]]
+def best_pairs(
+    queries: np.ndarray, who: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, least: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, columns and scores of each query's k best: larger inner products, then smaller ids.
+
+    A matrix product, a little off in its last digits, finds what may be among them; those products are
+    then added up component by component, so that a pair's score does not depend on the rows around it
+    and equal vectors tie exactly. Scores below ``least`` of the query are of no use to it.
+    """
+    rough = queries @ rows.T
+    rough[who[:, None] == ids[None, :]] = -np.inf
+    bar = np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k else np.full(len(rough), -np.inf)
+    bar = np.maximum(bar, least)
+    size = np.linalg.norm(queries, axis=1) * np.linalg.norm(rows, axis=1).max()
+    row, col = np.nonzero((rough >= (bar - 1e-9 * size)[:, None]) & (rough > -np.inf))
+    exact = np.zeros(len(row))
+    for d in range(queries.shape[1]):
+        exact += queries[row, d] * rows[col, d]
+    keep = exact >= least[row]
+    row, col, exact = row[keep], col[keep], exact[keep]
+    by = np.lexsort((ids[col], -exact, row))
+    row, col, exact = row[by], col[by], exact[by]
+    first = (np.arange(len(row)) - np.searchsorted(row, row)) < k
+    return row[first], col[first], exact[first]
 
 
 def score_lists(asked: DataFrame, postings: DataFrame, k: int) -> DataFrame:
     """The best ``k`` (query_id, vec_id, score) within each group of vectors.
 
-    ``asked``: (query_id, list, q) with the query's vector; ``postings``: (list, vec_id, vec). A list's
+    ``asked``: (query_id, list, q, least) with the query's vector and the score that it has no use below;
+    ``postings``: (list, vec_id, vec). A list's
     vectors and its queries are dealt over groups of bounded size, so no list is gathered whole.
     """
     sizes = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / GROUP_VECTORS).alias("parts"))
@@ -75,7 +72,7 @@ def score_lists(asked: DataFrame, postings: DataFrame, k: int) -> DataFrame:
     )
     queries = asked.join(plan, "list").select(
         "list", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("query_id"), "turns").alias("turn"), "query_id", "q",
+        F.pmod(F.xxhash64("query_id"), "turns").alias("turn"), "query_id", "q", "least",
     )
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -83,10 +80,9 @@ def score_lists(asked: DataFrame, postings: DataFrame, k: int) -> DataFrame:
         ids, who = np.asarray(left.column("vec_id")), np.asarray(right.column("query_id"))
         if not len(ids) or not len(who):
             return schema.empty_table()
-        scores = inner_products(matrix(right.column("q")), matrix(left.column("vec")))
-        scores[who[:, None] == ids[None, :]] = -np.inf
-        row, col = best(scores, ids, k)
-        return pa.table([who[row], ids[col], scores[row, col]], schema=schema)
+        least = np.asarray(right.column("least"))
+        row, col, scores = best_pairs(matrix(right.column("q")), who, matrix(left.column("vec")), ids, k, least)
+        return pa.table([who[row], ids[col], scores], schema=schema)
 
     keys = ("list", "part", "turn")
     met = vectors.groupBy(*keys).cogroup(queries.groupBy(*keys))
@@ -98,3 +94,9 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def kth_scores(best: DataFrame, k: int) -> DataFrame:
+    """(query_id, least): the score of the k-th found so far; minus infinity where fewer are found."""
+    enough = F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(float("-inf")))
+    return best.groupBy("query_id").agg(enough.alias("least"))

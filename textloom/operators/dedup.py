@@ -8,7 +8,9 @@ documents kept so far, but it is reached in rounds of joins:
 2. Two signatures that reach the threshold differ in few positions, hence share at least a known
    number of bands. So it is enough to look at each document's rarest bands (prefix filtering).
    Bands made common by boilerplate drop out, and so do documents with only bands of their own.
-3. In each round the lowest ids of every band bucket ("probes") are compared with the members of
+3. Documents whose signatures have too many values of their own to be near any other one leave the
+   large buckets at once.
+4. In each round the lowest ids of every band bucket ("probes") are compared with the members of
    the bucket. Small buckets are compared completely. A large bucket only meets its first few
    members, so its work is linear in its size; the near-copies found this way leave, and the
    next round looks at what remains, with more probes. Nothing is capped: rounds go on until
@@ -115,9 +117,21 @@ def first_kept_wins(
 
     Ids must be unique and give the reading order.
     """
+    reps, members = _candidates(signed, cfg, order, small_bucket, hot_rows)
+    return _kept(reps, members, cfg, small_bucket, hot_rows).withColumnRenamed("id", order)
+
+
+def _candidates(
+    signed: DataFrame, cfg: DedupConfig, order: str, small_bucket: int, hot_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """The first document of each signature, and the bucket rows through which these can meet."""
     first = signed.groupBy("sig").agg(F.min(order).alias("id"))
     reps = materialize(first, "representatives")
     members = _prefix_members(reps, cfg, hot_rows)
+    return reps, None if members is None else _without_loners(members, reps, cfg, small_bucket, hot_rows)
+
+
+def _kept(reps: DataFrame, members: DataFrame | None, cfg: DedupConfig, small_bucket: int, hot_rows: int) -> DataFrame:
     dropped = []
     probes = 1
     while members is not None:
@@ -126,9 +140,48 @@ def first_kept_wins(
             dropped.append(lost)
         probes = min(probes * 4, MAX_PROBES)
     kept = reps.select("id")
-    if dropped:
-        kept = kept.join(union_all(dropped), "id", "left_anti")
-    return kept.withColumnRenamed("id", order)
+    return kept.join(union_all(dropped), "id", "left_anti") if dropped else kept
+
+
+def dropped_by(
+    signed: DataFrame, cfg: DedupConfig = DedupConfig(), order: str = "doc_id", small_bucket: int = SMALL_BUCKET, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """(``order``, kept_id, similarity) of each dropped document: the first kept one that drops it.
+
+    Documents with one signature are dropped by the same document, or by the first of themselves.
+    """
+    reps, members = _candidates(signed, cfg, order, small_bucket, hot_rows)
+    kept = materialize(_kept(reps, members, cfg, small_bucket, hot_rows), "kept")
+    cause = kept.select("id", F.col("id").alias("kept_id"), F.lit(1.0).alias("similarity"))
+    if members is not None:
+        keepers = members.join(kept, "id", "left_semi").select("bucket", F.col("id").alias("kept_id"), F.col("sig").alias("kept_sig"))
+        met = members.join(kept, "id", "left_anti").join(keepers, "bucket").filter(F.col("kept_id") < F.col("id"))
+        near = met.filter(is_near_duplicate("kept_sig", "sig", cfg))
+        equal = hashing.equal_positions("kept_sig", "sig", cfg.permutations) / cfg.permutations
+        least = near.select("id", F.struct("kept_id", equal.alias("similarity")).alias("by")).groupBy("id").agg(F.min("by").alias("by"))
+        cause = cause.unionByName(least.select("id", "by.kept_id", "by.similarity"))
+    by_signature = reps.join(cause, "id").drop("id")
+    found = signed.select(order, "sig").join(by_signature, "sig").filter(F.col(order) != F.col("kept_id"))
+    return found.select(order, "kept_id", "similarity")
+
+
+def _without_loners(members: DataFrame, reps: DataFrame, cfg: DedupConfig, small_bucket: int, hot_rows: int) -> DataFrame:
+    """Take out of large buckets the documents that cannot have a near-duplicate there.
+
+    Near-duplicates differ in few positions. A document with more values of its own than that, among all
+    documents of large buckets, has no partner in them. So boilerplate that puts many unlike documents
+    into one bucket costs one grouped count, whatever the size of the bucket.
+    """
+    sizes = materialize(key_sizes(members, "bucket").filter(F.col("n") > small_bucket), "sizes")
+    if sizes.isEmpty():
+        return members
+    hot = hot_keys(sizes, "bucket", task_rows=hot_rows)
+    large = materialize(skew_join(members.select("bucket", "id"), sizes.select("bucket"), "bucket", hot, "left_semi"), "large")
+    values = reps.join(large.select("id").distinct(), "id", "left_semi").select("id", F.posexplode("sig").alias("at", "value"))
+    by_value = values.groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).filter("n = 1")
+    loners = by_value.groupBy("id").agg(F.count(F.lit(1)).alias("own")).filter(F.col("own") > cfg.permutations - min_equal_positions(cfg))
+    gone = large.join(loners.select("id"), "id", "left_semi")
+    return materialize(members.join(gone, ["bucket", "id"], "left_anti"), "members")
 
 
 def _prefix_members(reps: DataFrame, cfg: DedupConfig, hot_rows: int) -> DataFrame | None:

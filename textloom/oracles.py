@@ -49,6 +49,10 @@ walk AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS dropped
 gone AS (SELECT unnest(dropped) AS doc_id FROM (SELECT dropped FROM walk ORDER BY rn DESC LIMIT 1)),
 kept AS (SELECT doc_id FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM gone))"""
 
+DROPPED_BY = """by_first AS (SELECT b, min(a) AS kept_id FROM edges JOIN kept ON a = kept.doc_id
+  WHERE b IN (SELECT doc_id FROM gone) GROUP BY b)"""
+SHARED = "len(list_filter(list_zip(x.sig, y.sig), lambda z: z[1] = z[2]))"
+
 INT_TOKENS = f"""{WORDS},
 tok AS (SELECT doc_id, p, len(words[p]) AS t FROM w, unnest(range(1, len(words) + 1)) u(p)),
 placed AS (SELECT doc_id, t, row_number() OVER (ORDER BY doc_id, p) - 1 AS n FROM tok),
@@ -183,6 +187,9 @@ def all_oracles() -> dict[str, str]:
         )
         + """SELECT pair_id, round(len(list_filter(list_zip(a, b), lambda z: z[1] = z[2])) / 64, 6) AS similarity
             FROM both_sides""",
+        "dropped_by": with_(minhash(""), KEPT, DROPPED_BY, recursive=True)
+        + f"""SELECT b AS doc_id, kept_id, round({SHARED} / 64, 6) AS similarity FROM by_first
+            JOIN sigs x ON x.doc_id = b JOIN sigs y ON y.doc_id = kept_id""",
         "dedup_first_kept": with_(minhash(""), KEPT, recursive=True) + "SELECT doc_id FROM kept",
         "clean_unique_by_source": with_(minhash("WHERE lang = 'en'"), KEPT, recursive=True)
         + """SELECT source, count(*) AS docs, min(doc_id) AS first_doc, sum(doc_id)::BIGINT AS id_sum
