@@ -58,3 +58,29 @@ def test_every_visible_word_of_the_pages_is_kept(spark):
         want = unescape(re.sub(r"<[^>]*>", " ", bare)).split()
         got = [w for w in hl.extract(r["html"]).split() if w != "-"]
         assert got == [w for w in want if w != "-"]
+
+
+def test_tables_with_omitted_tags_keep_their_words():
+    assert hl.extract("<table><colgroup><col><tr><td>a</table>") == "a"
+    assert hl.extract("<table><colgroup><col><td>a<td>b</table>") == "a  b"
+    assert hl.extract("<table><colgroup>loose<tr><td>a</table>") == "loose\na"
+    assert hl.extract("<table><tbody>loose<p>para</p><tr><td>a</tbody></table>") == "loose\n\npara\n\na"
+    assert hl.extract("<table><tbody><form><tr><td>a<td>b<tr><td>c</form></table>d") == "a  b\nc\n\nd"
+    assert hl.extract("<table><tr><form><td>a</td><td>b</td></form></table>") == "a  b"
+    assert hl.extract("<table><caption>Cap<tr><font><td>a<td>b</table>").split() == ["Cap", "a", "b"]
+    assert hl.extract("<table><center><tr><td>a<td>b</center><tr><td>c</table>") == "a  b\nc"
+
+
+def test_the_head_ends_with_the_first_thing_that_is_not_of_it():
+    for inline in ("a b", "<a href=x>a b</a>", "<span>a</span> b", "<font>a<br>b", "<img alt='a b'>", "<svg><text>a b</text></svg>"):
+        for head in ("<head><title>no</title>", "<html><head><meta charset=x><style>no</style>\n", "<head>"):
+            assert hl.extract(head + inline + "<p>c").split() == ["a", "b", "c"]
+            assert hl.extract(head + inline).split() == ["a", "b"]
+    assert hl.extract("<head><noscript><img alt=no></noscript><template><p>no</p></template><title>no</title></head>a") == "a"
+
+
+def test_formulas_and_drawings_keep_their_text():
+    assert hl.extract("so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> holds") == "so x=1 holds"
+    assert hl.extract("<svg><title/><defs/><path d=''/><text>a</text><text>b</text><desc>no</desc></svg>c") == "a b c"
+    assert hl.extract("<svg><title>no</title><defs><text>no</text></defs></svg>c") == "c"
+    assert hl.extract("<svg><defs><p>a</p>b") == "a\n\nb"

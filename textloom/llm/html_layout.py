@@ -2,9 +2,9 @@
 
 A tree builder reads the markup with the rules that pages rely on: void elements, raw text elements,
 start tags that end an open paragraph, list item, cell or row, rows that a table implies, end tags that
-close what was left open. Elements that a browser would not show are left out: the head and its content,
+close what was left open, a head that ends with the first thing that does not belong into it. Elements that a browser would not show are left out: the head and its content,
 scripts, styles, templates, hidden elements, those styled away, closed choices. Everything else is
-emitted: blocks on lines of their own, paragraphs and headings set off by a blank line, list items with
+emitted, formulas and the text of drawings too: blocks on lines of their own, paragraphs and headings set off by a blank line, list items with
 their mark and depth, table cells in aligned columns, preformatted text as it is, other white space folded.
 
 Defined results: null gives null; text without markup is one block; unknown elements are inline; nesting
@@ -26,7 +26,7 @@ PAD_MOST = 60
 # fixed values: element names of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template title meta link noscript iframe object embed audio video canvas svg math datalist noembed noframes".split())
+HIDDEN = frozenset("head script style template title meta link noscript iframe object embed audio video canvas datalist noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table ul".split()
@@ -34,6 +34,14 @@ BLOCK = frozenset(
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure menu dir".split())
 ENDS_P = BLOCK - frozenset("body caption dd dt html legend option optgroup select".split())
 SCOPE = frozenset("table td th caption html template button object marquee applet".split())
+HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
+SECTIONS = frozenset("thead tbody tfoot".split())
+# a part of a table ends everything up to the nearest of these
+TABLE_PARTS = {tag: frozenset({"table"}) for tag in ("caption", "colgroup", *SECTIONS)}
+TABLE_PARTS |= {"col": frozenset({"table", "colgroup"}), "tr": SECTIONS | {"table"}, "td": SECTIONS | {"table", "tr"}, "th": SECTIONS | {"table", "tr"}}
+# not drawn within a drawing, not shown within a formula
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+UNWRITTEN = frozenset("annotation annotation-xml".split())
 # a start tag ends the nearest of these, unless one of the others stands in between
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -83,19 +91,54 @@ class Builder:
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i].tag
             if tag in wanted:
-                for node in self.open[i:]:
-                    self.names[node.tag] -= 1
-                del self.open[i:]
+                self.cut(i)
                 return True
             if tag in stop:
                 return False
         return False
 
-    def start(self, tag: str, attrs: dict[str, str]) -> None:
+    def cut(self, i: int) -> None:
+        for node in self.open[i:]:
+            self.names[node.tag] -= 1
+        del self.open[i:]
+
+    def leave(self, tag: str | None) -> None:
+        """End a head or a group of columns that ``tag``, or text if it is None, does not belong into."""
+        if self.open[-1].tag == "head" and tag not in HEAD:
+            self.cut(len(self.open) - 1)
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self.cut(len(self.open) - 1)
+
+    def back_to_table(self, wanted: frozenset[str]) -> None:
+        """End what is open inside the nearest of ``wanted``, be it in a cell or out of place."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in wanted:
+                self.cut(i + 1)
+                return
+            if self.open[i].tag == "template":
+                return
+
+    def foreign(self) -> bool:
+        return bool(self.names.get("svg") or self.names.get("math"))
+
+    def start(self, tag: str, attrs: dict[str, str], empty: bool = False) -> None:
         if tag in ("html", "body") and self.names.get(tag):
             return
-        if tag == "body" or (tag in BLOCK and self.names.get("head")):
+        if tag == "body":
             self.close({"head"}, frozenset())
+        self.leave(tag)
+        if self.foreign():
+            if tag in BLOCK:
+                # pages go on behind a drawing or formula that was left open
+                self.close({"svg", "math"}, {"foreignobject", "annotation-xml", "table"})
+            elif (tag in UNDRAWN and self.names.get("svg")) or (tag in UNWRITTEN and self.names.get("math")):
+                attrs = attrs | {"hidden": ""}
+            elif tag == "text":
+                self.text(" ")
+        if tag in TABLE_PARTS and self.names.get("table"):
+            self.back_to_table(TABLE_PARTS[tag])
+        if tag == "form" and (self.open[-1].tag in SECTIONS or self.open[-1].tag in ("table", "tr")):
+            return  # holds no rows or cells: they belong to the table
         if tag in ENDS_P:
             self.close({"p"}, SCOPE)
         if tag in ENDS:
@@ -107,7 +150,7 @@ class Builder:
             self.close({"tr"}, {"table"})
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if tag not in VOID and not empty and len(self.open) < DEEPEST:
             self.open.append(node)
             self.names[tag] = self.names.get(tag, 0) + 1
 
@@ -122,6 +165,8 @@ class Builder:
 
     def text(self, value: str) -> None:
         if value:
+            if value.strip(" \t\n\r\f"):
+                self.leave(None)
             self.open[-1].children.append(value)
 
 
@@ -136,8 +181,10 @@ def build(source: str) -> Node:
         at = m.end()
         if m[2]:
             tag = m[2].lower()
-            builder.start(tag, attributes(m[3]) if m[3] else {})
-            if tag in RAW:
+            # a tag that ends itself does so in drawings and formulas only
+            empty = m[3].endswith("/") and (tag in ("svg", "math") or builder.foreign())
+            builder.start(tag, attributes(m[3]) if m[3] else {}, empty)
+            if tag in RAW and not empty:
                 # everything up to the end tag is text
                 close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
                 body = source[at : close.start() if close else n]
@@ -231,6 +278,8 @@ def render(node: Node, sheet: Sheet, depth: int = 0, pre: bool = False) -> None:
     if tag == "table":
         table(node, sheet)
         return
+    if tag == "svg":
+        sheet.words(" ")
     lists = tag in ("ul", "ol", "menu", "dir")
     breaks = 0
     if tag in BLOCK:
@@ -259,6 +308,8 @@ def render(node: Node, sheet: Sheet, depth: int = 0, pre: bool = False) -> None:
     sheet.indent = outer
     if breaks:
         sheet.block(breaks)
+    elif tag == "svg":
+        sheet.words(" ")
 
 
 def item(node: Node, sheet: Sheet, mark: str, outer: str, depth: int, pre: bool) -> None:
@@ -283,20 +334,32 @@ def rows_of(node: Node) -> Iterator[Node]:
         if isinstance(child, Node) and shown(child):
             if child.tag == "tr":
                 yield child
-            elif child.tag in ("thead", "tbody", "tfoot"):
+            elif child.tag in SECTIONS:
                 yield from rows_of(child)
 
 
+def besides_rows(node: Node) -> Iterator[Node | str]:
+    """What a table and its sections hold besides rows."""
+    for child in node.children:
+        if isinstance(child, str):
+            yield child
+        elif child.tag not in ("tr", "col") and shown(child):
+            if child.tag in SECTIONS or child.tag == "colgroup":
+                yield from besides_rows(child)
+            else:
+                yield child
+
+
 def table(node: Node, sheet: Sheet) -> None:
     """Rows as lines, cells padded to the width of their column."""
     outer = sheet.indent
     grid: list[list[list[str]]] = []
     sheet.block(2)
-    for child in node.children:
+    for child in besides_rows(node):
         # captions, and what does not belong into a table, stand before it
         if isinstance(child, str):
             sheet.words(child)
-        elif child.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col") and shown(child):
+        else:
             render(child, sheet)
             sheet.block(1)
     for row in rows_of(node):
