@@ -143,3 +143,39 @@ def test_query_counts_and_digest(spark):
         assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == i for s in want) for i in range(4)]
         assert r["base_sha256"] == hashlib.sha256(joined(want).encode()).hexdigest()
         assert set(joined(want).split(",")) <= set(r["spans"].split(","))
+
+
+def full_of_spans(spark, n):
+    """Documents of which each has several pattern spans, half of them with one in reach of every window."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(n):
+        word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 8)))
+        parts = [" ".join(word() for _ in range(4 if i % 2 else 20)) for _ in range(4)]
+        values = [f"{word()}@{word()}.com", f"10.0.{i % 256}.7", f"{word()}.x@{word()}.org"]
+        rows.append((i, " ".join(x for pair in zip(parts, [*values, ""]) for x in pair), "clash"))
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_data_full_of_spans_leaves_room_for_the_other_windows(spark, monkeypatch):
+    monkeypatch.setattr(pt, "MOST_WINDOWS", 1200)
+    docs = full_of_spans(spark, 900)
+    windows = pt.labelled_windows(docs)
+    assert len(windows) == 1200 and sum(bool(spans) for _, spans in windows) == 400
+    assert all(base_spans(text) == [] for text, spans in windows if not spans)
+    tags = pt.training_arrays(windows)[1]
+    made_up = sum(bool(t.any()) for (_, spans), t in zip(windows, tags) if not spans)
+    assert 0.5 < made_up / 800 < 0.7
+    model = pt.train(docs)
+    found = 0
+    for i in range(40):
+        text = f"so call (9{i}) 555-24{i + 10} now, it is open, or 2{i % 10}3-555-19{i + 10} later on the day"
+        found += len(pt.merged(text, [], pt.tagged_spans(pt.tag_texts(model, [text], pt.class_table())[0])))
+    assert found > 40
+
+
+def test_spans_of_a_text_are_chosen_across_kinds():
+    text = " ".join([*(f"a{i}@x.org" for i in range(9)), "10.0.0.1", "x", "4111 1111 1111 1111", "x +1 (988) 555-2485"])
+    spans = base_spans(text)
+    assert len(spans) == 12 and sorted(k for k, _, _ in pt.chosen_spans(text, spans)) == [0, 1, 2, 3]
+    assert pt.without_spans(text, spans).split() == ["x", "x"]

@@ -5,9 +5,11 @@ direction, whose states give a score for each tag (outside, or begin/inside of a
 between tags are learnt with them, by the likelihood of the whole tag sequence.
 
 **Training** windows come from a bounded sample of documents (``SAMPLE_DOCS`` with the smallest hash of
-their id, whole texts): the spans of the patterns are the labels. Windows without spans get a labelled
-span of a made-up value written in, in the patterns' forms and in a few others (no plus sign, other
-separators, spelled-out at signs), so that the tagger finds forms that the patterns miss.
+their id, whole texts): the spans of the patterns are the labels. Of the windows without spans, a fixed
+share gets a labelled span of a made-up value written in, in the patterns' forms and in a few others (no
+plus sign, other separators, spelled-out at signs), so that the tagger finds forms that the patterns
+miss; the others stay empty of spans. Windows with spans take at most ``SPAN_SHARE`` of the sample where
+there are enough others, and every text gives one: where spans stand in its way, from the text around them.
 
 **Application.** Every text is cut into overlapping windows; all of them are scored and decoded. A
 character's tag comes from the window in which it lies farthest from an edge, and spans are read off the
@@ -23,17 +25,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import blocks as bl
 from textloom.llm.pii_spans import KINDS, Span, base_spans, luhn, plausible
+from textloom.session import materialize
 
 SAMPLE_DOCS = 4000
 MOST_WINDOWS = 2400
+SPAN_SHARE, MADE_UP_SHARE = 1 / 3, 0.6  # of all windows; of those without spans
+SPANS_PER_TEXT = 4
 WINDOW, MARGIN = 256, 16
 TRAIN_WINDOW = 64
 HIDDEN = 4
@@ -368,8 +374,30 @@ def made_up(rng: np.random.Generator) -> tuple[int, str]:
     return kind, str(rng.choice([f"({area}) {a}-{b}", f"{area}-{a}-{b}", f"{area}.{a}.{b}"]))
 
 
+def chosen_spans(text: str, spans: list[Span]) -> list[Span]:
+    """At most ``SPANS_PER_TEXT`` of a text's spans: those with the smallest hashes, kinds by turns."""
+    if len(spans) <= SPANS_PER_TEXT:
+        return spans
+    turns: list[tuple[int, int, Span]] = []
+    for kind in range(len(KINDS)):
+        own = sorted((crc32(f"{s} {text[s:e]}".encode()), (k, s, e)) for k, s, e in spans if k == kind)
+        turns += [(turn, place, span) for turn, (place, span) in enumerate(own)]
+    return [span for *_, span in sorted(turns)[:SPANS_PER_TEXT]]
+
+
+def without_spans(text: str, spans: list[Span]) -> str:
+    """The text around the spans; no pattern goes over the line breaks in their place."""
+    parts, at = [], 0
+    for _, s, e in sorted(spans, key=lambda x: x[1:]):
+        if s > at:
+            parts.append(text[at:s])
+        at = max(at, e)
+    return "\n".join([*parts, text[at:]])
+
+
 def labelled_windows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[tuple[str, list[Span]]]:
-    """Windows of sampled documents with their pattern spans: some around a span, one without per text."""
+    """Windows of sampled documents with their pattern spans: some around a span, and for each text one
+    at any place, and one from the text around its spans if some lie in that place."""
     places = docs.select(F.xxhash64("doc_id").alias("place")).orderBy("place").limit(sample_docs)
     cut = places.agg(F.max("place")).first()[0]
     if cut is None:
@@ -381,32 +409,44 @@ def labelled_windows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[tu
             for doc_id, text in zip(batch.column(0).to_pylist(), bl.texts_of(batch.column(1))):
                 spans = base_spans(text)
                 rng = np.random.default_rng(abs(doc_id or 0))
-                starts = [max(0, s - int(rng.integers(0, TRAIN_WINDOW // 2))) for _, s, _ in spans[:4]]
+                starts = [max(0, s - int(rng.integers(0, TRAIN_WINDOW // 2))) for _, s, _ in chosen_spans(text, spans)]
                 starts.append(int(rng.integers(0, max(1, len(text) - TRAIN_WINDOW + 1))))
                 for w in starts:
                     inside = [(k, s - w, e - w) for k, s, e in spans if w <= s and e <= w + TRAIN_WINDOW]
                     cut_through = any(s < w + TRAIN_WINDOW and e > w for _, s, e in spans) and not inside
                     if text and not cut_through:
                         rows.append((text[w : w + TRAIN_WINDOW], [x for span in inside for x in span]))
+                if any(s < starts[-1] + TRAIN_WINDOW and e > starts[-1] for _, s, e in spans):
+                    bare = without_spans(text, spans)
+                    w = int(rng.integers(0, max(1, len(bare) - TRAIN_WINDOW + 1)))
+                    bare = bare[w : w + TRAIN_WINDOW]
+                    rows.append((bare, [x for span in base_spans(bare) for x in span]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["window", "spans"]
             )
 
     sampled = docs.select("doc_id", "text").filter(F.xxhash64("doc_id") <= F.lit(cut))
     found = sampled.mapInArrow(windows, "window string, spans array<int>")
-    # those with spans first; bounded by MOST_WINDOWS
-    ranked = found.orderBy((F.size("spans") == 0), F.xxhash64("window"), "window").limit(MOST_WINDOWS)
-    return [(r["window"], [tuple(r["spans"][i : i + 3]) for i in range(0, len(r["spans"]), 3)]) for r in ranked.collect()]
+    found = materialize(found, "windows")
+
+    def some(which: Column) -> list[tuple[str, list[Span]]]:
+        ranked = found.filter(which).orderBy(F.xxhash64("window"), "window").limit(MOST_WINDOWS)
+        return [(r["window"], [tuple(r["spans"][i : i + 3]) for i in range(0, len(r["spans"]), 3)]) for r in ranked.collect()]
+
+    # one side takes more than its share only where the other has too few
+    spanned, plain = some(F.size("spans") > 0), some(F.size("spans") == 0)
+    spanned = spanned[: max(int(MOST_WINDOWS * SPAN_SHARE), MOST_WINDOWS - len(plain))]
+    return spanned + plain[: MOST_WINDOWS - len(spanned)]
 
 
 def training_arrays(windows: list[tuple[str, list[Span]]], seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Classes and tags (N, TRAIN_WINDOW); every second window without spans gets a made-up one."""
+    """Classes and tags (N, TRAIN_WINDOW); ``MADE_UP_SHARE`` of the windows without spans get a made-up one."""
     rng = np.random.default_rng(seed)
     table = class_table()
     classes = np.full((len(windows), TRAIN_WINDOW), PAD, np.uint8)
     tags = np.zeros((len(windows), TRAIN_WINDOW), np.uint8)
     for i, (text, spans) in enumerate(windows):
-        if not spans and rng.random() < 0.6:
+        if not spans and rng.random() < MADE_UP_SHARE:
             kind, value = made_up(rng)
             at = int(rng.integers(0, max(1, min(len(text), TRAIN_WINDOW - len(value) - 1))))
             left = text[:at] + (" " if at else "")
