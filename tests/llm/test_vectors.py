@@ -80,3 +80,27 @@ def test_walk_finds_the_nearest_centroid():
     points = posting_lists.lifted(data[:300], index.length)
     apart = posting_lists.squared(points, index.points)
     assert (posting_lists.walk(index, points).argmin(axis=1) == apart.argmin(axis=1)).mean() > 0.97
+
+
+def test_queries_read_every_list_in_reach_of_hundreds(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(60, 48))[rng.integers(0, 60, 6000)] + 0.6 * rng.normal(size=(6000, 48))
+    data = data.astype(np.float32).astype(np.float64)
+    index = posting_lists.build(data, 375, float((data**2).sum(axis=1).max()) * (1 + 1e-9))
+    asking = pa.record_batch([pa.array(range(0, 6000, 20)), pa.array(data[::20].tolist())], ["query_id", "q"])
+    shared = type("Shared", (), {"value": index})
+    lists = pa.Table.from_batches(posting_lists._lists_of(shared, "q", posting_lists.REACH, None)(iter([asking])))
+    apart = np.sqrt(posting_lists.squared(np.pad(data[::20], ((0, 0), (0, 1))), index.points))
+    row, which = np.nonzero(apart <= apart.min(axis=1, keepdims=True) * (1 + posting_lists.REACH))
+    assert set(zip(lists["query_id"].to_pylist(), lists["list"].to_pylist())) == set(zip((row * 20).tolist(), which.tolist()))
+
+    monkeypatch.setattr(posting_lists, "VECTORS_PER_LIST", 16)
+    got = collect(posting_lists.search(table(spark, [(i, x.tolist()) for i, x in enumerate(data)])))
+    scores = data[::20] @ data.T
+    scores[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    recall = sum(len({i for i, _ in got[q * 20]} & set(best[q].tolist())) for q in range(300)) / best.size
+    print("recall", recall, "lists read", len(row) / 300)
+    assert recall > 0.8

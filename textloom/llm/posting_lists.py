@@ -7,9 +7,12 @@ same length, queries a zero, so the nearest in distance are the largest in produ
 its widest direction, so that lists are balanced. A vector is written to its nearest list and, if it lies
 near a border, to further lists whose centroid is at most ``1 + BORDER`` times as far.
 
-**Search.** Centroids form a graph of nearest neighbours in memory; a best-first walk finds the nearest
-ones for vectors and queries. A query reads the lists whose centroid is at most ``1 + REACH`` times as far
-as the nearest: that one first, then the others for scores that reach its k-th one. All vectors of these
+Centroids form a graph of nearest neighbours in memory; a best-first walk finds the nearest ones for
+vectors, nearly always.
+
+**Search.** A query reads all lists whose centroid is at most ``1 + REACH`` times as far as the nearest. No
+walk is sure to meet all of these, so queries are held against every centroid, ``MOST_LISTS`` at most. The
+nearest list is read first, then the others for scores that reach its k-th one. All vectors of these
 lists are scored exactly, in double precision.
 
 Every vector is indexed; lists have no cap, large ones are dealt over several groups.
@@ -90,8 +93,12 @@ def build(sample: np.ndarray, lists: int, length: float) -> Centroids:
     return Centroids(points, near, entries, length)
 
 
-def walk(index: Centroids, points: np.ndarray, beam: int = BEAM) -> np.ndarray:
-    """Squared distances (points, lists) of the centroids that a best-first walk has met, else infinity."""
+def walk(index: Centroids, points: np.ndarray, beam: int = BEAM, ratio: float = 0.0) -> np.ndarray:
+    """Squared distances (points, lists) of the centroids that a best-first walk has met, else infinity.
+
+    A walk ends when its next open centroid lies beyond the ``beam``-th best and beyond ``1 + ratio`` times
+    the nearest distance.
+    """
     n, lists = len(points), len(index.points)
     apart = np.full((n, lists), np.inf)
     done = np.zeros((n, lists), bool)
@@ -101,6 +108,7 @@ def walk(index: Centroids, points: np.ndarray, beam: int = BEAM) -> np.ndarray:
     while len(active):
         seen = apart[active]
         limit = np.partition(seen, beam - 1, axis=1)[:, beam - 1]
+        limit = np.maximum(limit, seen.min(axis=1) * (1 + ratio) ** 2)
         open_ones = np.where(done[active], np.inf, seen)
         step = open_ones.argmin(axis=1)
         best = open_ones[np.arange(len(active)), step]
@@ -125,7 +133,7 @@ def _lists_of(shared, column: str, ratio: float, most: int | None):
                 part = batch.slice(start, BATCH)
                 vectors = matrix(part.column(1))
                 points = lifted(vectors, index.length) if column == "vec" else np.pad(vectors, ((0, 0), (0, 1)))
-                apart = np.sqrt(walk(index, points))
+                apart = np.sqrt(walk(index, points, ratio=ratio) if column == "vec" else squared(points, index.points))
                 close = apart <= apart.min(axis=1, keepdims=True) * (1 + ratio)
                 if most is not None:
                     place = np.argsort(np.argsort(apart, axis=1, kind="stable"), axis=1)
