@@ -84,3 +84,22 @@ def test_unigram_models(tmp_path):
     assert model.model_type == pk.UNIGRAM and model.remove_extra_whitespaces
     for text in ("ab", "abab  ab", " c ab ", "abababab c", ""):
         assert pk.encode_texts([text], str(path))[0] == sp.encode(text), text
+
+
+def test_round_trip_is_of_the_text_itself(spark):
+    docs = spark.createDataFrame([(1, "a▁b"), (2, "a b"), (3, " a  b "), (4, None), (5, ""), (6, "日本 🤖")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["round_trip"] for r in pk.encode(docs).collect()}
+    assert got == {1: False, 2: True, 3: True, 4: None, 5: True, 6: True}
+
+
+def test_every_text_is_held_against_the_library(monkeypatch):
+    seen = []
+    monkeypatch.setattr(pk, "check_parity", lambda texts, ids, path: seen.extend(zip(texts, ids)))
+    texts = [f"text {i}" for i in range(200)] * 2
+    frame = type("Frame", (), {"select": lambda self, *c: self, "mapInArrow": lambda self, run, schema: run})()
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = list(pk.encode(frame)(iter([batch])))
+    assert sum(b.num_rows for b in out) == 400
+    assert {text for text, _ in seen} == set(texts) and all(SP.encode(text) == ids for text, ids in seen)
