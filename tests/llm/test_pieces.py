@@ -29,7 +29,7 @@ def test_parity_and_round_trip_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r["text"] for r in docs.select("text").collect()]
     assert cached(texts)[0] == SP.encode(texts)
-    out = pk.encode(docs, parity_share=1)
+    out = pk.encode(docs)
     assert out.filter("not round_trip").count() == 0
     back = {r["doc_id"]: r["text"] for r in pk.decode(out).collect()}
     assert back == {r["doc_id"]: r["text"] for r in docs.collect()}
@@ -37,7 +37,7 @@ def test_parity_and_round_trip_on_documents(spark):
 
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (2, "", 0), (None, "▁▁ <s> \x00 日本 🤖", 0), (3, "ab " * 60_000, 0)], "doc_id bigint, text string, ids int")
-    rows = pk.encode(docs, parity_share=1).collect()
+    rows = pk.encode(docs).collect()
     assert len(rows) == 5
     assert [r["ids"] for r in rows if r["doc_id"] == 1] == [None]
     assert [r["ids"] for r in rows if r["doc_id"] == 2] == [[], []]
@@ -92,14 +92,40 @@ def test_round_trip_is_of_the_text_itself(spark):
     assert got == {1: False, 2: True, 3: True, 4: None, 5: True, 6: True}
 
 
-def test_every_text_is_held_against_the_library(monkeypatch):
+def test_every_word_of_every_text_is_held_against_the_library(monkeypatch):
+    """Groups of words that were checked, cut again, hold every word of every text."""
     seen = []
-    monkeypatch.setattr(pk, "check_parity", lambda texts, ids, path: seen.extend(zip(texts, ids)))
-    texts = [f"text {i}" for i in range(200)] * 2
-    frame = type("Frame", (), {"select": lambda self, *c: self, "mapInArrow": lambda self, run, schema: run})()
-    import pyarrow as pa
-
-    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
-    out = list(pk.encode(frame)(iter([batch])))
-    assert sum(b.num_rows for b in out) == 400
-    assert {text for text, _ in seen} == set(texts) and all(SP.encode(text) == ids for text, ids in seen)
+    real = pk.check_parity
+    monkeypatch.setattr(pk, "check_parity", lambda texts, ids, source: (seen.extend(zip(texts, ids)), real(texts, ids, source)))
+    texts = [f"text {i}" for i in range(200)] * 2 + ["end  ", "  start", "a\u2581b", " ", "é日本 🤖"]
+    cache = pk.WordCache(pk.MODEL_PATH)
+    ids, sizes, _ = cache.encode(texts)
+    assert all(SP.encode(text) == ids for text, ids in seen)
+    checked = {word for text, _ in seen for word in cache.cut(cache.normal(text))}
+    assert {word for text in texts for word in cache.cut(cache.normal(text))} - {pk.MARK} <= checked
+    assert ids.tolist() == [i for text in SP.encode(texts) for i in text] and sizes.sum() == len(ids)
+
+
+def test_blanks_at_the_end_of_texts():
+    for texts in (["a ", "b", "c  ", " ", "d", "  "], [" ", "a"], ["a", " ", " b "]):
+        pk.cache_of(pk.MODEL_PATH).clear()
+        assert cached(texts)[0] == SP.encode(texts)
+
+
+def test_columns_that_clash_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", "y"), (1, "a b", "x", "y"), (None, "a b", None, None)], "doc_id bigint, text string, round_trip string, n string")
+    rows = pk.encode(docs).collect()
+    assert [r["ids"] for r in rows] == [SP.encode("a b")] * 3 and all(r["round_trip"] for r in rows)
+
+
+def test_whole_texts_are_checked_where_words_cannot_be_cut(tmp_path, monkeypatch):
+    path = tmp_path / "u.model"
+    unigram_file(path)
+    seen = []
+    real = pk.check_parity
+    monkeypatch.setattr(pk, "check_parity", lambda texts, ids, source: (seen.extend(texts), real(texts, ids, source)))
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["ab", "abab  ab", " c ab ", "", "ab"]
+    ids, sizes, exact = pk.WordCache(path.read_bytes()).encode(texts)
+    assert ids.tolist() == [i for text in sp.encode(texts) for i in text] and set(seen) == set(texts) - {""}
+    assert exact.tolist() == [sp.decode(sp.encode(t)) == t for t in texts]

@@ -7,10 +7,24 @@ the other type, pair merging in the order of the scores, and byte fallback for c
 piece. Where no piece holds a marker behind another character, no merge crosses the start of a run of
 markers, so texts are cut there and each distinct word is encoded once; this does not change the ids.
 
-Batches of new words are encoded by several threads. Parity: every text is also
-encoded by the sentencepiece library; a difference raises an error. Every text's ids are decoded again.
-
-Defined results: null texts have null ids; an empty text has none.
+Batches of new words are encoded by several threads. Parity with the sentencepiece library is checked
+for every distinct word when it is learnt; a difference raises an error. This covers every text:
+
+1. Words are cut where a run of markers begins, and no piece holds a marker behind another character. A
+   merge joins two neighbouring symbols to a piece, so none ever reaches across a cut, in either library.
+   The merges inside a word depend on its own symbols only, so the ids of a text are those of its words.
+2. Words are given to the library many at a time, as raw text that normalises to their concatenation.
+   Equal ids of the group mean equal ids of each word, as all ids break at the cuts. Thereby the
+   normaliser is checked as well: without a character map and without white space rules it copies
+   character by character and turns blanks into markers, and each character and run of blanks of each
+   text is part of a checked word.
+
+Where one of these does not hold (a character map, white space rules, pieces across markers), the whole
+text is one word, and whole texts are checked. Words are decoded when they are learnt, too; the decoded words of a
+text are joined and compared with the text.
+
+Defined results: null texts have null ids; an empty text has none. Repeated rows and null ids give one row
+each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +35,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from zlib import crc32
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +49,6 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
 WORDS_AT_ONCE = 500
 CACHED_WORDS, CACHED_CHARS = 300_000, 4_000_000
-PARITY_SHARE = 1  # every text
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -80,12 +93,11 @@ class PieceModel:
     escape_whitespaces: bool = True
 
 
-def read_model(path: str) -> PieceModel:
+def read_model(source: str | bytes) -> PieceModel:
     """Fields by number: pieces 1 (piece 1, score 2, type 3), trainer 2 (model type 3, byte fallback 35),
     normaliser 3 (character map 2, dummy prefix 3, extra white space 4, escaping 5)."""
     model = PieceModel()
-    with open(path, "rb") as f:
-        data = f.read()
+    data = source if isinstance(source, bytes) else Path(source).read_bytes()
     for number, _, value in wire(data):
         if number == 1:
             text, score, kind = "", 0.0, NORMAL
@@ -156,7 +168,7 @@ def build(model: PieceModel):
     if model.escape_whitespaces:
         steps.append(normalizers.Replace(" ", MARK))
     tokenizer.normalizer = normalizers.Sequence(steps)
-    crossing = any(b == MARK and a != MARK for t, _, kind in model.pieces if kind == NORMAL for a, b in zip(t, t[1:]))
+    crossing = any(b == MARK and a != MARK for t, _, kind in model.pieces if kind in (NORMAL, USER) for a, b in zip(t, t[1:]))
     if not crossing and model.escape_whitespaces:
         tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
     decode = [decoders.Replace(MARK, " ")]
@@ -170,82 +182,94 @@ def build(model: PieceModel):
 
 
 @lru_cache(4)
-def tokenizer_of(path: str):
+def tokenizer_of(source: str | bytes):
+    """``source`` is the path or the content of a model file, here and below."""
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
-    return build(read_model(path))
+    return build(read_model(source))
 
 
 class WordCache:
-    """Ids of the words that texts are cut into; each distinct word is encoded once.
+    """Ids and spelling of the words that texts are cut into; each distinct word is encoded, checked and
+    decoded once.
 
     A model whose texts must not be cut has the whole text as its only word. Words are kept up to
     ``CACHED_WORDS`` and ``CACHED_CHARS``; then the cache starts anew.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, source: str | bytes):
+        from tokenizers import Tokenizer, decoders
 
-        model = read_model(path)
-        self.whole = tokenizer_of(path)
-        self.cuts = self.whole.pre_tokenizer is not None
+        model = read_model(source)
+        self.source = source
+        self.whole = tokenizer_of(source)
+        # a prefix and a replacement are all there is to normalise
+        simple = not model.charsmap and not model.remove_extra_whitespaces and model.escape_whitespaces
+        self.cuts = self.whole.pre_tokenizer is not None and simple and model.add_dummy_prefix
         self.bare, self.core = Tokenizer(self.whole.model), Tokenizer(self.whole.model)
+        spelling = [decoders.Replace(MARK, " "), *([decoders.ByteFallback()] if model.byte_fallback else []), decoders.Fuse()]
+        self.bare.decoder = decoders.Sequence(spelling)
         if self.cuts:
             self.core.pre_tokenizer = self.whole.pre_tokenizer
-        self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if self.cuts else (lambda text: [text] if text else [])
-        self.surface = [int(t[3:5], 16) if kind == BYTE else t for t, _, kind in model.pieces]
-        # without a character map the rules are a prefix and a replacement
-        simple = not model.charsmap and not model.remove_extra_whitespaces and model.escape_whitespaces
-        prefix = MARK if model.add_dummy_prefix else ""
-        self.normal = (lambda text: prefix + text.replace(" ", MARK)) if simple else self.whole.normalizer.normalize_str
+        self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if self.cuts else (lambda text: [text])
+        self.normal = (lambda text: MARK + text.replace(" ", MARK)) if self.cuts else (lambda text: text)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.spelt: dict[str, str] = {}
         self.chars = 0
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.exact = np.zeros(0, bool)
 
     def learn(self, words: list[str]) -> None:
         new = [w for w in dict.fromkeys(words) if w not in self.index]
         if not new:
             return
-        found = self.pieces_of(new)
-        exact = [self.spelt(ids) == w for w, ids in zip(new, found)]
+        if self.cuts:
+            found = self.pieces_of(new)
+            spelt = self.bare.decode_batch(found, skip_special_tokens=False)
+        else:
+            found = encode_texts(new, self.source)
+            check_parity(new, found, self.source)
+            spelt = decode_ids(found, self.source)
+        self.spelt.update(zip(new, spelt))
         for w in new:
             self.index[w] = len(self.index)
             self.chars += len(w)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))])
-        self.sizes, self.exact = np.concatenate([self.sizes, sizes]), np.concatenate([self.exact, exact])
+        self.sizes = np.concatenate([self.sizes, sizes])
 
     def pieces_of(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word. Words that begin with the marker are encoded many at a time: the cutting
-        rule parts them again, and the encoding says which id belongs to which word."""
+        """Ids of each word, held against the library. Words are encoded many at a time: the cutting rule
+        parts them again, and the encoding says which id belongs to which word. A word of markers only
+        ends its group, because the next word's marker would belong to the same run."""
+        groups: list[list[int]] = [[]]
+        for i, word in enumerate(words):
+            groups[-1].append(i)
+            if len(groups[-1]) == WORDS_AT_ONCE or word.endswith(MARK):
+                groups.append([])
+        groups = [group for group in groups if group]
         out: list[list[int]] = [[] for _ in words]
-        marked = [i for i, w in enumerate(words) if self.cuts and w[0] == MARK]
-        rest = [i for i, w in enumerate(words) if not (self.cuts and w[0] == MARK)]
-        groups = [marked[i : i + WORDS_AT_ONCE] for i in range(0, len(marked), WORDS_AT_ONCE)]
-        joined = self.core.encode_batch(["".join(words[i] for i in group) for group in groups], add_special_tokens=False)
-        for group, encoding in zip(groups, joined):
+        joined = ["".join(words[i] for i in group) for group in groups]
+        encoded = self.core.encode_batch(joined, add_special_tokens=False)
+        # the first marker is the one that the normaliser puts before a text; one blank alone is an empty text to it
+        raw = [text[1:].replace(MARK, " ") if len(text) > 1 else None for text in joined]
+        checked = [i for i, text in enumerate(raw) if text is not None]
+        check_parity([raw[i] for i in checked], [encoded[i].ids for i in checked], self.source)
+        for group, text, encoding in zip(groups, raw, encoded):
             ids, of = encoding.ids, np.array(encoding.word_ids, np.int64)
+            if text is None:
+                # the marker alone follows a word; two of them are one run
+                check_parity(["a "], [self.core.encode(f"{MARK}a{MARK}", add_special_tokens=False).ids], self.source)
             bounds = np.searchsorted(of, np.arange(len(group) + 1)).tolist()
             for i, s, e in zip(group, bounds[:-1], bounds[1:]):
                 out[i] = ids[s:e]
-        for i, encoding in zip(rest, self.bare.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
-            out[i] = encoding.ids
         return out
 
-    def spelt(self, ids: list[int]) -> str:
-        """The word that pieces spell, bytes read as UTF-8."""
-        texts = [self.surface[i] for i in ids]
-        if any(isinstance(t, int) for t in texts):
-            return b"".join(bytes((t,)) if isinstance(t, int) else t.encode() for t in texts).decode(errors="replace")
-        return "".join(texts)
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids, the number of ids of each text, and whether its words decode to themselves."""
+        """All ids, the number of ids of each text, and whether its ids decode to the text."""
         if len(self.index) > CACHED_WORDS or self.chars > CACHED_CHARS:
             self.clear()
         cut = [self.cut(self.normal(text)) if text else [] for text in texts]
@@ -258,55 +282,52 @@ class WordCache:
         n_words = np.fromiter(map(len, cut), np.int64, len(cut))
         bounds = np.concatenate([[0], np.cumsum(n_words)])
         total = np.concatenate([[0], ends])[bounds]
-        wrong = np.concatenate([[0], np.cumsum(~self.exact[at])])[bounds]
-        return ids, np.diff(total), np.diff(wrong) == 0
+        # decoding a text takes away the blank of its first marker
+        lead = " " if self.cuts else ""
+        exact = [not text or "".join(map(self.spelt.__getitem__, row)) == lead + text for text, row in zip(texts, cut)]
+        return ids, np.diff(total), np.array(exact, bool)
 
 
 @lru_cache(4)
-def cache_of(path: str) -> WordCache:
-    return WordCache(path)
+def cache_of(source: str | bytes) -> WordCache:
+    return WordCache(source)
 
 
 @lru_cache(4)
-def library(path: str):
+def library(source: str | bytes):
     import sentencepiece
 
-    return sentencepiece.SentencePieceProcessor(model_file=path)
+    data = source if isinstance(source, bytes) else Path(source).read_bytes()
+    return sentencepiece.SentencePieceProcessor(model_proto=data)
 
 
-def encode_texts(texts: list[str], path: str) -> list[list[int]]:
+def encode_texts(texts: list[str], source: str | bytes) -> list[list[int]]:
     """Ids of each text, by the rebuilt tokenizer as a whole."""
-    return [e.ids for e in tokenizer_of(path).encode_batch_fast(texts, add_special_tokens=False)]
+    return [e.ids for e in tokenizer_of(source).encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def decode_ids(ids: list[list[int]], path: str) -> list[str]:
-    return tokenizer_of(path).decode_batch(ids, skip_special_tokens=False)
+def decode_ids(ids: list[list[int]], source: str | bytes) -> list[str]:
+    return tokenizer_of(source).decode_batch(ids, skip_special_tokens=False)
 
 
-def check_parity(texts: list[str], ids: list[list[int]], path: str) -> None:
-    for text, mine, theirs in zip(texts, ids, library(path).encode(texts, num_threads=1)):
+def check_parity(texts: list[str], ids: list[list[int]], source: str | bytes) -> None:
+    for text, mine, theirs in zip(texts, ids, library(source).encode(texts, num_threads=1)):
         if mine != theirs:
             raise ValueError(f"ids differ from the sentencepiece library's for a text of {len(text)} characters")
 
 
-def encode(docs: DataFrame, path: str = MODEL_PATH, parity_share: int = PARITY_SHARE) -> DataFrame:
+def encode(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     """(doc_id, ids, round_trip) per row of ``docs`` (doc_id, text); ``round_trip``: decoding the ids gives
-    the text itself back. The model file must be at ``path`` on every executor."""
+    the text itself back. The model file is read by the driver and sent to the executors."""
+    shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())  # a model file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids, column = batch.column(0), batch.column(1)
             for start, texts in bl.blocks(bl.texts_of(column)):
                 missing = column.slice(start, len(texts)).is_null()
-                flat, sizes, _ = cache_of(path).encode(texts)
-                ids = bl.list_array(flat, sizes, pa.int32())
-                ends = np.cumsum(sizes).tolist()
-                # copies of a text have the same ids
-                own = {text: flat[end - n : end].tolist() for text, n, end in zip(texts, sizes.tolist(), ends)}
-                chosen = [text for text in own if crc32(text.encode()) % parity_share == 0]
-                check_parity(chosen, [own[text] for text in chosen], path)
-                back = dict(zip(own, decode_ids(list(own.values()), path)))
-                same = pa.array([back[text] == text for text in texts], pa.bool_())
+                flat, sizes, exact = cache_of(shared.value).encode(texts)
+                ids, same = bl.list_array(flat, sizes, pa.int32()), pa.array(exact)
                 if missing.true_count:
                     ids, same = pc.if_else(missing, None, ids), pc.if_else(missing, None, same)
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(start, len(texts)), ids, same], ["doc_id", "ids", "round_trip"])
@@ -316,11 +337,12 @@ def encode(docs: DataFrame, path: str = MODEL_PATH, parity_share: int = PARITY_S
 
 def decode(rows: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give null."""
+    shared = rows.sparkSession.sparkContext.broadcast(Path(path).read_bytes())  # a model file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).to_pylist()
-            texts = decode_ids([x or [] for x in ids], path)
+            texts = decode_ids([x or [] for x in ids], shared.value)
             out = pa.array([None if x is None else t for x, t in zip(ids, texts)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), out], ["doc_id", "text"])
 
