@@ -115,6 +115,40 @@ def test_boilerplate_buckets_take_no_more_rounds_when_they_grow(spark, monkeypat
     assert counts[1] <= counts[0] + 1 <= 3
 
 
+def test_boilerplate_with_repeating_values_takes_no_more_jobs_when_it_grows(spark, monkeypatch):
+    """36 positions in common, and every other value held by about three documents."""
+    rng = random.Random(4)
+    base = [rng.randrange(10**6) for _ in range(64)]
+    tables = []
+    whole = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, label: tables.append(label) or whole(df, label))
+    counts = []
+    for n in (300, 3000):
+        sigs = [base[:36] + [p * 10**7 + rng.randrange(n // 3) for p in range(36, 64)] for _ in range(n)]
+        sigs += [changed(sigs[9], range(40, 45), rng), changed(sigs[10], range(3, 13), rng)]
+        rows = list(enumerate(sigs))
+        tables.clear()
+        assert kept_ids(spark, rows) == [i for i in range(n + 2) if i != n]
+        counts.append(len(tables))
+    assert counts[1] <= counts[0] + 2
+
+
+@pytest.mark.parametrize("small_bucket,hot_rows", [(64, 100_000), (6, 7)])
+def test_link_counts_equal_all_pairs(spark, small_bucket, hot_rows):
+    cfg = DedupConfig()
+    rng = random.Random(small_bucket)
+    shared = [rng.randrange(10**6) for _ in range(40)]
+    sigs = family(rng, 40, cfg, [1, 4, 6, 9, 12]) + [shared + [rng.randrange(5) for _ in range(24)] for _ in range(30)]
+    sigs += [sigs[0], sigs[0], sigs[50], [0] * 64, [0] * 64]
+    rows = list(enumerate(sigs))
+    near = lambda a, b: sum(x == y for x, y in zip(a, b)) / 64 >= cfg.threshold
+    want = {(i, sigs.index(a), sum(near(a, b) for b in sigs) - 1) for i, a in rows}
+    df = spark.createDataFrame(rows, "doc_id bigint, sig array<int>")
+    got = dedup.link_counts(df, cfg, small_bucket=small_bucket, hot_rows=hot_rows)
+    assert {tuple(r) for r in got.collect()} == want
+    assert dedup.link_counts(df.limit(0)).collect() == []
+
+
 def test_dropped_by_names_the_first_kept_document(spark):
     cfg = DedupConfig()
     rng = random.Random(5)

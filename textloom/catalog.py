@@ -175,9 +175,14 @@ def near_duplicates_of_leader(spark, sf_dir):
     return pairs.filter(F.col("similarity") >= DedupConfig().threshold).select("leader_id", "doc_id")
 
 
+def near_duplicate_links(spark, sf_dir):
+    """How many near-duplicates each document has."""
+    return dedup.link_counts(materialize(signed_documents(spark, sf_dir), "signed"))
+
+
 def signature_similarity(spark, sf_dir):
     """Documents with neighbouring ids against each other."""
-    signed = materialize(signed_documents(spark, sf_dir), "signed")
+    signed = signed_documents(spark, sf_dir)
     pair_id = F.floor(F.col("doc_id") / 2).alias("pair_id")
     both = signed.groupBy(pair_id).agg(F.min_by("sig", "doc_id").alias("a"), F.max_by("sig", "doc_id").alias("b"))
     return both.select("pair_id", F.round(hashing.signature_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
@@ -589,7 +594,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         text_source, source_fallback, chat_source, preference_source, token_shard_round_trip, token_shard_lookup,
         language_filter, metadata_value, blank_filter, word_tokens, quality_filter, word_shingles, seeded_hash,
         end_of_text, keep_last_tokens,
-        minhash_signature, band_keys, bucket_leader_candidates, near_duplicates_of_leader, signature_similarity,
+        minhash_signature, band_keys, bucket_leader_candidates, near_duplicates_of_leader, near_duplicate_links,
+        signature_similarity,
         dedup_first_kept, dropped_by, clean_unique_by_source, incremental_dedup,
         byte_budget_prefix, first_documents, pack_sequences, pack_sequence_limit, train_val_split,
         shard_assignment, shard_statistics, corpus_sequences, corpus_to_shards,

@@ -12,9 +12,14 @@ documents kept so far, but it is reached in rounds of joins:
    large buckets at once.
 4. In each round the lowest ids of every band bucket ("probes") are compared with the members of
    the bucket. Small buckets are compared completely. A large bucket only meets its first few
-   members, so its work is linear in its size; the near-copies found this way leave, and the
-   next round looks at what remains, with more probes. Nothing is capped: rounds go on until
-   every document is decided, and the first undecided document is decided in every round.
+   members, so its work is linear in its size, and the near-copies found this way leave.
+5. What remains of a large bucket is cut by a further shared value, level by level. Near-duplicates differ
+   in few positions, so among the values that not all members share, each pair of them has one in common
+   within a short prefix of rare values. Values of one document only form no bucket. So the number of
+   jobs follows the levels and not the documents that share boilerplate.
+
+Nothing is capped: rounds go on until every document is decided. After the last cut the number of probes
+grows, and the first undecided document is decided in every round.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from textloom.session import materialize
 SMALL_BUCKET = 64
 # Probes per large bucket grow fourfold from round to round up to this number.
 MAX_PROBES = 512
+# Levels by which large buckets are cut; a level gives a document at most ten buckets for one.
+MAX_CUTS = 4
 
 
 def band_rows(cfg: DedupConfig) -> int:
@@ -133,11 +140,13 @@ def _candidates(
 
 def _kept(reps: DataFrame, members: DataFrame | None, cfg: DedupConfig, small_bucket: int, hot_rows: int) -> DataFrame:
     dropped = []
-    probes = 1
+    probes, cuts = 1, 0
     while members is not None:
         lost, members = _round(members, cfg, probes, small_bucket, hot_rows)
         if lost is not None:
             dropped.append(lost)
+        if members is not None and cuts < MAX_CUTS:
+            members, cuts = _cut(members, reps, cfg, small_bucket, hot_rows), cuts + 1
         probes = min(probes * 4, MAX_PROBES)
     kept = reps.select("id")
     return kept.join(union_all(dropped), "id", "left_anti") if dropped else kept
@@ -203,6 +212,78 @@ def _prefix_members(reps: DataFrame, cfg: DedupConfig, hot_rows: int) -> DataFra
     return None if members.isEmpty() else members
 
 
+def _cut(members: DataFrame, reps: DataFrame, cfg: DedupConfig, small_bucket: int, hot_rows: int) -> DataFrame:
+    """Replace large buckets by those of their members that share one more value.
+
+    Values held by all members of a bucket are set aside. Of the others, near-duplicates share all but
+    ``differing`` ones, so they meet at one of the ``differing + 1`` rarest values of each. A bucket whose
+    common values alone reach the threshold holds near-duplicates only and stays; the first probe clears it.
+    A bucket also stays where its parts would take more than half as many comparisons as itself. So rows
+    multiply only while comparisons shrink. Returns ``members`` itself when there was nothing to cut.
+    """
+    differing = cfg.permutations - min_equal_positions(cfg)
+    sizes = materialize(key_sizes(members, "bucket").filter(F.col("n") > small_bucket), "sizes")
+    if sizes.isEmpty():
+        return members
+    hot = hot_keys(sizes, "bucket", task_rows=hot_rows)
+    large = materialize(skew_join(members.select("bucket", "id", "sig"), sizes.withColumnRenamed("n", "of"), "bucket", hot), "large")
+    values = large.select("bucket", "id", "of", F.posexplode("sig").alias("at", "value"))
+    values = values.select("bucket", "id", "of", F.xxhash64("bucket", "at", "value").alias("key"))
+    counts = materialize(values.groupBy("bucket", "of", "key").agg(F.count(F.lit(1)).alias("n")), "values")
+    common = counts.filter("n = of").groupBy("bucket").agg(F.count(F.lit(1)).alias("common"))
+    alike = common.filter(F.col("common") >= cfg.permutations - differing).select("bucket")
+    others = counts.filter("n < of").join(alike, "bucket", "left_anti").select("key", "n")
+    met = skew_join(values.select("bucket", "id", "key"), others, "key", hot_keys(others, "key", task_rows=hot_rows))
+    rarest = F.slice(F.sort_array(F.collect_list(F.struct("n", "key"))), 1, differing + 1)
+    finer = met.groupBy("bucket", "id").agg(rarest.alias("keys")).select("bucket", "id", F.explode("keys").alias("k"))
+    finer = materialize(finer.filter("k.n > 1").select("bucket", "id", F.col("k.key").alias("key")), "finer")
+    parts = finer.groupBy("bucket", "key").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    parts = parts.groupBy("bucket").agg(F.sum(F.col("n") * F.col("n")).alias("work"))
+    costly = sizes.join(parts, "bucket").filter(F.col("work") * 2 > F.col("n").cast("double") * F.col("n")).select("bucket")
+    stay = materialize(costly.unionByName(alike).distinct(), "stay")
+    if stay.join(sizes, "bucket").count() == sizes.count():
+        return members
+    cut = finer.join(stay, "bucket", "left_anti").select("id", F.col("key").alias("bucket"))
+    small = skew_join(members, sizes.select("bucket"), "bucket", hot, "left_anti")
+    kept = skew_join(large, stay, "bucket", hot, "left_semi")
+    return materialize(union_all([d.select("bucket", "id", "sig") for d in (cut.join(reps.select("id", "sig"), "id"), small, kept)]), "members")
+
+
+def link_counts(
+    signed: DataFrame, cfg: DedupConfig = DedupConfig(), order: str = "doc_id", small_bucket: int = SMALL_BUCKET, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """(``order``, class_id, n_links) of every document: the first document with its signature, and the number of
+    documents that are near-duplicates of it.
+
+    Documents with one signature form a class. Classes are compared, with their sizes as multiplicities,
+    so copies cost nothing. A pair of classes may meet in several buckets and counts in the first one that
+    both have, so pairs are summed up where they are found and never listed.
+    """
+    reps = materialize(signed.groupBy("sig").agg(F.min(order).alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+    links = reps.select("id", F.lit(None).cast("bigint").alias("other"))
+    members = _prefix_members(reps.select("id", "sig"), cfg, hot_rows)
+    if members is not None:
+        for _ in range(MAX_CUTS):
+            before, members = members, _cut(members, reps, cfg, small_bucket, hot_rows)
+            if members is before:
+                break
+        lists = members.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+        rows = materialize(members.select("bucket", "id").distinct().join(lists, "id").join(reps, "id"), "members")
+        sizes = materialize(key_sizes(rows, "bucket").filter("n > 1"), "sizes")
+        # a hot bucket's rows are dealt, and met by all of them
+        hot = hot_keys(sizes, "bucket", task_rows=hot_rows)
+        rows = skew_join(rows, sizes.select("bucket"), "bucket", hot, "left_semi")
+        others = rows.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("id", "sig", "buckets", "copies")])
+        first = F.array_min(F.array_intersect("buckets", "other_buckets")) == F.col("bucket")
+        near = is_near_duplicate("sig", "other_sig", cfg) & (F.col("id") != F.col("other_id")) & first
+        met = skew_join(rows, others, "bucket", hot, condition=near)
+        links = met.groupBy("id").agg(F.sum("other_copies").alias("other"))
+    per_class = reps.join(links, "id", "left").select(
+        "sig", F.col("id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("other", F.lit(0))).alias("n_links")
+    )
+    return signed.select(order, "sig").join(per_class, "sig").select(order, "class_id", "n_links")
+
+
 def _round(
     members: DataFrame, cfg: DedupConfig, probes: int, small_bucket: int, hot_rows: int
 ) -> tuple[DataFrame | None, DataFrame | None]:
@@ -270,6 +351,3 @@ def _decide(
         edges = materialize(skew_join(alive, lost_probe, "probe", hot, "left_anti"), "edges")
     return (union_all(dropped) if dropped else None), edges
 
-
-def with_kept_only(docs: DataFrame, kept: DataFrame, order: str = "doc_id") -> DataFrame:
-    return docs.join(kept, order, "left_semi")

@@ -187,6 +187,9 @@ def all_oracles() -> dict[str, str]:
         )
         + """SELECT pair_id, round(len(list_filter(list_zip(a, b), lambda z: z[1] = z[2])) / 64, 6) AS similarity
             FROM both_sides""",
+        "near_duplicate_links": with_(minhash(""), KEPT.split("nodes AS")[0].rstrip(",\n "))
+        + """SELECT s.doc_id, min(s.doc_id) OVER (PARTITION BY s.sig) AS class_id, count(e.a) AS n_links
+            FROM sigs s LEFT JOIN (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges) e ON e.a = s.doc_id GROUP BY s.doc_id, s.sig""",
         "dropped_by": with_(minhash(""), KEPT, DROPPED_BY, recursive=True)
         + f"""SELECT b AS doc_id, kept_id, round({SHARED} / 64, 6) AS similarity FROM by_first
             JOIN sigs x ON x.doc_id = b JOIN sigs y ON y.doc_id = kept_id""",
