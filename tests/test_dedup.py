@@ -1,4 +1,5 @@
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from textloom.config import CorpusConfig, DedupConfig
 from textloom.operators import dedup
 from textloom.plans import corpus_prep
-from textloom.streaming import incremental
+from textloom.streaming import incremental, signature_store
 
 
 def one_by_one(rows, cfg):
@@ -172,6 +173,89 @@ def test_more_bands_than_positions_is_refused():
         dedup.band_rows(DedupConfig(permutations=8, bands=16))
 
 
+def signed_rows(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, sig array<int>")
+
+
+def feed_index(spark, path, batches, **options):
+    """Survivors of several batches, one after the other."""
+    index = incremental.KeptIndex(signature_store.SignatureStore(spark, path, **options), DedupConfig())
+    kept = []
+    for batch_id, rows in enumerate(batches):
+        signed = signed_rows(spark, rows)
+        got = index.survivors(signed, batch_id)
+        ids = sorted(r.doc_id for r in got.collect())
+        index.add(signed.filter(F.col("doc_id").isin(ids)), batch_id, max((i for i, _ in rows), default=0))
+        kept += ids
+    return index, kept
+
+
+def test_store_in_ranges_with_merges_equals_the_sequential_rule(spark, tmp_path):
+    rng = random.Random(8)
+    cfg = DedupConfig()
+    sigs = family(rng, 40, cfg, [1, 4, 6, 9, 12]) + [[rng.randrange(10**6) for _ in range(64)] for _ in range(20)]
+    sigs += [changed(s, rng.sample(range(64), 5), rng) for s in sigs[40:50]]
+    rows = list(enumerate(sigs))
+    batches = [rows[i : i + 14] for i in range(0, 70, 14)] + [[]]
+    index, kept = feed_index(spark, str(tmp_path / "s"), batches, range_rows=16, merge_at=2)
+    assert kept == one_by_one(rows, cfg)
+    live = index.store.segments()
+    assert len([s for s in live if s.table == "buckets"]) <= 3 and max(s.level for s in live) == 2
+    assert {s.rows for s in live if s.table == "signatures" and s.level == 2} and max(s.bits for s in live) >= 3
+    index.store.remove_unused(1)
+    assert index.store.segments() == live and len(index.store.versions()) == 1
+
+
+def test_lookups_read_only_the_ranges_they_touch(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, [rng.randrange(10**6) for _ in range(64)]) for i in range(200)]
+    index, _ = feed_index(spark, str(tmp_path / "s"), [rows], range_rows=20)
+    segment = next(s for s in index.store.segments() if s.table == "buckets")
+    assert segment.bits == 7 and len(segment.ranges) > 100
+    keys = index._bands_of(signed_rows(spark, rows[:1])).select("bucket")
+    found = index.store.find("buckets", keys, 1)
+    files = {f.split("range=")[1].split("/")[0] for f in found.inputFiles() if "range=" in f}
+    assert 0 < len(files) <= 10
+    assert {r.id for r in found.collect()} == {0}
+    reach = index.in_reach(signed_rows(spark, rows[:1]), 1)
+    assert [r.id for r in reach.collect()] == [0] and len([f for f in reach.inputFiles() if "/signatures/" in f]) == 1
+
+
+def test_a_damaged_store_is_an_error(spark, tmp_path):
+    rng = random.Random(10)
+    rows = [(i, [rng.randrange(10**6) for _ in range(64)]) for i in range(20)]
+    path = tmp_path / "s"
+    index, _ = feed_index(spark, str(path), [rows], range_rows=20)
+    segment = next(s for s in index.store.segments() if s.table == "buckets")
+    shutil.rmtree(path / "buckets" / segment.name / f"range={segment.ranges[0]}")
+    with pytest.raises(signature_store.DamagedStore):
+        index.store.find("buckets", index._bands_of(signed_rows(spark, rows)).select("bucket"), 1).count()
+    shutil.rmtree(path / "manifest")
+    with pytest.raises(signature_store.DamagedStore):
+        index.in_reach(signed_rows(spark, rows), 1)
+    # segments of a batch that never got its manifest are no damage: the batch is done again
+    assert index.in_reach(signed_rows(spark, rows), 0) is None
+
+
+def test_ids_that_go_back_are_refused_or_kept_in_arrival_order(spark, documents, tmp_path):
+    docs = documents.select("doc_id", "text", "lang").filter("lang = 'en'").limit(30)
+    for ordered in (True, False):
+        feed, out, index, state = (str(tmp_path / f"{n}{ordered}") for n in ("feed", "out", "index", "state"))
+        run = lambda: incremental.dedup_stream(
+            spark.readStream.schema(docs.schema).parquet(feed), out, index, state, ordered=ordered
+        ).awaitTermination()
+        docs.withColumn("doc_id", F.col("doc_id") + 1000).write.mode("append").parquet(feed)
+        run()
+        docs.write.mode("append").parquet(feed)
+        if ordered:
+            with pytest.raises(Exception, match="feed in id order"):
+                run()
+        else:
+            run()
+            # the same texts came before
+            assert spark.read.parquet(out).filter("doc_id < 1000").count() == 0
+
+
 def test_stream_equals_batch_and_survives_replay(spark, documents, tmp_path):
     docs = documents.select("doc_id", "text", "lang")
     feed, out, index = (str(tmp_path / n) for n in ("feed", "out", "index"))

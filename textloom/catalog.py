@@ -208,16 +208,15 @@ def clean_unique_by_source(spark, sf_dir):
 
 
 def incremental_dedup(spark, sf_dir):
-    """The documents as a stream of four micro-batches in id order."""
+    """The documents as a stream of four micro-batches in id order: each part arrives, and is worked off."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     top = docs.agg(F.max("doc_id")).first()[0] + 1
     feed, out, index, state = (new_table_path(spark, n) for n in ("feed", "stream", "index", "state"))
     for part in range(4):
         inside = (F.col("doc_id") >= top * part // 4) & (F.col("doc_id") < top * (part + 1) // 4)
         docs.filter(inside).write.mode("append").parquet(feed)
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    query = incremental.dedup_stream(stream, out, index, state)
-    query.awaitTermination()
+        stream = spark.readStream.schema(docs.schema).parquet(feed)
+        incremental.dedup_stream(stream, out, index, state).awaitTermination()
     return spark.read.parquet(out).select("doc_id")
 
 
