@@ -60,7 +60,8 @@ class KeptIndex:
 
     def add(self, signed: DataFrame, batch_id: int, last_id: int) -> None:
         rows = signed.select(F.col(self.order).alias("id"), "sig")
-        self.store.add(batch_id, {"buckets": self._bands_of(signed), "signatures": rows}, last_id)
+        n = rows.count()
+        self.store.add(batch_id, {"buckets": (self._bands_of(signed), n * self.bands), "signatures": (rows, n)}, last_id)
 
 
 def dedup_stream(

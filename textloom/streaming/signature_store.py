@@ -120,17 +120,18 @@ class SignatureStore:
     def _write(self, rows: DataFrame, table: str, name: str, n: int, level: int, last_id: int) -> Segment:
         bits = min(MAX_BITS, max(0, -(-n // self.range_rows) - 1).bit_length())
         base = f"{self.path}/{table}/{name}"
-        placed = rows.withColumn("range", range_of(table, bits)).repartitionByRange(1 << bits, "range", KEYS[table])
+        # a range is one task's work
+        placed = rows.withColumn("range", range_of(table, bits)).repartition(1 << bits, "range")
         placed.sortWithinPartitions("range", KEYS[table]).write.mode("overwrite").partitionBy("range").parquet(base)
         ranges = sorted(int(x.split("=")[1]) for x in self._names(f"{table}/{name}") if x.startswith("range="))
         return Segment(table, name, n, bits, ranges, level, last_id)
 
-    def add(self, batch_id: int, tables: dict[str, DataFrame], last_id: int) -> None:
-        """Add the rows of a batch and commit its version. Nothing of earlier versions is changed."""
+    def add(self, batch_id: int, tables: dict[str, tuple[DataFrame, int]], last_id: int) -> None:
+        """Add the rows of a batch, given with their number, and commit its version. Nothing of earlier versions is
+        changed."""
         live = self.segments(batch_id)
         earlier = max([last_id, *(s.last_id for s in live)])
-        for table, rows in tables.items():
-            n = rows.count()
+        for table, (rows, n) in tables.items():
             live.append(self._write(rows, table, f"b{batch_id}", n, 0, earlier))
             level = 0
             while len(same := [s for s in live if s.table == table and s.level == level]) >= self.merge_at:
