@@ -125,3 +125,28 @@ def test_batched_merges_equal_one_at_a_time(spark, seed):
 def test_keep_last(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([],)], "ids array<int>")
     assert [r.k for r in df.select(keep_last(F.col("ids"), 2).alias("k")).collect()] == [[2, 3], []]
+
+
+def test_a_round_reads_touched_pieces_and_counts_differences(spark):
+    """Counts after merges equal a recount, and come from a filtered scan of the index."""
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(30)) for _ in range(10)]
+    words = spark.createDataFrame([(w, i % 5 + 1) for i, w in enumerate(sorted({w for t in texts for w in t.split()} | {"ab" * 60, "aaaa"}))], "symbols string, n long")
+    table = bpe_train.PieceTable(words, 3)
+    merges, touched_by = [("ab", "X"), ("aa", "Y"), ("Xc", "Z"), ("eX", "W")], ["ab", "aa", "bc", "ea"]
+    for k in range(5):
+        got = {r.pair: r.n for r in bpe_train.current_counts(table, merges[:k], touched_by[:k]).collect() if r.n}
+        after = words.withColumn("symbols", bpe_train.apply_merges("symbols", merges[:k])) if k else words
+        assert got == {r.pair: r.n for r in bpe_train.pair_counts(after).collect()}
+    plan = bpe_train.current_counts(table, merges, touched_by)._jdf.queryExecution().executedPlan().toString()
+    assert "In(pair, [aa,ab,bc,ea," in plan.split("PushedFilters: ")[-1]
+
+
+@pytest.mark.parametrize("share", [0.0, 1.0])
+def test_both_ways_of_counting_learn_the_same(spark, monkeypatch, share):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))) for _ in range(12)) for _ in range(15)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = bpe_train.train(df, TokenizerConfig(vocab_size=60)).merges
+    monkeypatch.setattr(bpe_train, "RECOUNT_SHARE", share)
+    assert bpe_train.train(df, TokenizerConfig(vocab_size=60)).merges == want

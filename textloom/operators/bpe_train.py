@@ -13,6 +13,8 @@ pair can come before one that was taken.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,15 +27,30 @@ BASE = 0x10000
 RANKED_PAIRS = 512
 # a table is written after this many merges, which bounds the length of the plan
 MERGES_PER_TABLE = 32
+RECOUNT_SHARE = 0.1
+# a list of constants of this length or more compiles to the same code whatever it holds
+LEAST_KEYS = 12
 ROWS_PER_TASK = 5_000
 # longer pieces are cut into an array first, so that taking all pairs stays linear
 SHORT_PIECE = 48
 
 
-def _symbol_table(words: DataFrame, parts: int | None = None) -> DataFrame:
-    """Write the pieces that still have pairs; ``parts`` spreads them over the cluster."""
-    words = words.filter(F.char_length("symbols") > 1)
-    return materialize(words if parts is None else words.repartition(parts), "symbols")
+class PieceTable:
+    """Pieces that still have pairs, as symbol strings with counts, spread over ``parts`` tasks."""
+
+    def __init__(self, words: DataFrame, parts: int) -> None:
+        self.words, self.parts = materialize(words.filter(F.char_length("symbols") > 1).repartition(parts), "symbols"), parts
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Counts of all pairs."""
+        return materialize(pair_counts(self.words), "pairs")
+
+    @cached_property
+    def index(self) -> DataFrame:
+        """(pair, symbols, n), sorted by pair."""
+        rows = self.words.selectExpr(f"explode(array_distinct({pairs_of('symbols')})) as pair", "symbols", "n")
+        return materialize(rows.repartitionByRange(self.parts, "pair").sortWithinPartitions("pair"), "pair_index")
 
 
 def piece_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -69,19 +86,41 @@ def initial_vocab(alphabet: list[int], special: SpecialTokens = SpecialTokens())
     return {token: i for i, token in enumerate(tokens)}
 
 
+def pairs_of(symbols: str) -> str:
+    """SQL text of the array of adjacent pairs in a string of at least two symbols. It is rebuilt in every
+    round, and building it call by call would take longer."""
+    return f"""case when char_length({symbols}) < 2 then cast(array() as array<string>)
+        when char_length({symbols}) <= {SHORT_PIECE} then
+            transform(sequence(1, char_length({symbols}) - 1), i -> substring({symbols}, i, 2))
+        else transform(array(regexp_extract_all({symbols}, '(?s).', 0)),
+            c -> transform(sequence(0, size(c) - 2), i -> concat(get(c, i), get(c, i + 1))))[0]
+        end"""
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """(pair, n): total count of every two adjacent symbols."""
-    # SQL text: this is rebuilt in every round, and building it call by call would take longer
-    pairs = f"""explode(case
-        when char_length(symbols) <= {SHORT_PIECE} then
-            transform(sequence(1, char_length(symbols) - 1), i -> substring(symbols, i, 2))
-        else transform(array(regexp_extract_all(symbols, '(?s).', 0)),
-            c -> transform(sequence(0, size(c) - 2), i -> concat(get(c, i), get(c, i + 1))))[0]
-        end) as pair"""
-    split = words.filter(F.char_length("symbols") > 1).selectExpr("n", pairs)
+    split = words.selectExpr("n", f"explode({pairs_of('symbols')}) as pair")
     return split.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def current_counts(table: PieceTable, merges: list[tuple[str, str]], touched_by: list[str]) -> DataFrame:
+    """Pair counts after ``merges`` of (pair, symbol). ``touched_by`` names a pair of the table's own symbols that
+    is part of every occurrence of each merge; pieces without any of these stay as they are."""
+    if not merges:
+        return table.counts
+    found = list(dict.fromkeys(touched_by))
+    # strings of one symbol stand for no pair
+    keys = ", ".join(f"'{pair}'" for pair in found + [chr(BASE + i) for i in range(LEAST_KEYS - len(found))])
+    # a piece under several of the pairs counts under the first one it has
+    first = f"pair = filter(array({keys}), p -> instr(symbols, p) > 0)[0]"
+    touched = table.index.filter(f"pair in ({keys})").filter(first).select("n", "symbols")
+    moved = touched.withColumn("after", apply_merges("symbols", merges)).filter("after <> symbols")
+    gone = f"transform({pairs_of('symbols')}, p -> named_struct('pair', p, 'n', -n))"
+    new = f"transform({pairs_of('after')}, p -> named_struct('pair', p, 'n', n))"
+    change = moved.selectExpr(f"inline(concat({gone}, {new}))")
+    return table.counts.unionByName(change).groupBy("pair").agg(F.sum("n").alias("n"))
+
+
 def accept_merges(
     ranked: list[tuple[int, int]], vocab: dict[str, int], names: list[str], room: int
 ) -> list[tuple[int, int]]:
@@ -130,12 +169,19 @@ def train(
     target = "".join(chr(BASE + vocab[symbols[b]]) for b in alphabet)
     start = F.translate(byte_string(F.col("piece")), source, target) if alphabet else F.col("piece")
     parts = min(counts.count() // ROWS_PER_TASK + 1, docs.sparkSession.sparkContext.defaultParallelism)
-    table = words = _symbol_table(counts.select(start.alias("symbols"), "n"), parts)
+    table = PieceTable(counts.select(start.alias("symbols"), "n"), parts)
     merges: list[tuple[str, str]] = []
     pending: list[tuple[str, str]] = []
+    touched_by: list[str] = []
+    # pairs in all pieces, and those that the merges since the table took
+    total, taken = table.words.agg(F.sum(F.col("n") * (F.char_length("symbols") - 1))).first()[0] or 0, 0
+    indexed = RECOUNT_SHARE >= 1
+    # first and last symbol of the table inside each newer symbol
+    edges: dict[int, tuple[int, int]] = {}
     while len(vocab) < cfg.vocab_size:
+        merged = table.words.withColumn("symbols", apply_merges("symbols", pending)) if pending else table.words
         top = (
-            pair_counts(words)
+            (current_counts(table, pending, touched_by) if indexed else pair_counts(merged))
             .filter(F.col("n") >= cfg.min_frequency)
             .orderBy(F.desc("n"), "pair")
             .limit(RANKED_PAIRS)
@@ -145,15 +191,24 @@ def train(
             break
         ranked = [(ord(r.pair[0]) - BASE, ord(r.pair[1]) - BASE) for r in top]
         accepted = accept_merges(ranked, vocab, names, cfg.vocab_size - len(vocab))
+        taken += sum(r.n for r in top[: len(accepted)])
         for left, right in accepted:
             token = names[left] + names[right]
             merges.append((names[left], names[right]))
-            if token not in vocab:
+            known = token in vocab
+            if not known:
                 vocab[token] = len(names)
                 names.append(token)
+            begin, end = edges.get(left, (left, left)), edges.get(right, (right, right))
+            touched_by.append(chr(BASE + begin[1]) + chr(BASE + end[0]))
+            # a symbol that exists already stands in the table, too, where it begins and ends with itself
+            if not known:
+                edges[vocab[token]] = (begin[0], end[1])
             pending.append((chr(BASE + left) + chr(BASE + right), chr(BASE + vocab[token])))
-        words = table.withColumn("symbols", apply_merges("symbols", pending))
-        if len(pending) >= MERGES_PER_TABLE:
-            table = words = _symbol_table(words)
-            pending = []
+            if known:
+                break
+        if len(pending) >= MERGES_PER_TABLE or known:
+            table = PieceTable(table.words.withColumn("symbols", apply_merges("symbols", pending)), parts)
+            indexed = taken <= RECOUNT_SHARE * total
+            pending, touched_by, edges, total, taken = [], [], {}, total - taken, 0
     return Tokenizer(vocab, merges, {t: vocab[t] for t in special.ordered()}, special)
