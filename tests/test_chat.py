@@ -126,7 +126,7 @@ def test_encode_chat_masks_and_truncates(spark, talks, model):
 def test_pad_batches(spark):
     rows = [(1, [5, 6, 7], [-100, 6, 7]), (2, [5], [5]), (3, [9], [9])]
     df = spark.createDataFrame(rows, "id int, input_ids array<int>, labels array<int>")
-    out = {r.id: r for r in chat.pad_chat_batches(chat.number_batches(df, "id", 2), pad_id=3).collect()}
+    out = {r.id: r for r in chat.pad_chat_batches(df, "id", 2, pad_id=3).collect()}
     assert (out[1].input_ids, out[1].labels, out[1].attention_mask) == ([5, 6, 7], [-100, 6, 7], [1, 1, 1])
     assert (out[2].input_ids, out[2].labels, out[2].attention_mask) == ([5, 3, 3], [5, -100, -100], [1, 0, 0])
     assert (out[3].batch_id, out[3].input_ids) == (1, [9])
@@ -141,7 +141,7 @@ def test_encode_and_pad_pairs(spark, model):
             assert row[f"{side}_input_ids"] == ids["prompt"][i] + ids[side][i]
             assert row[f"{side}_labels"] == [-100] * len(ids["prompt"][i]) + ids[side][i]
     assert all(len(r.chosen_labels) == 2 for r in preference.encode_pairs(df, model, 2).collect())
-    padded = preference.pad_pair_batches(chat.number_batches(preference.encode_pairs(df, model, 1000), "id", 2), model.pad_id)
+    padded = preference.pad_pair_batches(preference.encode_pairs(df, model, 1000), "id", 2, model.pad_id)
     for side in ("chosen", "rejected"):
         longest = max(len(r[f"{side}_input_ids"]) for r in rows.values())
         for r in padded.collect():

@@ -26,8 +26,6 @@ QUERY_VOCAB = 400
 BATCH = 8
 CHAT_LEN = 96
 
-_tokenizers: dict[tuple[str, str], bpe_codec.Tokenizer] = {}
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -269,10 +267,11 @@ def shard_statistics(spark, sf_dir):
     return packing.shard_statistics(placed_sequences(spark, sf_dir))
 
 
-def corpus_to_shards(spark, sf_dir):
-    """Everything from raw documents to shard files, read back and counted."""
+def corpus_to_shards(spark, sf_dir, model=None):
+    """Everything from raw documents to shard files, read back and counted. ``model`` is a tokenizer learnt before,
+    here and below; without one it is learnt first."""
     cfg = CorpusConfig(seq_len=SEQ_LEN, shard_sequences=512)
-    prepared = corpus_prep.prepare(documents(spark, sf_dir), tokenizer(spark, sf_dir), cfg)
+    prepared = corpus_prep.prepare(documents(spark, sf_dir), model or tokenizer(spark, sf_dir), cfg)
     path = new_table_path(spark, "shards")
     corpus_prep.write_corpus(prepared, path, cfg)
     rows = tokenshard.read_token_shards(spark, path, SEQ_LEN)
@@ -295,13 +294,10 @@ def corpus_sequences(spark, sf_dir):
 
 
 def tokenizer(spark, sf_dir) -> bpe_codec.Tokenizer:
-    """A small vocabulary learnt from all documents; learnt once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _tokenizers:
-        path = new_table_path(spark, "tokenizer")
-        bpe_train.train(documents(spark, sf_dir), TokenizerConfig(vocab_size=QUERY_VOCAB)).save(spark, path)
-        _tokenizers[key] = bpe_codec.Tokenizer.load(spark, path)
-    return _tokenizers[key]
+    """A small vocabulary learnt from all documents, saved and loaded."""
+    path = new_table_path(spark, "tokenizer")
+    bpe_train.train(documents(spark, sf_dir), TokenizerConfig(vocab_size=QUERY_VOCAB)).save(spark, path)
+    return bpe_codec.Tokenizer.load(spark, path)
 
 
 def byte_tokenizer(spark, sf_dir) -> bpe_codec.Tokenizer:
@@ -323,8 +319,8 @@ def byte_alphabet(spark, sf_dir):
     return spark.createDataFrame(rows, "id bigint, byte bigint, symbol string")
 
 
-def bpe_merges(spark, sf_dir):
-    return tokenizer(spark, sf_dir).merges_table(spark)
+def bpe_merges(spark, sf_dir, model=None):
+    return (model or tokenizer(spark, sf_dir)).merges_table(spark)
 
 
 def english_tokenizer(spark, sf_dir):
@@ -339,14 +335,14 @@ def chat_vocabulary(spark, sf_dir):
     return rows.select("token", F.col("id").cast("bigint").alias("id"), "special")
 
 
-def bpe_encode(spark, sf_dir):
+def bpe_encode(spark, sf_dir, model=None):
     rows = documents(spark, sf_dir).select("doc_id", "text")
-    ids = bpe_codec.tokenize_documents(rows, tokenizer(spark, sf_dir))
+    ids = bpe_codec.tokenize_documents(rows, model or tokenizer(spark, sf_dir))
     return ids.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.md5(joined("tokens")).alias("tokens_md5"))
 
 
-def bpe_round_trip(spark, sf_dir):
-    model = tokenizer(spark, sf_dir)
+def bpe_round_trip(spark, sf_dir, model=None):
+    model = model or tokenizer(spark, sf_dir)
     ids = bpe_codec.tokenize_documents(documents(spark, sf_dir).select("doc_id", "text"), model)
     return ids.select("doc_id", bpe_codec.decode(F.col("tokens"), model).alias("text"))
 
@@ -373,15 +369,10 @@ def generation_prompt(spark, sf_dir):
     return messages(spark, sf_dir).select("conv_id", chatml.generation_prompt(F.col("messages")).alias("prompt"))
 
 
-def encoded_chat(spark, sf_dir, max_seq_len=1 << 30) -> DataFrame:
-    model = tokenizer(spark, sf_dir).with_special_tokens()
-    return chat.encode_chat(messages(spark, sf_dir), model, max_seq_len)
-
-
-def chat_encoding(spark, sf_dir):
+def chat_encoding(spark, sf_dir, model=None):
     """Ids and unmasked labels, decoded again."""
-    model = tokenizer(spark, sf_dir).with_special_tokens()
-    rows = encoded_chat(spark, sf_dir)
+    model = (model or tokenizer(spark, sf_dir)).with_special_tokens()
+    rows = chat.encode_chat(messages(spark, sf_dir), model, 1 << 30)
     learnt = F.filter("labels", lambda i: i != -100)
     return rows.select(
         "conv_id",
@@ -391,8 +382,10 @@ def chat_encoding(spark, sf_dir):
 
 
 def chat_batches(spark, sf_dir):
-    rows = materialize(encoded_chat(spark, sf_dir, CHAT_LEN), "chat")
-    padded = chat.pad_chat_batches(chat.number_batches(rows, "conv_id", BATCH), tokenizer(spark, sf_dir).pad_id)
+    """Encoded with single bytes, truncated and padded per batch."""
+    model = byte_tokenizer(spark, sf_dir).with_special_tokens()
+    rows = materialize(chat.encode_chat(messages(spark, sf_dir), model, CHAT_LEN), "chat")
+    padded = chat.pad_chat_batches(rows, "conv_id", BATCH, model.pad_id)
     return padded.select(
         "batch_id",
         "conv_id",
@@ -407,7 +400,7 @@ def padded_batches(spark, sf_dir):
     lengths = F.transform("words", lambda w: F.char_length(w))
     rows = tx.with_words(said).select("conv_id", F.slice(lengths, 1, CHAT_LEN).alias("input_ids"))
     rows = materialize(rows.withColumn("labels", chat.masked(F.col("input_ids"))), "lengths")
-    padded = chat.pad_chat_batches(chat.number_batches(rows, "conv_id", BATCH))
+    padded = chat.pad_chat_batches(rows, "conv_id", BATCH)
     return padded.select("batch_id", "conv_id", *[joined(c).alias(c) for c in ("input_ids", "labels", "attention_mask")])
 
 
@@ -434,8 +427,8 @@ def response_from_messages(spark, sf_dir):
     return rows.select("conv_id", chatml.response_text(F.col("messages"), True).alias("response"))
 
 
-def pair_encoding(spark, sf_dir):
-    model = tokenizer(spark, sf_dir).with_special_tokens()
+def pair_encoding(spark, sf_dir, model=None):
+    model = (model or tokenizer(spark, sf_dir)).with_special_tokens()
     rows = preference.encode_pairs(preference_pairs(spark, sf_dir), model, 1 << 30)
     learnt = F.filter("rejected_labels", lambda i: i != -100)
     return rows.select(
@@ -446,9 +439,9 @@ def pair_encoding(spark, sf_dir):
 
 
 def pair_batches(spark, sf_dir):
-    model = tokenizer(spark, sf_dir).with_special_tokens()
+    model = byte_tokenizer(spark, sf_dir).with_special_tokens()
     rows = materialize(preference.encode_pairs(preference_pairs(spark, sf_dir), model, CHAT_LEN), "pairs")
-    padded = preference.pad_pair_batches(chat.number_batches(rows, "conv_id", BATCH), model.pad_id)
+    padded = preference.pad_pair_batches(rows, "conv_id", BATCH, model.pad_id)
     sizes = [F.size(c).cast("bigint").alias(c) for c in padded.columns if c.endswith(("_ids", "_labels"))]
     return padded.select("batch_id", "conv_id", *sizes)
 
@@ -461,7 +454,9 @@ def sequence_ids(spark, sf_dir) -> DataFrame:
 
 
 def epoch_batches(spark, sf_dir):
-    plan = batches.epoch_plan(sequence_ids(spark, sf_dir), BATCH, world_size=3, epoch=1)
+    """Ranks, batches and slots of the packed sequences, whose ids are numbered without gaps."""
+    ids = materialize(packed(spark, sf_dir), "packed").select("seq_id")
+    plan = batches.epoch_plan(ids, BATCH, world_size=3, epoch=1, total=ids.count())
     return plan.select("seq_id", "rank", "batch_idx", "slot")
 
 
@@ -528,6 +523,12 @@ def sampled_tokens(spark, sf_dir):
     return scores.draw(rows, 1337, "vec_id").select("vec_id", F.col("token").cast("bigint").alias("token"))
 
 
+def nucleus_candidates(spark, sf_dir):
+    """Top-p over whole vocabularies."""
+    rows = scores.candidates(logits(spark, sf_dir), SamplingConfig(5.0, 0.8, 0), "vec_id")
+    return rows.select("vec_id", F.col("token").cast("bigint").alias("token"), F.round("prob", 6).alias("prob"))
+
+
 def greedy_tokens(spark, sf_dir):
     rows = scores.candidates(logits(spark, sf_dir), SamplingConfig(temperature=0.0), "vec_id")
     return rows.select("vec_id", F.col("token").cast("bigint").alias("token"))
@@ -603,6 +604,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         preference_pairs, response_from_messages, pair_encoding, pair_batches,
         epoch_batches, next_token_pairs, token_budget_batches,
         sequence_log_probs, cross_entropy, preference_margins, preference_loss,
-        sampling_candidates, sampled_tokens, greedy_tokens, eval_macro_average, perplexity, evaluation_report,
+        sampling_candidates, nucleus_candidates, sampled_tokens, greedy_tokens, eval_macro_average, perplexity, evaluation_report,
     )
     return {f.__name__: f for f in found}

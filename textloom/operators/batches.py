@@ -12,6 +12,38 @@ from textloom.functions.text import int_div
 from textloom.operators.ordering import running_total
 
 
+# Rounds that mix a sequence number, and steps that bring it back below the number of sequences. Each step
+# fails for one number in the root of their count, and never more often than there are numbers outside.
+ROUNDS = 6
+STEPS = 64
+
+
+def permutation(number: Column, total: int, key: str) -> Column:
+    """Place of ``number`` in a keyed permutation of the numbers below ``total``, from itself alone.
+
+    A number is split into a quotient and a remainder, and these are shifted in turn by a hash of the other one, which can be
+    undone step by step and so is a permutation of quotients x remainders. Numbers at or above ``total`` go through it again.
+    """
+    wide = max(1, math.isqrt(max(0, total - 1)) + 1)
+    high = -(-total // wide) if total else 1
+
+    def shift(state: Column, i: Column) -> Column:
+        left, right = state["left"], state["right"]
+        by_right = F.struct(((left + unit_hash(key, i, right)) % high).alias("left"), right.alias("right"))
+        by_left = F.struct(left.alias("left"), ((right + unit_hash(key, i, left)) % wide).alias("right"))
+        return F.when(i % 2 == 0, by_right).otherwise(by_left)
+
+    def mixed(x: Column) -> Column:
+        start = F.struct(int_div(x, wide).alias("left"), (x % wide).alias("right"))
+        rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+        return F.aggregate(rounds, start, shift, lambda state: state["left"] * wide + state["right"])
+
+    steps = F.sequence(F.lit(1), F.lit(STEPS))
+    place = F.aggregate(steps, mixed(number.cast("bigint")), lambda x, _: F.when(x < total, x).otherwise(mixed(x)))
+    lost = F.raise_error(F.lit("no place found for a sequence number")).cast("bigint")
+    return F.when((place < total) | number.isNull(), place).otherwise(lost)
+
+
 def epoch_plan(
     sequences: DataFrame,
     batch_size: int,
@@ -20,16 +52,21 @@ def epoch_plan(
     seed: int = 1337,
     epoch: int = 0,
     seq_id: str = "seq_id",
+    total: int | None = None,
 ) -> DataFrame:
     """Add ``rank``, ``batch_idx`` and ``slot``; sequences of a short last batch are left out.
 
-    Shuffling orders by a hash of seed, epoch and sequence, so any worker can recompute it.
+    The shuffle is a keyed permutation of the sequence numbers, so any worker can find the place of a sequence alone. With ``total``
+    the ids are the numbers from 0 to ``total - 1``, as packing gives them, and the plan needs neither a sort nor a
+    shuffle of rows. Otherwise the sequences are numbered first, in the order of their ids.
     """
-    order = F.col(seq_id).cast("bigint")
+    if total is None:
+        total = sequences.count()
+        numbered = running_total(sequences.withColumn("_order", F.col(seq_id).cast("bigint")), "_order", out="_n").drop("_order")
+    else:
+        numbered = sequences.withColumn("_n", F.col(seq_id).cast("bigint"))
     if shuffle:
-        order = unit_hash(f"{seed}:{epoch}", F.col(seq_id))
-    numbered = running_total(sequences.withColumn("_order", order), "_order", out="_n", tie=[seq_id])
-    total = sequences.count()
+        numbered = numbered.withColumn("_n", permutation(F.col("_n"), total, f"{seed}:{epoch}"))
     rank = F.col("_n") % world_size
     within = int_div(F.col("_n"), world_size)
     # sequences of this rank: one more for the ranks below the remainder
@@ -40,7 +77,7 @@ def epoch_plan(
         .withColumn("rank", rank)
         .withColumn("batch_idx", batch)
         .withColumn("slot", within % batch_size)
-        .drop("_order", "_n")
+        .drop("_n")
     )
 
 

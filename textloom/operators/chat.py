@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textloom.config import IGNORE_LABEL
 from textloom.functions import chatml
 from textloom.functions.text import int_div
 from textloom.operators.bpe_codec import Tokenizer, encode_pieces_nested, pieces
 from textloom.operators.ordering import running_total
+from textloom.session import materialize
 
 
 def _int_array(*values: int) -> Column:
@@ -52,25 +52,27 @@ def encode_chat(df: DataFrame, tokenizer: Tokenizer, max_seq_len: int, messages:
     return encoded.select(*keep, F.inline(F.array(example)))
 
 
-def number_batches(df: DataFrame, order: str, batch_size: int, out: str = "batch_id") -> DataFrame:
-    """Consecutive batches in ``order``; the last one may be short."""
-    numbered = running_total(df, order, out="_n")
-    return numbered.withColumn(out, int_div(F.col("_n"), batch_size)).drop("_n")
+def pad_batches(df: DataFrame, order: str, batch_size: int, pad_values: dict[str, int], batch: str = "batch_id") -> DataFrame:
+    """Number consecutive batches in ``order``, a unique bigint, and pad every array column to its longest value
+    within the batch; the last batch may be short.
 
-
-def pad_batches(df: DataFrame, pad_values: dict[str, int], batch: str = "batch_id") -> DataFrame:
-    """Pad every array column to its longest value within the batch."""
-    # a partition holds one batch, whose size is fixed
-    within = Window.partitionBy(batch)
-    sized = df.select("*", *[F.max(F.size(c)).over(within).alias(f"_longest_{c}") for c in pad_values])
+    Numbers and longest values come from rows of ids and lengths. The examples themselves are moved
+    once, to meet the figures of their batch.
+    """
+    lengths = df.select(order, *[F.size(c).alias(f"_longest_{c}") for c in pad_values])
+    numbered = running_total(materialize(lengths, "lengths"), order, out="_n")
+    numbered = numbered.withColumn(batch, int_div(F.col("_n"), batch_size))
+    # a group holds one batch, whose size is fixed
+    longest = [F.max(f"_longest_{c}").alias(f"_longest_{c}") for c in pad_values]
+    figures = numbered.groupBy(batch).agg(F.collect_list(order).alias(order), *longest).withColumn(order, F.explode(order))
     padded = {
         c: F.concat(F.col(c), F.array_repeat(F.lit(v), F.col(f"_longest_{c}") - F.size(c)))
         for c, v in pad_values.items()
     }
-    return sized.withColumns(padded).drop(*[f"_longest_{c}" for c in pad_values])
+    return df.join(figures, order).withColumns(padded).drop(*[f"_longest_{c}" for c in pad_values])
 
 
-def pad_chat_batches(df: DataFrame, pad_id: int = 0, batch: str = "batch_id") -> DataFrame:
+def pad_chat_batches(df: DataFrame, order: str, batch_size: int, pad_id: int = 0, batch: str = "batch_id") -> DataFrame:
     """Padded ``input_ids``, ``labels`` and the ``attention_mask`` that marks real tokens."""
     with_mask = df.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
-    return pad_batches(with_mask, {"input_ids": pad_id, "labels": IGNORE_LABEL, "attention_mask": 0}, batch)
+    return pad_batches(with_mask, order, batch_size, {"input_ids": pad_id, "labels": IGNORE_LABEL, "attention_mask": 0}, batch)

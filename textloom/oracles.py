@@ -70,6 +70,63 @@ named AS (SELECT byte, CASE WHEN printable THEN byte
   ELSE 256 + count(*) FILTER (WHERE NOT printable) OVER (ORDER BY byte) - 1 END AS code FROM own),
 alphabet AS (SELECT row_number() OVER (ORDER BY code) + 3 AS id, byte, chr(code::INTEGER) AS symbol
   FROM named JOIN found USING (byte))"""
+# RE2 has no look-ahead: char 1 marks where a run of blanks gives its last one to the next piece
+MARKED = r"regexp_replace(text, '(\s+)(\s)(\S)', '\1' || chr(1) || '\2\3', 'g')"
+PIECES = rf"""regexp_extract_all({MARKED}, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}\x01]+|\s+')"""
+
+
+def learnt(source: str, vocab_size: int) -> tuple[str, ...]:
+    """Merges by the plain rule, the best pair of all pieces one at a time. A piece is a string of symbols, a symbol a
+    code point: its id plus 256. ``final`` holds the symbols of each piece of the source after all merges."""
+    bytes_of = "regexp_extract_all(hex(encode(piece)), '..')"
+    return (
+        ALPHABET.replace("FROM documents", f"FROM {source}"),
+        f"""counted AS (SELECT row_number() OVER () AS k, piece, count(*) AS n
+          FROM (SELECT unnest({PIECES}) AS piece FROM {source}) GROUP BY piece)""",
+        f"""spelt AS (SELECT k, n, string_agg(chr((256 + id)::INTEGER), '' ORDER BY p) AS s
+          FROM (SELECT k, n, unnest({bytes_of}) AS h, generate_subscripts({bytes_of}, 1) AS p FROM counted)
+          JOIN alphabet ON byte = ('0x' || h)::BIGINT GROUP BY k, n)""",
+        "ids AS (SELECT max(id) AS last FROM alphabet)",
+        # a step's row 0 holds the pair that was merged; pieces of one symbol stay behind
+        f"""bpe AS (SELECT 0::BIGINT AS step, k, n, s FROM spelt
+          UNION ALL
+          SELECT * FROM (WITH best AS (SELECT substr(s, i, 2) AS pair, sum(n) AS total FROM bpe, unnest(range(1, length(s))) t(i)
+            WHERE k > 0 GROUP BY 1 HAVING sum(n) >= 2 ORDER BY total DESC, pair LIMIT 1)
+          SELECT step + 1, k, n, replace(s, pair, chr((256 + last + step + 1)::INTEGER)) FROM bpe, best, ids
+            WHERE last + step + 1 < {vocab_size} AND k > 0 AND length(s) > 1
+          UNION ALL SELECT any_value(step) + 1, 0, 0, any_value(pair) FROM bpe, best, ids WHERE last + step + 1 < {vocab_size} HAVING count(*) > 0))""",
+        "final AS MATERIALIZED (SELECT piece, f.s FROM counted JOIN (SELECT k, arg_max(s, step) AS s FROM bpe WHERE k > 0 GROUP BY k) f USING (k))",
+        "merged_at AS (SELECT step, unicode(s[1]) - 256 AS l, unicode(s[2]) - 256 AS r FROM bpe WHERE k = 0)",
+        """all_names AS (SELECT list_reduce(list_prepend(base, coalesce(merges, [])),
+            lambda names, m: list_append(names, names[m[1]::INT + 1] || names[m[2]::INT + 1])) AS names
+          FROM (SELECT ['<|pad|>', '<|bos|>', '<|eos|>', '<|unk|>'] || list(symbol ORDER BY id) AS base FROM alphabet),
+            (SELECT list([l::VARCHAR, r::VARCHAR] ORDER BY step) AS merges FROM merged_at))""",
+    )
+
+
+ENGLISH = f"""english AS (SELECT text FROM (SELECT text, coalesce(sum(strlen(text)) OVER (ORDER BY doc_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM documents WHERE lang = 'en' AND regexp_matches(text, '\\S'))
+  WHERE seen < {c.PREFIX_BYTES})"""
+LEARNT = learnt("documents", c.QUERY_VOCAB)
+ENCODED = f"""cut AS (SELECT doc_id, unnest({PIECES}) AS piece, unnest(range(len({PIECES}))) AS p FROM documents),
+encoded AS (SELECT doc_id, string_agg(s, '' ORDER BY p) AS s FROM cut JOIN final USING (piece) GROUP BY doc_id)"""
+
+# ids of a chat text with a vocabulary of single bytes: marks are one symbol each, unseen bytes are unknown
+CHAT_MARKS = "replace(replace({}, '<|im_start|>', chr(57344)), '<|im_end|>', chr(57345))"
+
+
+def chat_ids(source: str) -> str:
+    """(key, part, p, id) of the characters of (key, part, text)."""
+    chars = f"regexp_extract_all({CHAT_MARKS.format('text')}, '(?s).')"
+    return f"""chars AS (SELECT key, part, unnest({chars}) AS ch, generate_subscripts({chars}, 1) AS p FROM {source}),
+bytes AS (SELECT key, part, p, ch, unnest(regexp_extract_all(hex(encode(ch)), '..')) AS h,
+  generate_subscripts(regexp_extract_all(hex(encode(ch)), '..'), 1) AS q FROM chars WHERE ch NOT IN (chr(57344), chr(57345))
+  UNION ALL SELECT key, part, p, ch, NULL, 1 FROM chars WHERE ch IN (chr(57344), chr(57345))),
+top AS (SELECT max(id) AS last FROM alphabet),
+ids AS (SELECT key, part, p * 4 + q AS p, CASE WHEN ch = chr(57344) THEN last + 1 WHEN ch = chr(57345) THEN last + 2
+  ELSE coalesce(id, 3) END AS id FROM top, bytes LEFT JOIN alphabet ON byte = ('0x' || h)::BIGINT)"""
+
+
 BYTE_SEQS = f"""cut AS (SELECT doc_id, regexp_extract_all(hex(encode(text)), '..') AS hs FROM docs
   WHERE doc_id IN (SELECT doc_id FROM kept)),
 byte_ids AS (SELECT doc_id, p, id AS t FROM (SELECT doc_id, unnest(range(1, len(hs) + 1)) AS p, unnest(hs) AS h FROM cut)
@@ -102,7 +159,27 @@ pairs AS (SELECT conv_id,
   any_value(chosen) || '<|im_end|>' AS chosen, any_value(rejected) || '<|im_end|>' AS rejected
   FROM said GROUP BY conv_id)"""
 
-EPOCH_ORDER = hash32("'1337:1:' || doc_id")
+
+
+def mixed_number(rounds: int) -> str:
+    """A sequence number x, split by ``wide`` and shifted in turn by hashes of its halves."""
+    left, right = "(x // wide)", "(x % wide)"
+    for i in range(rounds):
+        if i % 2 == 0:
+            left = f"(({left} + {hash32(f"'1337:1:{i}:' || {right}")}) % high)"
+        else:
+            right = f"(({right} + {hash32(f"'1337:1:{i}:' || {left}")}) % wide)"
+    return f"{left} * wide + {right}"
+
+
+EPOCH = (
+    "total AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS wide FROM seqs)",
+    "sides AS (SELECT n, wide, (n + wide - 1) // wide AS high FROM total)",
+    f"""walk AS (SELECT seq_id, {mixed_number(6)} AS x FROM (SELECT seq_id, seq_id AS x FROM seqs), sides
+      UNION ALL SELECT seq_id, {mixed_number(6)} FROM walk, sides WHERE x >= n)""",
+    "placed_at AS (SELECT seq_id, x AS n FROM walk, sides WHERE x < sides.n)",
+    f"r AS (SELECT seq_id, n % 3 AS rank, n // 3 // {c.BATCH} AS batch_idx, n // 3 % {c.BATCH} AS slot FROM placed_at)",
+)
 LOGITS = "logits AS (SELECT vec_id, p - 1 AS token, round(embedding[p]::DOUBLE, 2) * 40 AS logit FROM embeddings, range(1, 65) r(p))"
 LOG_PROBS = f"""{LOGITS},
 labels_at AS (SELECT vec_id // 4 AS seq, vec_id % 4 AS pos,
@@ -217,12 +294,47 @@ def all_oracles() -> dict[str, str]:
         "corpus_sequences": with_(minhash("WHERE lang = 'en'"), KEPT, ALPHABET, BYTE_SEQS, recursive=True)
         + f"""SELECT split, row_number() OVER (PARTITION BY split ORDER BY seq_id) - 1 AS global_idx, {csv('tokens')} AS tokens
             FROM (SELECT *, {SPLIT} AS split FROM seqs)""",
-        # RE2 has no look-ahead: char 1 marks where a run of blanks gives its last one to the next piece
-        "piece_counts": r"""WITH marked AS (SELECT regexp_replace(text, '(\s+)(\s)(\S)', '\1' || chr(1) || '\2\3', 'g') AS t
-            FROM documents),
-            cut AS (SELECT unnest(regexp_extract_all(t, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+'))
-            AS piece FROM marked)
-            SELECT piece, count(*) AS n FROM cut GROUP BY piece""",
+        "piece_counts": f"SELECT piece, count(*) AS n FROM (SELECT unnest({PIECES}) AS piece FROM documents) GROUP BY piece",
+        "bpe_merges": with_(*LEARNT, recursive=True)
+        + """SELECT (step - 1)::INT AS rank, names[l + 1] AS left, names[r + 1] AS right, names[l + 1] || names[r + 1] AS merged
+            FROM merged_at, all_names""",
+        "english_tokenizer": with_(ENGLISH, *learnt("english", c.QUERY_VOCAB // 2), recursive=True)
+        + """SELECT token, (row_number() OVER () - 1)::INT AS id, row_number() OVER () <= 4 AS special
+            FROM (SELECT unnest(names) AS token FROM all_names)""",
+        "bpe_encode": with_(*LEARNT, ENCODED, recursive=True)
+        + """SELECT doc_id, (coalesce(length(s), 0) + 1)::BIGINT AS n_tokens, md5(array_to_string(list_append(
+            list_transform(coalesce(string_split(s, ''), []), lambda x: (unicode(x) - 256)::VARCHAR), '2'), ',')) AS tokens_md5
+            FROM documents LEFT JOIN encoded USING (doc_id)""",
+        "corpus_to_shards": with_(*LEARNT, ENCODED, minhash("WHERE lang = 'en'"), KEPT, recursive=True)
+        + f"""SELECT split, n // size AS shard_idx, count(*) AS sequences, count(*) * {L} AS tokens, any_value(kept_docs) AS kept_docs
+            FROM (SELECT split, kept_docs, CASE WHEN split = 'val' THEN 128 ELSE 512 END AS size,
+              row_number() OVER (PARTITION BY split ORDER BY seq_id) - 1 AS n
+              FROM (SELECT seq_id, kept_docs, {SPLIT} AS split FROM (SELECT count(*) AS kept_docs, unnest(range((sum(length(s) + 1) // {L})::BIGINT)) AS seq_id
+                FROM encoded WHERE doc_id IN (SELECT doc_id FROM kept))))
+            GROUP BY split, n // size""",
+        "chat_batches": with_(
+            ALPHABET,
+            SEGMENTS,
+            "said AS (SELECT conv_id AS key, pos * 2 + k AS part, text FROM parts)",
+            chat_ids("said"),
+            f"""whole AS (SELECT key, [1] || list(id ORDER BY part, p) || [2] AS ids FROM ids GROUP BY key),
+            cut_at AS (SELECT key, ids[:{c.CHAT_LEN}] AS ids, (row_number() OVER (ORDER BY key) - 1) // {c.BATCH} AS batch_id FROM whole),
+            sized AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS n FROM cut_at)""",
+        )
+        + """SELECT batch_id, key AS conv_id, n AS n_input_ids, n AS n_labels, n AS n_attention_mask,
+            md5(array_to_string(ids || list_transform(range(n - len(ids)), lambda x: 0), ',')) AS ids_md5 FROM sized""",
+        "pair_batches": with_(
+            ALPHABET,
+            PAIRS,
+            """sides AS (SELECT conv_id AS key, 0 AS part, prompt AS text FROM pairs UNION ALL SELECT conv_id, 1, chosen FROM pairs
+            UNION ALL SELECT conv_id, 2, rejected FROM pairs)""",
+            chat_ids("sides"),
+            f"""lengths AS (SELECT key, least(count(*) FILTER (part < 2), {c.CHAT_LEN}) AS chosen,
+              least(count(*) FILTER (part <> 1), {c.CHAT_LEN}) AS rejected, (row_number() OVER (ORDER BY key) - 1) // {c.BATCH} AS batch_id
+              FROM ids GROUP BY key),
+            sized AS (SELECT key, batch_id, max(chosen) OVER w AS a, max(rejected) OVER w AS b FROM lengths WINDOW w AS (PARTITION BY batch_id))""",
+        )
+        + """SELECT batch_id, key AS conv_id, a AS chosen_input_ids, a AS chosen_labels, b AS rejected_input_ids, b AS rejected_labels FROM sized""",
         "byte_alphabet": with_(ALPHABET) + "SELECT id, byte, symbol FROM alphabet",
         "chat_vocabulary": with_(ALPHABET)
         + """SELECT * FROM (VALUES ('<|pad|>', 0::BIGINT, true), ('<|bos|>', 1, true), ('<|eos|>', 2, true), ('<|unk|>', 3, true)) v(token, id, special)
@@ -256,10 +368,7 @@ def all_oracles() -> dict[str, str]:
         "response_from_messages": with_(MESSAGES)
         + "SELECT conv_id, string_agg(content, chr(10) ORDER BY pos) AS response FROM msgs GROUP BY conv_id",
         "pair_encoding": with_(PAIRS) + "SELECT conv_id, prompt || chosen AS chosen_text, rejected AS rejected_learnt FROM pairs",
-        "epoch_batches": with_(
-            f"n AS (SELECT doc_id AS seq_id, row_number() OVER (ORDER BY {EPOCH_ORDER}, doc_id) - 1 AS n FROM documents)",
-            f"""r AS (SELECT seq_id, n % 3 AS rank, n // 3 // {c.BATCH} AS batch_idx, n // 3 % {c.BATCH} AS slot FROM n)""",
-        )
+        "epoch_batches": with_(INT_TOKENS, *EPOCH, recursive=True)
         + f"""SELECT seq_id, rank, batch_idx, slot FROM r
             QUALIFY count(*) OVER (PARTITION BY rank, batch_idx) = {c.BATCH}""",
         "next_token_pairs": with_(INT_TOKENS)
@@ -278,6 +387,13 @@ def all_oracles() -> dict[str, str]:
         "preference_loss": f"""WITH m AS (SELECT vec_id, 0.1::DOUBLE * ({MARGIN}) AS x FROM embeddings)
             SELECT round(avg(greatest(-x, 0) + ln(1 + exp(-abs(x)))), 6) AS loss FROM m""",
         "sampling_candidates": with_(CANDIDATES) + "SELECT vec_id, token, round(prob, 6) AS prob FROM cand",
+        "nucleus_candidates": with_(
+            LOGITS,
+            """weighed AS (SELECT vec_id, token, logit, exp(logit / 5.0 - max(logit / 5.0) OVER (PARTITION BY vec_id)) AS w FROM logits)""",
+            """shared AS (SELECT vec_id, token, w, coalesce(sum(w) OVER (PARTITION BY vec_id ORDER BY logit DESC, token
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(w) OVER (PARTITION BY vec_id) AS before FROM weighed)""",
+        )
+        + "SELECT vec_id, token, round(w / sum(w) OVER (PARTITION BY vec_id), 6) AS prob FROM shared WHERE before <= 0.8",
         "sampled_tokens": with_(
             CANDIDATES,
             f"""drawn AS (SELECT *, sum(prob) OVER (PARTITION BY vec_id ORDER BY prob DESC, token) AS upto,

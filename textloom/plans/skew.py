@@ -51,5 +51,15 @@ def skew_join(
     return out if condition is None else out.filter(condition)
 
 
+# Rows of a table of a few numbers a row that may be sent to every task.
+BROADCAST_ROWS = 2_000_000
+
+
+def join_narrow(big: DataFrame, small: DataFrame, on: list[str], rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join with a table of a few numbers per key. It goes to every task if it has at most ``rows`` rows; beyond
+    that both sides are dealt by the key, and ``small`` is hashed, so that ``big`` is not sorted."""
+    return big.join(F.broadcast(small) if small.count() <= rows else small.hint("shuffle_hash"), on)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
