@@ -159,3 +159,52 @@ def test_scores_that_are_no_numbers_or_missing_fail(spark):
     labels = spark.createDataFrame([(1, 0, 5), (1, 1, 7)], "seq int, pos int, label int")
     with pytest.raises(Exception, match="no score for the label"):
         scores.cross_entropy(logits, labels).collect()
+
+
+def exchanges(df):
+    """What the shuffles of a plan carry, as text."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line], plan
+
+
+def test_the_epoch_permutation_is_one_and_needs_no_shuffle(spark):
+    for n in (1, 2, 3, 7, 16, 17, 100, 999):
+        ids = spark.range(n).withColumnRenamed("id", "seq_id")
+        places = [r[0] for r in ids.select(batches.permutation(F.col("seq_id"), n, "1:0")).collect()]
+        assert sorted(places) == list(range(n))
+    ids = spark.range(999).withColumnRenamed("id", "seq_id")
+    plan = batches.epoch_plan(ids, 8, 3, True, seed=5, epoch=2, total=999)
+    assert not exchanges(plan)[0] and "Sort" not in exchanges(plan)[1]
+    numbered = batches.epoch_plan(ids, 8, 3, True, seed=5, epoch=2)
+    assert sorted(map(tuple, plan.collect())) == sorted(map(tuple, numbered.collect()))
+    other = [r[0] for r in ids.select(batches.permutation(F.col("seq_id"), 999, "1:1")).collect()]
+    assert sum(a == b for a, b in zip(places, other)) < 20
+
+
+def test_scores_stay_where_they_are(spark):
+    rng = random.Random(1)
+    rows = [(s, p, t, rng.choice([rng.uniform(-50, 50), -math.inf]) if t else 1.0) for s in range(20) for p in range(4) for t in range(30)]
+    logits = spark.createDataFrame(rows, "seq int, pos int, token int, logit double")
+    labels = spark.createDataFrame([(s, p, 0) for s in range(20) for p in range(4)], "seq int, pos int, label int")
+    sent = scores.label_log_probs(logits, labels)
+    assert all("logit" not in line and "token" not in line for line in exchanges(sent)[0])
+    dealt = scores.label_log_probs(logits, labels, broadcast_rows=0)
+    key = lambda r: (r.seq, r.pos)
+    for a, b in zip(sorted(sent.collect(), key=key), sorted(dealt.collect(), key=key)):
+        xs = [x for s, p, _, x in rows if (s, p) == (a.seq, a.pos)]
+        assert a.logp == pytest.approx(b.logp) == pytest.approx(1.0 - math.log(sum(math.exp(x) for x in xs)))
+
+
+@pytest.mark.parametrize("top_p", [0.05, 0.5, 0.9, 0.999])
+def test_nucleus_equals_the_sorted_way(spark, top_p):
+    rng = random.Random(2)
+    rows = [(r, t, rng.choice([round(rng.gauss(0, 3), 1), 2.0])) for r in range(20) for t in range(200)]
+    df = spark.createDataFrame(rows + [(99, 0, -math.inf), (99, 1, 0.0)], "row_id int, token int, logit double")
+    cfg = SamplingConfig(0.8, top_p, 0)
+    for limit in (10**6, 0):
+        got = {}
+        for r in scores.nucleus(df, cfg, broadcast_rows=limit).collect():
+            got.setdefault(r.row_id, {})[r.token] = r.prob
+        assert got.pop(99) == {1: 1.0}
+        for row in range(20):
+            assert got[row] == pytest.approx(filtered({t: x for r, t, x in rows if r == row}, cfg))

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.config import CorpusConfig, DedupConfig, EvalConfig, SamplingConfig, TokenizerConfig
+from textloom.config import CorpusConfig, DedupConfig, EvalConfig, PreferenceConfig, SamplingConfig, SftConfig, TokenizerConfig
 from textloom.functions import chatml, hashing
 from textloom.functions import text as tx
 from textloom.operators import batches, bpe_codec, bpe_train, chat, dedup, packing, preference, sampling, scores
-from textloom.plans import corpus_prep, tokenizer_training
+from textloom.plans import corpus_prep, finetuning, tokenizer_training
 from textloom.session import materialize, new_table_path
 from textloom.sources import reports, text, tokenshard
 from textloom.streaming import incremental
@@ -446,6 +446,29 @@ def pair_batches(spark, sf_dir):
     return padded.select("batch_id", "conv_id", *sizes)
 
 
+def sft_training_batches(spark, sf_dir):
+    """From conversations to the shuffled, padded batches of an epoch, with a vocabulary of single bytes."""
+    turns = text.conversation_messages(read(spark, sf_dir, "conversations"))
+    rows = finetuning.sft_batches(turns, byte_tokenizer(spark, sf_dir), SftConfig(BATCH, CHAT_LEN), epoch=1)
+    return rows.select("batch_id", "conv_id", *[F.md5(joined(c)).alias(f"{c}_md5") for c in ("input_ids", "labels", "attention_mask")])
+
+
+def preference_training_batches(spark, sf_dir):
+    """From raw pairs to the shuffled, padded batches of an epoch."""
+    cfg = PreferenceConfig(batch_size=BATCH, max_seq_len=4 * CHAT_LEN)
+    rows = finetuning.preference_batches(raw_pairs(spark, sf_dir), byte_tokenizer(spark, sf_dir), cfg, epoch=1)
+    columns = [f"{side}_{what}" for side in ("chosen", "rejected") for what in ("input_ids", "labels")]
+    return rows.select("batch_id", "conv_id", *[F.md5(joined(c)).alias(f"{c}_md5") for c in columns])
+
+
+def preference_objective(spark, sf_dir):
+    """Preference loss from the scores of two models; the second one has the tokens in reverse order."""
+    pair, side = F.floor(F.col("seq") / 2).alias("pair"), F.when(F.col("seq") % 2 == 0, "chosen").otherwise("rejected").alias("side")
+    policy, labels = (t.select(pair, side, *t.columns[1:]) for t in position_scores(spark, sf_dir))
+    reference = policy.withColumn("token", 63 - F.col("token"))
+    return finetuning.preference_objective(policy, reference, labels).select(F.round("loss", 6).alias("loss"))
+
+
 # -- training batches ----------------------------------------------------------------------------
 
 
@@ -602,6 +625,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         piece_counts, byte_alphabet, bpe_merges, english_tokenizer, chat_vocabulary, bpe_encode, bpe_round_trip,
         normalized_messages, chatml_segments, generation_prompt, chat_encoding, chat_batches, padded_batches,
         preference_pairs, response_from_messages, pair_encoding, pair_batches,
+        sft_training_batches, preference_training_batches, preference_objective,
         epoch_batches, next_token_pairs, token_budget_batches,
         sequence_log_probs, cross_entropy, preference_margins, preference_loss,
         sampling_candidates, nucleus_candidates, sampled_tokens, greedy_tokens, eval_macro_average, perplexity, evaluation_report,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.config import IGNORE_LABEL
 from textloom.functions import chatml
 from textloom.functions.text import int_div
+from textloom.operators.batches import permutation
 from textloom.operators.bpe_codec import Tokenizer, encode_pieces_nested, pieces
 from textloom.operators.ordering import running_total
 from textloom.session import materialize
@@ -52,15 +53,18 @@ def encode_chat(df: DataFrame, tokenizer: Tokenizer, max_seq_len: int, messages:
     return encoded.select(*keep, F.inline(F.array(example)))
 
 
-def pad_batches(df: DataFrame, order: str, batch_size: int, pad_values: dict[str, int], batch: str = "batch_id") -> DataFrame:
+def pad_batches(df: DataFrame, order: str, batch_size: int, pad_values: dict[str, int], batch: str = "batch_id", shuffle: str | None = None) -> DataFrame:
     """Number consecutive batches in ``order``, a unique bigint, and pad every array column to its longest value
-    within the batch; the last batch may be short.
+    within the batch; the last batch may be short. ``shuffle`` is the key of a permutation of the examples.
 
     Numbers and longest values come from rows of ids and lengths. The examples themselves are moved
     once, to meet the figures of their batch.
     """
     lengths = df.select(order, *[F.size(c).alias(f"_longest_{c}") for c in pad_values])
-    numbered = running_total(materialize(lengths, "lengths"), order, out="_n")
+    lengths = materialize(lengths, "lengths")
+    numbered = running_total(lengths, order, out="_n")
+    if shuffle is not None:
+        numbered = numbered.withColumn("_n", permutation(F.col("_n"), lengths.count(), shuffle))
     numbered = numbered.withColumn(batch, int_div(F.col("_n"), batch_size))
     # a group holds one batch, whose size is fixed
     longest = [F.max(f"_longest_{c}").alias(f"_longest_{c}") for c in pad_values]
@@ -72,7 +76,7 @@ def pad_batches(df: DataFrame, order: str, batch_size: int, pad_values: dict[str
     return df.join(figures, order).withColumns(padded).drop(*[f"_longest_{c}" for c in pad_values])
 
 
-def pad_chat_batches(df: DataFrame, order: str, batch_size: int, pad_id: int = 0, batch: str = "batch_id") -> DataFrame:
+def pad_chat_batches(df: DataFrame, order: str, batch_size: int, pad_id: int = 0, batch: str = "batch_id", shuffle: str | None = None) -> DataFrame:
     """Padded ``input_ids``, ``labels`` and the ``attention_mask`` that marks real tokens."""
     with_mask = df.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
-    return pad_batches(with_mask, order, batch_size, {"input_ids": pad_id, "labels": IGNORE_LABEL, "attention_mask": 0}, batch)
+    return pad_batches(with_mask, order, batch_size, {"input_ids": pad_id, "labels": IGNORE_LABEL, "attention_mask": 0}, batch, shuffle)

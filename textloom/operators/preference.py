@@ -24,10 +24,10 @@ def encode_pairs(df: DataFrame, tokenizer: Tokenizer, max_seq_len: int) -> DataF
     return ids.select(*keep, *columns)
 
 
-def pad_pair_batches(df: DataFrame, order: str, batch_size: int, pad_id: int = 0, batch: str = "batch_id") -> DataFrame:
+def pad_pair_batches(df: DataFrame, order: str, batch_size: int, pad_id: int = 0, batch: str = "batch_id", shuffle: str | None = None) -> DataFrame:
     """Pad each of the four arrays to its own longest value within the batch."""
     values = {}
     for side in SIDES:
         values[f"{side}_input_ids"] = pad_id
         values[f"{side}_labels"] = IGNORE_LABEL
-    return pad_batches(df, order, batch_size, values, batch)
+    return pad_batches(df, order, batch_size, values, batch, shuffle)

@@ -77,7 +77,7 @@ def label_log_probs(logits: DataFrame, labels: DataFrame, broadcast_rows: int =
     norms = per_position.select("seq", "pos", (F.col("top") * MASS_BIN + F.log(scaled)).alias("norm"))
     said = logits.withColumnRenamed("token", "label").select("seq", "pos", "label", "logit")
     found = join_narrow(said, wanted.distinct(), ["seq", "pos", "label"], broadcast_rows)
-    missing = F.raise_error(F.concat_ws(" ", F.lit("no score for the label at"), "seq", "pos")).cast("double")
+    missing = F.raise_error(F.concat_ws(" ", F.lit("no score for the label at"), F.col("seq").cast("string"), F.col("pos").cast("string"))).cast("double")
     score = F.when(F.col("logit").isNull(), missing).otherwise(F.col("logit") - F.col("norm"))
     return wanted.join(found, ["seq", "pos", "label"], "left").join(norms, ["seq", "pos"], "left").select("seq", "pos", "label", score.alias("logp"))
 

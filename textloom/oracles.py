@@ -172,14 +172,29 @@ def mixed_number(rounds: int) -> str:
     return f"{left} * wide + {right}"
 
 
+def epoch_places(numbers: str) -> tuple[str, ...]:
+    """(id, n): the place of each row of (id, n), numbered from 0, in the permutation of epoch 1."""
+    return (
+        f"total AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS wide FROM {numbers})",
+        "borders AS (SELECT n, wide, (n + wide - 1) // wide AS high FROM total)",
+        f"""walk AS (SELECT id, {mixed_number(6)} AS x FROM (SELECT id, n AS x FROM {numbers}), borders
+          UNION ALL SELECT id, {mixed_number(6)} FROM walk, borders WHERE x >= n)""",
+        "placed_at AS (SELECT id, x AS n FROM walk, borders WHERE x < borders.n)",
+    )
+
+
 EPOCH = (
-    "total AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS wide FROM seqs)",
-    "sides AS (SELECT n, wide, (n + wide - 1) // wide AS high FROM total)",
-    f"""walk AS (SELECT seq_id, {mixed_number(6)} AS x FROM (SELECT seq_id, seq_id AS x FROM seqs), sides
-      UNION ALL SELECT seq_id, {mixed_number(6)} FROM walk, sides WHERE x >= n)""",
-    "placed_at AS (SELECT seq_id, x AS n FROM walk, sides WHERE x < sides.n)",
-    f"r AS (SELECT seq_id, n % 3 AS rank, n // 3 // {c.BATCH} AS batch_idx, n // 3 % {c.BATCH} AS slot FROM placed_at)",
+    "numbers AS (SELECT seq_id AS id, seq_id AS n FROM seqs)",
+    *epoch_places("numbers"),
+    f"r AS (SELECT id AS seq_id, n % 3 AS rank, n // 3 // {c.BATCH} AS batch_idx, n // 3 % {c.BATCH} AS slot FROM placed_at)",
 )
+SHUFFLED = ("numbers AS (SELECT key AS id, row_number() OVER (ORDER BY key) - 1 AS n FROM whole)", *epoch_places("numbers"))
+
+
+def padded(column: str, value: int, upto: str) -> str:
+    return f"md5(array_to_string({column} || list_transform(range({upto} - len({column})), lambda x: {value}), ','))"
+
+
 LOGITS = "logits AS (SELECT vec_id, p - 1 AS token, round(embedding[p]::DOUBLE, 2) * 40 AS logit FROM embeddings, range(1, 65) r(p))"
 LOG_PROBS = f"""{LOGITS},
 labels_at AS (SELECT vec_id // 4 AS seq, vec_id % 4 AS pos,
@@ -323,6 +338,47 @@ def all_oracles() -> dict[str, str]:
         )
         + """SELECT batch_id, key AS conv_id, n AS n_input_ids, n AS n_labels, n AS n_attention_mask,
             md5(array_to_string(ids || list_transform(range(n - len(ids)), lambda x: 0), ',')) AS ids_md5 FROM sized""",
+        "sft_training_batches": with_(
+            ALPHABET,
+            SEGMENTS,
+            "said AS (SELECT conv_id AS key, pos * 2 + k AS part, text, trainable FROM parts)",
+            chat_ids("said"),
+            f"""whole AS (SELECT key, ([1] || list(id ORDER BY part, p) || [2])[:{c.CHAT_LEN}] AS ids,
+              ([-100] || list(CASE WHEN trainable THEN id ELSE -100 END ORDER BY part, p) || [2])[:{c.CHAT_LEN}] AS labels
+              FROM ids JOIN said USING (key, part) GROUP BY key)""",
+            *SHUFFLED,
+            f"""sized AS (SELECT key, ids, labels, list_transform(ids, lambda x: 1) AS mask, n // {c.BATCH} AS batch_id,
+              max(len(ids)) OVER (PARTITION BY n // {c.BATCH}) AS upto FROM whole JOIN placed_at ON id = key)""",
+            recursive=True,
+        )
+        + f"""SELECT batch_id, key AS conv_id, {padded('ids', 0, 'upto')} AS input_ids_md5, {padded('labels', -100, 'upto')} AS labels_md5,
+            {padded('mask', 0, 'upto')} AS attention_mask_md5 FROM sized""",
+        "preference_training_batches": with_(
+            ALPHABET,
+            PAIRS,
+            """sides AS (SELECT conv_id AS key, 0 AS part, prompt AS text FROM pairs UNION ALL SELECT conv_id, 1, chosen FROM pairs
+            UNION ALL SELECT conv_id, 2, rejected FROM pairs)""",
+            chat_ids("sides"),
+            f"""whole AS (SELECT key, list(id ORDER BY part, p) FILTER (part < 2) AS c, list(id ORDER BY part, p) FILTER (part <> 1) AS r,
+              list(CASE WHEN part = 0 THEN -100 ELSE id END ORDER BY part, p) FILTER (part < 2) AS cl,
+              list(CASE WHEN part = 0 THEN -100 ELSE id END ORDER BY part, p) FILTER (part <> 1) AS rl FROM ids GROUP BY key)""",
+            *SHUFFLED,
+            f"""cut_at AS (SELECT key, n // {c.BATCH} AS batch_id, c[:{4 * c.CHAT_LEN}] AS c, cl[:{4 * c.CHAT_LEN}] AS cl, r[:{4 * c.CHAT_LEN}] AS r,
+              rl[:{4 * c.CHAT_LEN}] AS rl FROM whole JOIN placed_at ON id = key)""",
+            "sized AS (SELECT *, max(len(c)) OVER w AS c_upto, max(len(r)) OVER w AS r_upto FROM cut_at WINDOW w AS (PARTITION BY batch_id))",
+            recursive=True,
+        )
+        + f"""SELECT batch_id, key AS conv_id, {padded('c', 0, 'c_upto')} AS chosen_input_ids_md5, {padded('cl', -100, 'c_upto')} AS chosen_labels_md5,
+            {padded('r', 0, 'r_upto')} AS rejected_input_ids_md5, {padded('rl', -100, 'r_upto')} AS rejected_labels_md5 FROM sized""",
+        "preference_objective": with_(
+            LOG_PROBS.replace("SELECT l.seq, s.logit - n.lse AS logp", "SELECT l.seq, s.logit - n.lse AS logp, t.logit - n.lse AS ref_logp")
+            .replace("s.token = l.label WHERE", "s.token = l.label JOIN shifted t ON t.seq = l.seq AND t.pos = l.pos - 1 AND t.token = 63 - l.label WHERE"),
+            """every AS (SELECT s.seq, coalesce(sum(logp), 0) AS logp, coalesce(sum(ref_logp), 0) AS ref_logp
+              FROM (SELECT DISTINCT seq FROM labels_at) s LEFT JOIN logps p ON p.seq = s.seq GROUP BY s.seq)""",
+            """margins AS (SELECT 0.1 * ((a.logp - b.logp) - (a.ref_logp - b.ref_logp)) AS x
+              FROM every a JOIN every b ON b.seq = a.seq + 1 AND a.seq % 2 = 0)""",
+        )
+        + "SELECT round(avg(greatest(-x, 0) + ln(1 + exp(-abs(x)))), 6) AS loss FROM margins",
         "pair_batches": with_(
             ALPHABET,
             PAIRS,
