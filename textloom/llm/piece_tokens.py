@@ -217,7 +217,7 @@ class WordCache:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.spelt: dict[str, str] = {}
+        self.misspelt: dict[str, str] = {}  # words whose ids do not spell them
         self.chars = 0
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -232,7 +232,7 @@ class WordCache:
             found = encode_texts(new, self.source)
             check_parity(new, found, self.source)
             spelt = decode_ids(found, self.source)
-        self.spelt.update(zip(new, spelt))
+        self.misspelt.update((w, t) for w, t in zip(new, spelt) if t != w.replace(MARK, " " if self.cuts else MARK))
         for w in new:
             self.index[w] = len(self.index)
             self.chars += len(w)
@@ -268,6 +268,13 @@ class WordCache:
                 out[i] = ids[s:e]
         return out
 
+    def spelling(self, words: list[str]) -> str:
+        """The text that the ids of words decode to. Decoding takes away the blank of the first marker."""
+        if self.misspelt:
+            words = [self.misspelt.get(w, w) for w in words]
+        joined = "".join(words)
+        return joined.replace(MARK, " ")[1:] if self.cuts else joined
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, the number of ids of each text, and whether its ids decode to the text."""
         if len(self.index) > CACHED_WORDS or self.chars > CACHED_CHARS:
@@ -282,9 +289,7 @@ class WordCache:
         n_words = np.fromiter(map(len, cut), np.int64, len(cut))
         bounds = np.concatenate([[0], np.cumsum(n_words)])
         total = np.concatenate([[0], ends])[bounds]
-        # decoding a text takes away the blank of its first marker
-        lead = " " if self.cuts else ""
-        exact = [not text or "".join(map(self.spelt.__getitem__, row)) == lead + text for text, row in zip(texts, cut)]
+        exact = [not text or self.spelling(row) == text for text, row in zip(texts, cut)]
         return ids, np.diff(total), np.array(exact, bool)
 
 
