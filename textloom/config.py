@@ -1,4 +1,7 @@
-"""Default settings of a corpus-preparation run."""
+"""Default settings of a corpus-preparation run.
+
+Fixed values: numbers and token strings that must equal those of existing corpora and models.
+"""
 
 from __future__ import annotations
 
