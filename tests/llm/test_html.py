@@ -84,3 +84,79 @@ def test_formulas_and_drawings_keep_their_text():
     assert hl.extract("<svg><title/><defs/><path d=''/><text>a</text><text>b</text><desc>no</desc></svg>c") == "a b c"
     assert hl.extract("<svg><title>no</title><defs><text>no</text></defs></svg>c") == "c"
     assert hl.extract("<svg><defs><p>a</p>b") == "a\n\nb"
+
+
+def test_no_depth_changes_what_is_hidden():
+    assert hl.extract("<div>" * 250 + "<script>var secret=1</script><p hidden>hid</p>x") == "x"
+    deep = "<div><ul><li><blockquote><span style='display:none'>no</span><table><tr><td>"
+    assert set(hl.extract(deep * 3000 + "x").split()) == {"-", "x"}
+
+
+def test_quotes_count_behind_equals_signs_only():
+    assert hl.extract("<p class=it's>hello</p><a title=it's>x</a> tail") == "hello\n\nx tail"
+    assert hl.extract("<p \"'>a</p><a title='x > y' b=\">\">c</a>") == "a\n\nc"
+    assert hl.extract("<a title=\"never>a</a> b") == "a b"
+    assert hl.extract("<!-->a<!--->b<!-- no --!>c<!-- no") == "abc"
+
+
+def test_time_follows_the_length_of_broken_markup():
+    import time
+
+    kinds = ["<a ", "<a '", "<a x='", "<a x=\">\" ", "<li></li>", "<table><tr><td>x", "<ul><li>x", "<blockquote>", "<!", "</b ", "<td>a", "a<br>"]
+    pages = [kind * (500_000 // len(kind)) for kind in kinds]
+    pages += ["<a " * 300_000 + ">", "<li><ul>" + "<b>" * 80_000 + "<li></li>" * 80_000]
+    pages += ["<table><tr>" + "<td>a" * 60_000 + "<td>" + "a<br>" * 100_000]
+    for page in pages:
+        started = time.time()
+        hl.extract(page)
+        assert time.time() - started < 15, page[:20]
+
+
+def test_cells_over_several_rows_hold_their_columns():
+    page = "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>"
+    assert hl.extract(page) == "a  b\n   c\nd  e"
+    page = "<table><tbody><tr><td rowspan=0 colspan=2>a<td>b<tr><td>c<tbody><tr><td>d<td>e<td>f</table>"
+    assert hl.extract(page) == "a     b\n      c\nd  e  f"
+
+
+def test_closed_details_lists_and_sight():
+    assert hl.extract("<details>no<summary>s</summary><p>no</details>a") == "s\na"
+    assert hl.extract("<details open><summary>s</summary>yes</details>a") == "s\nyes\na"
+    assert hl.extract("<select><option>a<option selected>b<optgroup><option>c</select>") == "b"
+    assert hl.extract("<select><option disabled>a<option>b</select>") == "b"
+    assert hl.extract("<select multiple><option>a<option>b</select>") == "a\nb"
+    assert hl.extract("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b> no</div>z") == "yes\nz"
+
+
+def test_words_equal_those_of_a_plain_event_parser(spark):
+    from html.parser import HTMLParser
+
+    class Words(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.words, self.hidden = [], []
+
+        def handle_starttag(self, tag, attrs):
+            attrs = dict(attrs)
+            self.words.append(" ")
+            gone = tag in hl.HIDDEN or "hidden" in attrs or "display:none" in (attrs.get("style") or "").replace(" ", "")
+            if tag not in hl.VOID and (self.hidden or gone):
+                self.hidden.append(tag)
+
+        def handle_endtag(self, tag):
+            self.words.append(" ")
+            if tag in self.hidden:
+                while self.hidden.pop() != tag:
+                    pass
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.words.append(data)
+
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        parser = Words()
+        parser.feed(r["html"])
+        parser.close()
+        want = "".join("".join(parser.words).split())
+        got = "".join(w for w in hl.extract(r["html"]).split() if w != "-")
+        assert got.replace("-", "") == want.replace("-", ""), r["page_id"]
