@@ -149,3 +149,21 @@ def test_bounds_hold_and_variants_are_classed_like_brute_force(spark):
         for run in t:
             count[run] = count.get(run, 0) + 1
     assert met == {(a, b) for a, b in itertools.combinations(range(70), 2) if any(count[r] <= mh.RARE for r in set(texts[a]) & set(texts[b]))}
+
+
+def test_missing_and_repeated_ids_are_judged_by_their_texts(spark):
+    base = words(random.Random(1), 80)
+    near = [*base[:-1], "other"]
+    rows = [
+        (None, " ".join(base), "a"), (None, " ".join(base), "b"), (7, " ".join(near), "c"), (5, " ".join(base).upper(), "d"),
+        (None, "alone without id", "e"), (None, "alone  without id", "f"), (3, "one text of this id", "g"),
+        (3, "a second and quite different text of it", "h"), (3, "one text of this id", "i"), (None, None, "j"), (8, "", "k"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, node string")
+    got = sorted((r["doc_id"] or -1, r["class_id"] or -1) for r in mh.near_duplicate_classes(docs).collect())
+    assert got == sorted([(-1, 5), (-1, 5), (7, 5), (5, 5), (-1, -1), (-1, -1), (3, 3), (3, 3), (3, 3), (-1, -1), (8, 8)])
+    kept = mh.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    kept = [(r["doc_id"], (r["text"] or "").split()[:1]) for r in kept.collect()]
+    assert sorted(kept, key=str) == sorted([(5, [base[0].upper()]), (None, ["alone"]), (3, ["one"]), (3, ["a"]), (None, []), (8, [])], key=str)
+    assert mh.without_near_duplicates(docs.limit(0)).collect() == []

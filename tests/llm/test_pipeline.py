@@ -24,6 +24,8 @@ def test_stages_work_on_what_is_kept(spark, tmp_path):
             assert current.count() == before.count()
     ids = {r["doc_id"] for r in seen["language_id"].collect()}
     assert not ids & {9001, 9002} and None in ids
+    # the copy without an id goes with the others of its class
+    assert None not in {r["doc_id"] for r in seen["minhash_near_dedup"].collect()}
     classes = minhash.near_duplicate_classes(seen["language_id"]).collect()
     kept = [r["doc_id"] for r in seen["minhash_near_dedup"].collect() if r["doc_id"] is not None]
     assert sorted(kept) == sorted({r["class_id"] for r in classes if r["class_id"] is not None})
@@ -44,4 +46,5 @@ def test_run_and_registration(spark):
     assert len(cp.run(spark, DATA).columns) == 4
     assert sorted(queries.all_queries()) == sorted([*(f"op{i}_{n}" for i, n in [
         (1, "minhash_near_dedup"), (2, "chat_formatting"), (3, "ann_posting_lists"), (4, "html_layout"), (5, "pii_tagger"),
-        (6, "sentencepiece"), (7, "pivot_topk"), (8, "language_mixture"), (9, "range_shards"), (10, "pivotal_mix")]), "pipeline"])
+        (6, "sentencepiece"), (7, "pivot_topk"), (8, "language_mixture"), (9, "range_shards"), (10, "pivotal_mix"),
+        (11, "benchmark_decontamination"), (12, "importance_resampling"), (13, "periodic_runs")]), "pipeline"])

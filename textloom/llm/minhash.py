@@ -19,8 +19,11 @@ each register: six standard deviations below the threshold, so that no link is l
 **Verification** reads the runs of candidate documents again and computes the similarity exactly.
 Components come from alternating stars over tables; no links are gathered on the driver.
 
+Documents are told apart by a hash of id and text, so ids may be null or repeated.
+
 Defined results: a null text or one without words is a class of its own; equal word sequences are one
-class; rows with the same ``doc_id`` are one document; class ids are the smallest ``doc_id`` of a class.
+class; rows with one ``doc_id`` but different texts are judged by their texts; class ids are the smallest
+``doc_id`` of a class, null if none of its rows has one. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -145,12 +148,12 @@ def packed_bits(sig: np.ndarray, words: int) -> np.ndarray:
 
 def _sign(cfg: NearDupConfig):
     words = cfg.bit_words
-    longs = [(name, pa.int64()) for name in ("doc_id", "h1", "h2", *words)]
+    longs = [(name, pa.int64()) for name in ("node", "doc_id", "h1", "h2", *words)]
     schema = pa.schema([*longs, ("sig", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            nodes, ids = batch.column(0), batch.column(2)
             for start, texts in bl.blocks(bl.texts_of(batch.column(1))):
                 hashes, counts, lengths, whole = weighted_runs(texts, cfg.words)
                 sig = signatures(hashes, counts, lengths, cfg.registers)
@@ -159,7 +162,7 @@ def _sign(cfg: NearDupConfig):
                     sig_list = bl.list_array(sig[lengths > 0].ravel(), np.where(lengths, cfg.registers, 0), pa.int32())
                 numbers = np.concatenate([whole.view(np.int64), packed_bits(sig, len(words))], axis=1)
                 columns = [pa.array(np.ascontiguousarray(column)) for column in numbers.T]
-                yield pa.RecordBatch.from_arrays([ids.slice(start, len(texts)), *columns, sig_list], schema=schema)
+                yield pa.RecordBatch.from_arrays([nodes.slice(start, len(texts)), ids.slice(start, len(texts)), *columns, sig_list], schema=schema)
 
     return run
 
@@ -216,6 +219,7 @@ def run_sets(docs: DataFrame, nodes: DataFrame, cfg: NearDupConfig) -> DataFrame
     The list of nodes follows the corpus, so both sides are always dealt by id and never broadcast.
     """
     wanted = docs.select("doc_id", "text").join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    wanted = wanted.dropDuplicates(["doc_id"])
     return materialize(wanted.mapInArrow(_runs_of(cfg), "node bigint, runs array<bigint>, counts array<int>"), "runs")
 
 
@@ -270,21 +274,48 @@ def buckets(reps: DataFrame, cfg: NearDupConfig) -> DataFrame:
     return reps.select("node", F.posexplode(band_keys(cfg)).alias("band", "bucket"))
 
 
+def _node() -> Column:
+    """The number of a document: ids may be missing or repeated, so the text takes part."""
+    return F.xxhash64("doc_id", "text")
+
+
 def near_duplicate_classes(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:
     """(doc_id, class_id) for each row of ``docs``, which has ``doc_id`` and ``text``; see above."""
-    docs = docs.select("doc_id", "text")
+    return _classes(docs, cfg).select("doc_id", "class_id")
+
+
+def without_near_duplicates(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:
+    """The rows of ``docs`` without all but one of each class: its row with the smallest id, ids before none.
+
+    Rows equal in id and text are one row; texts without words all stay.
+    """
+    # columns of any name may be there already
+    node = "node"
+    while node in docs.columns:
+        node += "_"
+    found = materialize(_classes(docs, cfg), "classes")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    first = found.groupBy("root").agg(F.min_by("node", order).alias(node)).select(node)
+    kept = docs.withColumn(node, _node()).join(first.hint("merge"), node, "left_semi")
+    return kept.dropDuplicates([node]).select(docs.columns)
+
+
+def _classes(docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """(node, doc_id, root, class_id) for each row."""
+    docs = docs.select(_node().alias("node"), "text", "doc_id")
     signed = materialize(
-        docs.mapInArrow(_sign(cfg), f"doc_id bigint, h1 bigint, h2 bigint, {' '.join(f'{w} bigint,' for w in cfg.bit_words)} sig array<int>"),
+        docs.mapInArrow(_sign(cfg), f"node bigint, doc_id bigint, h1 bigint, h2 bigint, {' '.join(f'{w} bigint,' for w in cfg.bit_words)} sig array<int>"),
         "signed",
     )
     filled = signed.filter(F.size("sig") > 0)
-    firsts = materialize(filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "firsts")
-    reps = filled.join(firsts.hint("merge"), (F.col("doc_id") == F.col("node")) & (filled.h1 == firsts.h1) & (filled.h2 == firsts.h2), "left_semi")
-    reps = materialize(reps.select(F.col("doc_id").alias("node"), "sig", *cfg.bit_words), "representatives")
+    firsts = materialize(filled.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.min("doc_id").alias("first_id")), "firsts")
+    same = [filled.node == firsts.node, filled.h1 == firsts.h1, filled.h2 == firsts.h2]
+    reps = filled.join(firsts.hint("merge"), same, "left_semi").select("node", "sig", *cfg.bit_words)
+    reps = materialize(reps.dropDuplicates(["node"]), "representatives")
 
     members = led_buckets(buckets(reps, cfg))
     pairs = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    sets = run_sets(docs, members.select("node").distinct(), cfg)
+    sets = run_sets(docs.select(F.col("node").alias("doc_id"), "text"), members.select("node").distinct(), cfg)
     edges = verified(pairs, sets, cfg)
     linked = components(edges)
 
@@ -292,11 +323,15 @@ def near_duplicate_classes(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()
     if not rest.isEmpty():
         linked = components(edges.unionByName(verified(rest, sets, cfg)))
 
-    # rows with one doc_id but several texts tie their classes together
-    root = F.coalesce("root", "node")
-    classes = firsts.join(linked, "node", "left").select("h1", "h2", root.alias("class_id"))
-    found = signed.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"], "left")
-    return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    # the smallest id of each component, written once per text
+    placed = materialize(firsts.join(linked.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")), "placed_texts")
+    named = placed.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    classes = placed.select("h1", "h2", "root").join(named.hint("merge"), "root")
+    found = signed.select("node", "doc_id", "h1", "h2", (F.size("sig") > 0).alias("filled")).join(classes, ["h1", "h2"], "left")
+    return found.select(
+        "node", "doc_id", F.when(F.col("filled"), F.col("root")).otherwise(F.col("node")).alias("root"),
+        F.when(F.col("filled"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+    )
 
 
 def led_buckets(rows: DataFrame) -> DataFrame:
