@@ -23,10 +23,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near-duplicates; a document without an id stays."""
-    first = minhash.near_duplicate_classes(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The first document of each class of near-duplicates, whether or not it has an id."""
+    return minhash.without_near_duplicates(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
