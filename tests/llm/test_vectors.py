@@ -41,8 +41,7 @@ def test_exact_search_equals_brute_force(spark):
     assert got == brute(rows, lambda x: int(np.floor(64 * x)))
 
 
-def test_posting_lists_recall(spark, monkeypatch):
-    monkeypatch.setattr(posting_lists, "VECTORS_PER_LIST", 128)
+def test_posting_lists_recall(spark):
     rows = sample(1500) + [(2000, None), (2020, [0.0] * 16), (2040, [float("inf")] * 16)]
     got = collect(posting_lists.search(table(spark, rows)))
     want = brute(rows, float, usable=lambda v: any(v))
@@ -91,16 +90,52 @@ def test_queries_read_every_list_in_reach_of_hundreds(spark, monkeypatch):
     index = posting_lists.build(data, 375, float((data**2).sum(axis=1).max()) * (1 + 1e-9))
     asking = pa.record_batch([pa.array(range(0, 6000, 20)), pa.array(data[::20].tolist())], ["query_id", "q"])
     shared = type("Shared", (), {"value": index})
-    lists = pa.Table.from_batches(posting_lists._lists_of(shared, "q", posting_lists.REACH, None)(iter([asking])))
+    reach = posting_lists.fitted_reach(index, data, 20)
     apart = np.sqrt(posting_lists.squared(np.pad(data[::20], ((0, 0), (0, 1))), index.points))
-    row, which = np.nonzero(apart <= apart.min(axis=1, keepdims=True) * (1 + posting_lists.REACH))
-    assert set(zip(lists["query_id"].to_pylist(), lists["list"].to_pylist())) == set(zip((row * 20).tolist(), which.tolist()))
+    for ratio in (0.02, reach):
+        lists = pa.Table.from_batches(posting_lists._lists_of(shared, ratio)(iter([asking])))
+        row, which = np.nonzero(apart <= apart.min(axis=1, keepdims=True) * (1 + ratio))
+        assert set(zip(lists["query_id"].to_pylist(), lists["list"].to_pylist())) == set(zip((row * 20).tolist(), which.tolist()))
 
-    monkeypatch.setattr(posting_lists, "VECTORS_PER_LIST", 16)
+    build = posting_lists.build
+    monkeypatch.setattr(posting_lists, "build", lambda sample, lists, length: build(sample, 375, length))
     got = collect(posting_lists.search(table(spark, [(i, x.tolist()) for i, x in enumerate(data)])))
     scores = data[::20] @ data.T
     scores[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
     best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
     recall = sum(len({i for i, _ in got[q * 20]} & set(best[q].tolist())) for q in range(300)) / best.size
     print("recall", recall, "lists read", len(row) / 300)
-    assert recall > 0.8
+    assert recall >= 0.9
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_on_the_given_vectors_with_many_lists(spark, monkeypatch, sf):
+    given = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    seen = []
+    build = posting_lists.build
+    monkeypatch.setattr(posting_lists, "build", lambda sample, lists, length: seen.append(lists) or build(sample, lists, length))
+    got = collect(posting_lists.search(given))
+    want = brute([(r["vec_id"], r["embedding"]) for r in given.collect()], float, usable=lambda v: any(v))
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    share = hits / sum(map(len, want.values()))
+    print(sf, "lists", seen, "recall", share)
+    assert seen[0] >= 16 and share >= 0.9
+
+
+def test_recall_on_fifty_thousand_vectors():
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(200, 48))[rng.integers(0, 200, 50_000)] + 0.5 * rng.normal(size=(50_000, 48))
+    sample = data[rng.permutation(50_000)[: posting_lists.SAMPLE]]
+    index = posting_lists.build(sample, int(50_000**0.5), float((data**2).sum(axis=1).max()) * (1 + 1e-9))
+    reach = posting_lists.fitted_reach(index, sample, 20)
+    homes = np.concatenate([posting_lists.written(index, data[i : i + 512])[1] for i in range(0, 50_000, 512)])
+    asked = data[:50_000:500]
+    apart = posting_lists.within(index, np.pad(asked, ((0, 0), (0, 1))), reach)
+    reads = apart <= apart.min(axis=1, keepdims=True) * (1 + reach)
+    found = reads.astype(int) @ homes.T.astype(int) > 0
+    scores = asked @ data.T
+    scores[np.arange(100), np.arange(0, 50_000, 500)] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    recall = np.take_along_axis(found, best, axis=1).mean()
+    print("recall", recall, "share of vectors read", found.mean())
+    assert recall >= 0.9 and found.mean() < 1

@@ -7,11 +7,16 @@ same length, queries a zero, so the nearest in distance are the largest in produ
 its widest direction, so that lists are balanced. A vector is written to its nearest list and, if it lies
 near a border, to further lists whose centroid is at most ``1 + BORDER`` times as far.
 
-Centroids form a graph of nearest neighbours in memory; a best-first walk finds the nearest ones for
-vectors, nearly always.
+The number of lists follows the square root of the number of vectors, on small tables too.
 
-**Search.** A query reads all lists whose centroid is at most ``1 + REACH`` times as far as the nearest. No
-walk is sure to meet all of these, so queries are held against every centroid, ``MOST_LISTS`` at most. The
+Centroids form a graph of nearest neighbours in memory; a best-first walk finds the nearest ones.
+
+**Search.** A query reads all lists whose centroid is at most ``1 + reach`` times as far as the nearest. The
+walk gives the nearest; a centroid that it has not met is left out where its known distances to a few
+entries of the graph prove that it lies beyond (triangle inequality), and compared where they do not. ``reach``
+is fitted when the index is built: vectors of the sample are queries, their nearest others in the sample are what
+is to be found, and ``reach`` is the least ratio that finds the share ``RECALL`` of these. In a larger table the
+nearest lie closer than in a sample of it, so the figure errs on the safe side. The
 nearest list is read first, then the others for scores that reach its k-th one. All vectors of these
 lists are scored exactly, in double precision.
 
@@ -35,10 +40,12 @@ from textloom.llm.vectors import kth_scores, matrix, ranked, score_lists, usable
 from textloom.session import materialize
 
 SAMPLE = 16_384
-VECTORS_PER_LIST, MOST_LISTS = 1024, 2048
+MOST_LISTS = 2048
 NEIGHBOURS, BEAM = 16, 64
 REPLICAS, BORDER = 2, 0.05
-REACH = 0.08
+RECALL, TRIALS = 0.96, 1024
+# entries whose distances bound those of centroids that a walk has not met
+GUIDES = 8
 TOP = 20
 BATCH = 512
 
@@ -123,32 +130,83 @@ def walk(index: Centroids, points: np.ndarray, beam: int = BEAM, ratio: float =
     return apart
 
 
-def _lists_of(shared, column: str, ratio: float, most: int | None):
-    """Row-wise: the lists within ``1 + ratio`` of the nearest distance, at most ``most``."""
+def within(index: Centroids, points: np.ndarray, ratio: float) -> np.ndarray:
+    """Distances (points, lists) of all centroids within ``1 + ratio`` times the nearest that a walk finds;
+    others may be infinite."""
+    apart = np.sqrt(walk(index, points))
+    limit = apart.min(axis=1, keepdims=True) * (1 + ratio)
+    open_ones = ~np.isfinite(apart)
+    for guide in index.entries[np.linspace(0, len(index.entries) - 1, min(GUIDES, len(index.entries))).astype(int)]:
+        to_guide = np.sqrt(((index.points - index.points[guide]) ** 2).sum(axis=1))
+        open_ones &= np.abs(apart[:, guide][:, None] - to_guide[None, :]) <= limit + 1e-9 * to_guide.max()
+    row, which = np.nonzero(open_ones)
+    for start in range(0, len(row), 65_536):
+        r, w = row[start : start + 65_536], which[start : start + 65_536]
+        gap = index.points[w] - points[r]
+        apart[r, w] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+    return apart
+
+
+def written(index: Centroids, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances from the centroids, and the lists (vectors, lists) that each vector is written to."""
+    apart = np.sqrt(walk(index, lifted(vectors, index.length), ratio=BORDER))
+    place = np.argsort(np.argsort(apart, axis=1, kind="stable"), axis=1)
+    return apart, (apart <= apart.min(axis=1, keepdims=True) * (1 + BORDER)) & (place < REPLICAS)
+
+
+def fitted_reach(index: Centroids, sample: np.ndarray, k: int, recall: float = RECALL) -> float:
+    """The least ratio by which lists hold the share ``recall`` of the ``k`` nearest in the sample, over at
+    most ``TRIALS`` of its vectors as queries."""
+    if len(sample) < 2 or len(index.points) < 2:
+        return 0.0
+    homes = np.concatenate([written(index, sample[i : i + BATCH])[1] for i in range(0, len(sample), BATCH)])
+    picked = np.unique(np.linspace(0, len(sample) - 1, min(TRIALS, len(sample))).astype(int))
+    k = min(k, len(sample) - 1)
+    needed = []
+    for i in range(0, len(picked), 128):
+        who = picked[i : i + 128]
+        product = sample[who] @ sample.T
+        product[np.arange(len(who)), who] = -np.inf
+        best = np.argpartition(-product, k - 1, axis=1)[:, :k]
+        apart = np.sqrt(squared(np.pad(sample[who], ((0, 0), (0, 1))), index.points))
+        ratio = apart / np.maximum(apart.min(axis=1, keepdims=True), 1e-300) - 1
+        needed += [np.where(homes[b], r, np.inf).min(axis=1) for b, r in zip(best, ratio)]
+    return float(np.quantile(np.concatenate(needed), recall, method="higher")) + 1e-9
+
+
+def _postings(shared):
+    """Row-wise: the lists that a vector is written to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, BATCH):
+                part = batch.slice(start, BATCH)
+                row, which = np.nonzero(written(shared.value, matrix(part.column(1)))[1])
+                kept = part.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(which), kept.column(1)], ["vec_id", "list", "vec"])
+
+    return run
+
+
+def _lists_of(shared, ratio: float):
+    """Row-wise: the lists that a query reads, and which of them is the nearest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Centroids = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
                 part = batch.slice(start, BATCH)
-                vectors = matrix(part.column(1))
-                points = lifted(vectors, index.length) if column == "vec" else np.pad(vectors, ((0, 0), (0, 1)))
-                apart = np.sqrt(walk(index, points, ratio=ratio) if column == "vec" else squared(points, index.points))
-                close = apart <= apart.min(axis=1, keepdims=True) * (1 + ratio)
-                if most is not None:
-                    place = np.argsort(np.argsort(apart, axis=1, kind="stable"), axis=1)
-                    close &= place < most
-                row, which = np.nonzero(close)
-                nearest = apart.argmin(axis=1)[row] == which
+                # a query's further component is zero
+                apart = within(shared.value, np.pad(matrix(part.column(1)), ((0, 0), (0, 1))), ratio)
+                row, which = np.nonzero(apart <= apart.min(axis=1, keepdims=True) * (1 + ratio))
+                kept, nearest = part.take(pa.array(row)), apart.argmin(axis=1)[row] == which
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row)), pa.array(which), pa.array(nearest), part.column(1).take(pa.array(row))],
-                    [part.schema.names[0], "list", "nearest", column],
+                    [kept.column(0), pa.array(which), pa.array(nearest), kept.column(1)], ["query_id", "list", "nearest", "q"]
                 )
 
     return run
 
 
-def search(table: DataFrame, k: int = TOP, reach: float = REACH, every: int = 20) -> DataFrame:
+def search(table: DataFrame, k: int = TOP, recall: float = RECALL, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vector whose id is divisible by ``every``, the nearest
     others found. ``table`` has ``vec_id`` and ``embedding``."""
     spark = table.sparkSession
@@ -159,14 +217,17 @@ def search(table: DataFrame, k: int = TOP, reach: float = REACH, every: int = 20
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     place = F.xxhash64("vec_id", F.lit("sample"))
-    sample = matrix(vectors.orderBy(place, "vec_id").limit(SAMPLE).select("vec").toArrow().column("vec"))
-    lists = int(max(1, min(MOST_LISTS, n // VECTORS_PER_LIST, len(sample))))
+    # about twice as many as are wanted pass by their hash, so that the sort moves few rows
+    early = vectors.filter(F.pmod(place, F.lit(1 << 40)) < int(min(1.0, 2 * SAMPLE / n) * (1 << 40)))
+    sample = matrix(early.orderBy(place, "vec_id").limit(SAMPLE).select("vec").toArrow().column("vec"))
+    lists = int(max(1, min(MOST_LISTS, n**0.5, len(sample))))
     index = build(sample, lists, longest * (1 + 1e-9))
+    reach = fitted_reach(index, sample, k, recall)
     shared = spark.sparkContext.broadcast(index)  # MOST_LISTS centroids at most
-    postings = vectors.mapInArrow(_lists_of(shared, "vec", BORDER, REPLICAS), "vec_id bigint, list bigint, nearest boolean, vec array<double>")
+    postings = vectors.mapInArrow(_postings(shared), "vec_id bigint, list bigint, vec array<double>")
     asking = vectors.filter(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q"))
-    asked = asking.mapInArrow(_lists_of(shared, "q", reach, None), "query_id bigint, list bigint, nearest boolean, q array<double>")
-    asked, postings = materialize(asked, "asked"), materialize(postings.drop("nearest"), "postings")
+    asked = asking.mapInArrow(_lists_of(shared, reach), "query_id bigint, list bigint, nearest boolean, q array<double>")
+    asked, postings = materialize(asked, "asked"), materialize(postings, "postings")
     near = asked.filter("nearest").withColumn("least", F.lit(float("-inf")))
     first = materialize(ranked(score_lists(near, postings, k), k), "first")
     rest = asked.filter("not nearest").join(kth_scores(first, k), "query_id", "left").na.fill(float("-inf"), ["least"])

@@ -65,7 +65,8 @@ def score_lists(asked: DataFrame, postings: DataFrame, k: int) -> DataFrame:
     """
     sizes = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / GROUP_VECTORS).alias("parts"))
     calls = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).alias("turns"))
-    plan = sizes.join(calls, "list")
+    # one row per list; the callers bound the number of lists
+    plan = F.broadcast(sizes.join(calls, "list"))
     vectors = postings.join(plan, "list").select(
         "list", F.pmod(F.xxhash64("vec_id"), "parts").alias("part"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1)).alias("turn"), "vec_id", "vec",
