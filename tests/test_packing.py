@@ -1,11 +1,13 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators.ordering import running_total
-from textloom.operators.packing import assign_shards, pack, shard_statistics
+from textloom.operators.packing import assembled, assign_shards, pack, placed_slices, shard_statistics, token_offsets
 from textloom.operators.sampling import byte_budget, first_rows
+from textloom.sources.tokenshard import arranged
 
 
 def packed_by_loop(docs, seq_len, limit=None):
@@ -91,3 +93,41 @@ def test_first_rows_with_ties(spark):
         assert got == sorted((a, n) for a, n, _ in rows)[:limit]
     with pytest.raises(ValueError, match="tie-breaker"):
         first_rows(df, "at", 4)
+
+
+def exchanges_with_tokens(df):
+    """How many exchanges of the plan carry token arrays."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    nodes = re.findall(r"\(\d+\) Exchange\n(?:Output|Input)[^\n]*: \[([^\n]*)\]", text)
+    assert nodes
+    return sum("tokens#" in columns.replace("n_tokens#", "") for columns in nodes)
+
+
+def test_token_arrays_move_at_most_twice(spark):
+    docs = spark.createDataFrame(token_docs(3, range(300)), "doc_id bigint, tokens array<int>")
+    narrow = docs.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))
+    offsets = token_offsets(narrow)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = placed_slices(docs, offsets, 8, 40, 4)
+        assert exchanges_with_tokens(arranged(parts)) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_long_document_is_cut_once(spark):
+    docs = [(1, [7] * 3), (2, list(range(50_000))), (3, [9] * 5)]
+    df = spark.createDataFrame(docs, "doc_id bigint, tokens array<int>")
+    rows = pack(df, 16).orderBy("seq_id").collect()
+    assert [list(r.tokens) for r in rows] == packed_by_loop(docs, 16)
+
+
+def test_slices_have_the_places_of_whole_sequences(spark):
+    docs = spark.createDataFrame(token_docs(11, range(80)), "doc_id bigint, tokens array<int>")
+    offsets = token_offsets(docs.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens")))
+    whole = assign_shards(pack(docs, 8), 8, 0.2)
+    count = whole.count()
+    key = lambda r: (r.seq_id, r.split, r.shard_id, r.seq_in_shard, list(r.tokens))
+    got = assembled(placed_slices(docs, offsets, 8, count, 8, 0.2)).collect()
+    assert count > 20 and sorted(map(key, got)) == sorted(map(key, whole.collect()))

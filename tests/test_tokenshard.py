@@ -1,10 +1,18 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators.packing import assign_shards
 from textloom.sources.synthetic import synthetic_splits, synthetic_tokens
-from textloom.sources.tokenshard import TokenShardReader, lookup, read_token_shards, write_token_shards
+from textloom.sources.tokenshard import (
+    TokenShardReader,
+    TokenShardWriter,
+    lookup,
+    read_token_shards,
+    read_version,
+    write_token_shards,
+)
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +121,88 @@ def test_an_unfinished_write_is_refused(spark, tmp_path):
     np.full(8, 1, "<u2").tofile(tmp_path / "train_000009.bin")
     write_token_shards(assign_shards(seqs, 12, val_fraction=0.0), str(tmp_path), 8)
     assert [r.tokens for r in read_token_shards(spark, str(tmp_path), 8).collect()] == [[5] * 8]
+
+
+def constant_shards(spark, value, n=10):
+    seqs = spark.range(n).select(F.col("id").alias("seq_id"), F.array_repeat(F.lit(value), 8).alias("tokens"))
+    return assign_shards(seqs, 4, val_fraction=0.0)
+
+
+def batch_of(rows):
+    names = ["split", "shard_id", "seq_in_shard", "start", "tokens"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+
+def test_a_write_that_breaks_off_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    write_token_shards(constant_shards(spark, 1), path, 8)
+    # the tasks end, the driver dies before the switch
+    broken = TokenShardWriter(path, 8, overwrite=True)
+    broken.write(iter([batch_of([("train", 0, 0, 0, [2] * 8), ("train", 7, 0, 0, [2] * 8)])]))
+    assert (tmp_path / f"train_000000-{broken.job}.bin").exists()
+    values = lambda: {t for r in read_token_shards(spark, path, 8).collect() for t in r.tokens}
+    assert values() == {1} and read_token_shards(spark, path, 8).count() == 10
+    # and here during the write of the manifest
+    broken = TokenShardWriter(path, 8, overwrite=True)
+    message = broken.write(iter([batch_of([("train", 0, 0, 0, [3] * 8)])]))
+    with monkeypatch.context() as patch:
+        patch.setattr("textloom.sources.tokenshard.json.dumps", lambda x: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            broken.commit([message])
+    assert values() == {1}
+    write_token_shards(constant_shards(spark, 4, 6), path, 8)
+    assert values() == {4} and read_token_shards(spark, path, 8).count() == 6
+    # only the new version and the temporary folders of the dead writes are left
+    left = [p.name for p in tmp_path.iterdir() if not p.name.startswith("_staging_")]
+    assert len(left) == 3 and sum(name.endswith(".bin") for name in left) == 2
+
+
+def test_a_retried_task_counts_once(spark, tmp_path):
+    writer = TokenShardWriter(str(tmp_path), 8, overwrite=True)
+    rows = [("train", 0, i, 0, [i] * 8) for i in range(3)]
+    writer.write(iter([batch_of(rows)]))
+    with pytest.raises(Exception, match="did not finish"):
+        read_token_shards(spark, str(tmp_path), 8).count()
+    writer.commit([writer.write(iter([batch_of(rows)])), None])
+    assert [r.tokens[0] for r in read_token_shards(spark, str(tmp_path), 8).orderBy("global_idx").collect()] == [0, 1, 2]
+
+
+def test_slices_are_put_together(spark, tmp_path):
+    writer = TokenShardWriter(str(tmp_path), 4, overwrite=True)
+    slices = [("val", 0, 0, 0, [1]), ("val", 0, 0, 1, [2, 3, 4]), ("val", 0, 1, 0, [5, 6, 7, 8])]
+    writer.commit([writer.write(iter([batch_of(slices[:1]), batch_of(slices[1:])]))])
+    assert [r.tokens for r in read_token_shards(spark, str(tmp_path), 4).orderBy("global_idx").collect()] == [[1, 2, 3, 4], [5, 6, 7, 8]]
+    with pytest.raises(ValueError, match="4 tokens"):
+        writer.write(iter([batch_of([slices[0], slices[2]])]))
+    with pytest.raises(ValueError, match="not in order"):
+        writer.write(iter([batch_of(slices[2:])]))
+
+
+def test_appending_adds_to_the_manifest(spark, tmp_path):
+    path = str(tmp_path)
+    write_token_shards(constant_shards(spark, 1), path, 8)
+    more = constant_shards(spark, 2, 4).withColumn("shard_id", F.col("shard_id") + 2)
+    write_token_shards(more, path, 8, mode="append")
+    version = read_version(path)
+    assert version.number == 2 and [shard for _, shard, _, _ in version.shards] == [0, 1, 2]
+    got = [r.tokens[0] for r in read_token_shards(spark, path, 8).orderBy("global_idx").collect()]
+    assert got == [1] * 8 + [2] * 4
+
+
+def test_lookup_goes_by_the_manifest(spark, tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThan
+
+    write_token_shards(constant_shards(spark, 1, 4000), str(tmp_path), 8)
+    np.full(8, 9, "<u2").tofile(tmp_path / "train_000000-0123456789ab.bin")  # of a write that broke off
+    reader = TokenShardReader(str(tmp_path), None, 8)
+    list(reader.pushFilters([EqualTo(("split",), "train"), EqualTo(("global_idx",), 3999)]))
+    ((only,),) = [task.ranges for task in reader.partitions()]
+    assert (only.shard_idx, only.first_local, only.first_global, only.count) == (999, 3, 3999, 1)
+    reader = TokenShardReader(str(tmp_path), "train", 8)
+    list(reader.pushFilters([GreaterThanOrEqual(("global_idx",), 6), LessThan(("global_idx",), 13)]))
+    ranges = [(r.shard_idx, r.first_local, r.count) for task in reader.partitions() for r in task.ranges]
+    assert ranges == [(1, 2, 2), (2, 0, 4), (3, 0, 1)]
+    reader = TokenShardReader(str(tmp_path), "train", 8)
+    list(reader.pushFilters([EqualTo(("global_idx",), 4000)]))
+    assert reader.partitions() == []

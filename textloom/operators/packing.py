@@ -43,24 +43,65 @@ def pack(
     if offsets is None:
         offsets = token_offsets(docs.select(order, F.size(tokens).cast("bigint").alias("n_tokens")), order)
     count = sequence_count(offsets, seq_len, max_sequences)
-    placed = docs.select(order, F.col(tokens).alias("tokens")).join(offsets.filter("n_tokens > 0"), order)
-    first = int_div(F.col("offset"), seq_len)
-    last = int_div(F.col("offset") + F.col("n_tokens") - 1, seq_len)
-    # one row per document and sequence, holding only the slice that belongs there
-    parts = (
-        placed.select("offset", "n_tokens", "tokens", F.explode(F.sequence(first, last)).alias("seq_id"))
-        .filter(F.col("seq_id") < F.lit(count))
-        .withColumn("from", F.greatest(F.col("seq_id") * seq_len - F.col("offset"), F.lit(0)).cast("int"))
-        .withColumn("upto", F.least((F.col("seq_id") + 1) * seq_len - F.col("offset"), "n_tokens").cast("int"))
-        .select(
-            "seq_id",
-            (F.col("offset") + F.col("from")).alias("at"),
-            F.slice("tokens", F.col("from") + 1, F.col("upto") - F.col("from")).alias("part"),
-        )
-    )
+    cuts = slice_plan(offsets, seq_len, count, order)
+    parts = slices(docs, cuts, order, tokens)
     # at most seq_len slices per group, since every slice holds a token
-    ordered = F.sort_array(F.collect_list(F.struct("at", "part")))
-    return parts.groupBy("seq_id").agg(F.flatten(F.transform(ordered, lambda p: p["part"])).alias("tokens"))
+    ordered = F.sort_array(F.collect_list(F.struct("start", "tokens")))
+    return parts.groupBy("seq_id").agg(F.flatten(F.transform(ordered, lambda p: p["tokens"])).alias("tokens"))
+
+
+def slice_plan(offsets: DataFrame, seq_len: int, count: int, order: str = "doc_id") -> DataFrame:
+    """(order, seq_id, start, from, length): which tokens of a document go where in which sequence. Narrow rows."""
+    first = int_div(F.col("offset"), seq_len)
+    last = F.least(int_div(F.col("offset") + F.col("n_tokens") - 1, seq_len), F.lit(count - 1))
+    used = offsets.filter((F.col("n_tokens") > 0) & (first < F.lit(count)))
+    begin = F.greatest(F.col("seq_id") * seq_len, "offset")
+    end = F.least((F.col("seq_id") + 1) * seq_len, F.col("offset") + F.col("n_tokens"))
+    return used.select(order, "offset", "n_tokens", F.explode(F.sequence(first, last)).alias("seq_id")).select(
+        order, "seq_id", (begin - F.col("seq_id") * seq_len).cast("int").alias("start"),
+        (begin - F.col("offset")).cast("int").alias("from"), (end - begin).cast("int").alias("length"),
+    )
+
+
+def slices(docs: DataFrame, cuts: DataFrame, order: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """The columns of ``cuts`` other than ``order``, ``from`` and ``length``, and the ``tokens`` of each cut.
+
+    A document's cuts meet it as one list, shorter than the document itself, so its tokens move once and
+    are not repeated per cut.
+    """
+    kept = [c for c in cuts.columns if c not in (order, "from", "length")]
+    lists = cuts.groupBy(order).agg(F.collect_list(F.struct(*kept, "from", "length")).alias("_cuts"))
+    met = docs.select(order, F.col(tokens).alias("_tokens")).join(lists, order)
+    part = lambda c: F.struct(*[c[k].alias(k) for k in kept], F.slice("_tokens", c["from"] + 1, c["length"]).alias("tokens"))
+    return met.select(F.inline(F.transform("_cuts", part)))
+
+
+def placed_slices(
+    docs: DataFrame,
+    offsets: DataFrame,
+    seq_len: int,
+    count: int,
+    shard_sequences: int,
+    val_fraction: float = 0.05,
+    seed: int = 1337,
+    order: str = "doc_id",
+) -> DataFrame:
+    """(seq_id, start, split, shard_id, seq_in_shard, tokens): slices of the first ``count`` sequences with their
+    place in a shard, for a writer that puts them together.
+
+    Split, shard and place are found on narrow rows; token arrays move once to meet their document's cuts
+    and once to their shard.
+    """
+    ids = docs.sparkSession.range(count).withColumnRenamed("id", "seq_id")
+    places = place_sequences(ids, shard_sequences, val_fraction, seed)
+    return slices(docs, slice_plan(offsets, seq_len, count, order).join(places, "seq_id"), order)
+
+
+def assembled(parts: DataFrame) -> DataFrame:
+    """(seq_id, split, shard_id, seq_in_shard, tokens): whole sequences from ``placed_slices``."""
+    ordered = F.sort_array(F.collect_list(F.struct("start", "tokens")))
+    whole = F.flatten(F.transform(ordered, lambda p: p["tokens"]))
+    return parts.groupBy("seq_id", "split", "shard_id", "seq_in_shard").agg(whole.alias("tokens"))
 
 
 def split_of(seq_id: Column, val_fraction: float, seed: int) -> Column:

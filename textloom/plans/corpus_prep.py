@@ -11,7 +11,7 @@ from textloom.config import CorpusConfig
 from textloom.functions import text as tx
 from textloom.operators import dedup
 from textloom.operators.bpe_codec import Tokenizer, encode
-from textloom.operators.packing import assign_shards, pack, sequence_count, token_offsets
+from textloom.operators.packing import assembled, placed_slices, sequence_count, token_offsets
 from textloom.operators.sampling import first_rows
 from textloom.session import materialize
 from textloom.sources.text import text_rows
@@ -43,12 +43,17 @@ def unique_ids(
 
 @dataclass
 class PreparedCorpus:
-    """Placed sequences and the counts of the run."""
+    """Placed slices of the sequences and the counts of the run."""
 
-    sequences: DataFrame
+    slices: DataFrame
     kept_docs: int
     n_sequences: int
 
+    @property
+    def sequences(self) -> DataFrame:
+        """Whole sequences with their places; the shard writer takes the slices instead."""
+        return assembled(self.slices)
+
 
 def prepare(
     docs: DataFrame,
@@ -73,11 +78,11 @@ def prepare(
     lengths = materialize(encoded.select(order, "n_tokens").join(kept, order, "left_semi"), "lengths")
     offsets = materialize(token_offsets(lengths, order), "offsets")
     count = sequence_count(offsets, cfg.seq_len, max_sequences)
-    sequences = pack(encoded, cfg.seq_len, order, max_sequences=max_sequences, offsets=offsets)
-    ids = docs.sparkSession.range(count).withColumnRenamed("id", "seq_id")
-    placed = assign_shards(sequences, cfg.shard_sequences, cfg.val_fraction, cfg.seed, ids)
-    return PreparedCorpus(placed, lengths.count(), count)
+    parts = placed_slices(
+        encoded, offsets, cfg.seq_len, count, cfg.shard_sequences, cfg.val_fraction, cfg.seed, order
+    )
+    return PreparedCorpus(parts, lengths.count(), count)
 
 
 def write_corpus(prepared: PreparedCorpus, path: str, cfg: CorpusConfig = CorpusConfig()) -> None:
-    write_token_shards(prepared.sequences, path, cfg.seq_len)
+    write_token_shards(prepared.slices, path, cfg.seq_len)

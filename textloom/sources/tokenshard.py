@@ -1,15 +1,22 @@
 """The ``tokenshard`` format: flat little-endian uint16 files named ``{split}_{shard:06d}.bin``.
 
-Writing: rows (split, shard_id, seq_in_shard, tokens), arranged by ``write_token_shards``. Every
-task writes whole shards under a temporary name; the commit renames those of successful tasks, so
-retried and speculative tasks leave nothing behind.
-
-Reading: options ``path``, ``split`` (optional) and ``seq_len``. The reader plans ranges of
-sequences from file sizes alone and prunes them by filters on split and global index.
+Writing: rows (split, shard_id, seq_in_shard, start, tokens), arranged by ``arranged``: whole sequences or
+slices of them, ``start`` tokens into their sequence. A task puts whole shards together under a temporary
+name and gives each its final one itself. Files that are written over an existing version carry the
+write's mark before ``.bin``, so both versions lie side by side until the commit.
+
+The commit writes a manifest of all shards and their token counts and puts it in place by one rename: that
+switches the version. Only then are files of the version before removed. A write that breaks off earlier
+leaves the version before as it was.
+
+Reading: options ``path``, ``split`` (optional) and ``seq_len``. The reader takes the newest manifest,
+or lists the files where there is none, and finds the shards of a range of sequences by bisection in
+the running counts; it prunes by filters on split and global index.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Iterator
@@ -20,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -38,11 +46,13 @@ from pyspark.sql.types import StructType
 
 FORMAT = "tokenshard"
 SCHEMA = "split string, shard_idx int, local_idx bigint, global_idx bigint, tokens array<int>"
-FILE_NAME = re.compile(r"(?P<split>.+)_(?P<shard>\d{6,})\.bin$")
+FILE_NAME = re.compile(r"(?P<split>.+)_(?P<shard>\d{6,})(-[0-9a-f]{12})?\.bin$")
+# sorts behind the shard files; the highest number is in force
+MANIFEST = re.compile(r"version-(\d{8,})\.json$")
 MAX_ID = 65_535
-# stands in the folder while files are being put in place; readers refuse it
+# stands in a folder without a manifest while its first version is written; readers refuse it
 UNFINISHED = "_unfinished"
-RENAMES_AT_ONCE = 64
+DELETES_AT_ONCE = 64
 # sequences per read task and tokens per Arrow batch
 TASK_TOKENS = 16 << 20
 BATCH_TOKENS = 1 << 20
@@ -54,17 +64,35 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
-def _list_shards(path: str, split: str | None) -> list[tuple[str, str, int]]:
-    """(split, file, tokens), ordered by split and shard number."""
-    fs, root = _filesystem(path)
-    if fs.get_file_info(f"{root}/{UNFINISHED}").type == pafs.FileType.File:
-        raise RuntimeError(f"a write to {path} did not finish: write it again")
+@dataclass
+class Version:
+    """The shards of a folder: (split, shard, file name, tokens) ordered by split and shard number."""
+
+    number: int  # 0 where the folder has no manifest
+    shards: list[tuple[str, int, str, int]]
+
+
+def _in_folder(fs: pafs.FileSystem, root: str) -> list[tuple[str, int, str, int]]:
     found = []
     for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
         match = FILE_NAME.fullmatch(info.base_name)
-        if match and (split is None or match["split"] == split):
-            found.append((match["split"], int(match["shard"]), info.path, info.size // 2))
-    return [(split, file, tokens) for split, _, file, tokens in sorted(found)]
+        if match:
+            found.append((match["split"], int(match["shard"]), info.base_name, info.size // 2))
+    return sorted(found)
+
+
+def read_version(path: str) -> Version:
+    """The version in force."""
+    fs, root = _filesystem(path)
+    names = [info.base_name for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))]
+    numbers = [int(match[1]) for match in map(MANIFEST.fullmatch, names) if match]
+    if numbers:
+        with fs.open_input_file(f"{root}/version-{max(numbers):08d}.json") as source:
+            listed = json.loads(source.read())
+        return Version(max(numbers), [tuple(entry) for entry in listed["shards"]])
+    if UNFINISHED in names:
+        raise RuntimeError(f"a write to {path} did not finish: write it again")
+    return Version(0, _in_folder(fs, root))
 
 
 @dataclass
@@ -126,29 +154,35 @@ class TokenShardReader(DataSourceReader):
             self.high = high if self.high is None else min(self.high, high)
 
     def partitions(self) -> list[InputPartition]:
-        shards = _list_shards(self.path, self.split)
-        if not shards:
+        _, root = _filesystem(self.path)
+        by_split: dict[str, list[tuple[str, int]]] = {}
+        for split, _, name, tokens in read_version(self.path).shards:
+            if self.split is None or split == self.split:
+                by_split.setdefault(split, []).append((f"{root}/{name}", tokens))
+        if not by_split:
             raise FileNotFoundError(f"no {self.split or '*'}_*.bin shards in {self.path}")
         step = max(1, TASK_TOKENS // self.seq_len)
         plan: list[ShardTask] = []
         room = 0
-        prior: dict[str, int] = {}
-        index: dict[str, int] = {}
-        for split, file, tokens in shards:
-            base, shard_idx = prior.get(split, 0), index.get(split, 0)
-            count = tokens // self.seq_len
-            prior[split], index[split] = base + count, shard_idx + 1
+        for split, files in by_split.items():
             if self.splits is not None and split not in self.splits:
                 continue
-            start = max(0, self.low - base)
-            stop = count if self.high is None else min(count, self.high - base)
-            for first in range(start, stop, step):
-                rows = min(step, stop - first)
-                if rows > room:
-                    plan.append(ShardTask([]))
-                    room = step
-                plan[-1].ranges.append(ShardRange(split, file, shard_idx, first, base + first, rows))
-                room -= rows
+            # ends[i]: sequences of the split up to and with its i-th file
+            ends = np.cumsum([tokens // self.seq_len for _, tokens in files])
+            low, high = self.low, int(ends[-1]) if self.high is None else min(self.high, int(ends[-1]))
+            if low >= high:
+                continue
+            first_file, last_file = np.searchsorted(ends, low, "right"), np.searchsorted(ends, high, "left")
+            for i in range(int(first_file), int(last_file) + 1):
+                base = int(ends[i - 1]) if i else 0
+                stop = min(int(ends[i]), high) - base
+                for first in range(max(0, low - base), stop, step):
+                    rows = min(step, stop - first)
+                    if rows > room:
+                        plan.append(ShardTask([]))
+                        room = step
+                    plan[-1].ranges.append(ShardRange(split, files[i][0], i, first, base + first, rows))
+                    room -= rows
         return plan
 
     def read(self, partition: ShardTask) -> Iterator[pa.RecordBatch]:
@@ -180,33 +214,49 @@ class TokenShardReader(DataSourceReader):
 
 @dataclass
 class WrittenShards(WriterCommitMessage):
-    files: list[tuple[str, str]]
+    shards: list[tuple[str, int, str, int]]
 
 
 class TokenShardWriter(DataSourceArrowWriter):
     def __init__(self, path: str, seq_len: int, overwrite: bool) -> None:
         self.path, self.seq_len, self.overwrite = path, seq_len, overwrite
         self.job = uuid.uuid4().hex[:12]
+        fs, root = _filesystem(path)
+        # the first version has plain names, later ones must not touch the files in force
+        self.first = not _in_folder(fs, root)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, root = _filesystem(self.path)
         staging = f"{root}/_staging_{self.job}"
         fs.create_dir(staging, recursive=True)
-        files: list[tuple[str, str]] = []
-        current, sink, expected = None, None, 0
+        if self.first:
+            fs.open_output_stream(f"{root}/{UNFINISHED}").close()
+        # (temporary file, split, shard, tokens)
+        done: list[tuple[str, str, int, int]] = []
+        current, temporary, sink, written = None, "", None, 0
+
+        def finish() -> None:
+            if sink is not None:
+                sink.close()
+                if written % self.seq_len:
+                    raise ValueError(f"shard {current}: packed sequences must hold {self.seq_len} tokens")
+                done.append((temporary, *current, written))
+
         try:
             for batch in iterator:
                 tokens = batch.column("tokens")
                 offsets = np.asarray(tokens.offsets)
                 ids = np.asarray(tokens.flatten())
                 offsets = offsets - offsets[0]
-                if (np.diff(offsets) != self.seq_len).any():
-                    raise ValueError(f"packed sequences must hold {self.seq_len} tokens")
                 if len(ids) and (ids.min() < 0 or ids.max() > MAX_ID):
                     raise ValueError("token ids must fit in 16 bits")
                 data = ids.astype("<u2")
-                shards, places = (np.asarray(batch.column(c)) for c in ("shard_id", "seq_in_shard"))
+                shards, places, starts = (np.asarray(batch.column(c)) for c in ("shard_id", "seq_in_shard", "start"))
+                lengths = np.diff(offsets)
+                if (starts + lengths > self.seq_len).any():
+                    raise ValueError(f"packed sequences must hold {self.seq_len} tokens")
                 splits = np.asarray(batch.column("split").to_pylist(), object)
+                at = places.astype(np.int64) * self.seq_len + starts
                 # runs of rows that belong to one shard
                 cuts = np.flatnonzero((shards[1:] != shards[:-1]) | (splits[1:] != splits[:-1])) + 1
                 for first, last in zip([0, *cuts], [*cuts, len(shards)]):
@@ -214,42 +264,63 @@ class TokenShardWriter(DataSourceArrowWriter):
                         continue
                     split, shard = splits[first], int(shards[first])
                     if (split, shard) != current:
-                        if sink is not None:
-                            sink.close()
-                        current, expected = (split, shard), 0
-                        name = f"{split}_{shard:06d}.bin"
-                        temporary = f"{staging}/{uuid.uuid4().hex}_{name}"
-                        files.append((temporary, f"{root}/{name}"))
+                        finish()
+                        current, written = (split, shard), 0
+                        temporary = f"{staging}/{uuid.uuid4().hex}"
                         sink = fs.open_output_stream(temporary)
-                    count = last - first
-                    if (places[first:last] != np.arange(expected, expected + count)).any():
-                        raise ValueError(f"shard {current} is not in order after {expected} sequences")
-                    expected += count
+                    # each slice begins where the one before ends
+                    expected = written + offsets[first:last] - offsets[first]
+                    wrong = np.flatnonzero(at[first:last] != expected)
+                    if len(wrong) and expected[wrong[0]] % self.seq_len:
+                        raise ValueError(f"shard {current}: packed sequences must hold {self.seq_len} tokens")
+                    if len(wrong):
+                        raise ValueError(f"shard {current} is not in order after {written // self.seq_len} sequences")
+                    written += int(offsets[last] - offsets[first])
                     sink.write(data[offsets[first] : offsets[last]].tobytes())
+            finish()
         finally:
-            if sink is not None:
+            if sink is not None and not sink.closed:
                 sink.close()
-        return WrittenShards(files)
+        tag = "" if self.first else f"-{self.job}"
+        found = []
+        for temporary, split, shard, n in done:
+            name = f"{split}_{shard:06d}{tag}.bin"
+            # attempts of one task write the same bytes, so whichever comes last is right
+            fs.move(temporary, f"{root}/{name}")
+            found.append((split, shard, name, n))
+        return WrittenShards(found)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Put all files in place. New files replace old ones of the same name one by one and leftovers go
-        last, behind a mark that makes readers refuse the folder should this break off."""
+        """Switch to the new version by putting its manifest in place, then remove what it does not name."""
         fs, root = _filesystem(self.path)
         fs.create_dir(root, recursive=True)
-        moves = [move for message in messages if message for move in message.files]
-        names = {final for _, final in moves}
-        with fs.open_output_stream(f"{root}/{UNFINISHED}"):
-            pass
-        present = [info.path for info in fs.get_file_info(pafs.FileSelector(root)) if FILE_NAME.fullmatch(info.base_name)]
-        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
-            list(pool.map(lambda move: fs.move(*move), moves))
-            if self.overwrite:
-                list(pool.map(fs.delete_file, [path for path in present if path not in names]))
-        fs.delete_file(f"{root}/{UNFINISHED}")
+        new = {(split, shard): (split, shard, name, n) for m in messages if m for split, shard, name, n in m.shards}
+        present = [info.base_name for info in fs.get_file_info(pafs.FileSelector(root))]
+        manifests = [name for name in present if MANIFEST.fullmatch(name)]
+        number = max((int(MANIFEST.fullmatch(name)[1]) for name in manifests), default=0) + 1
+        if not self.overwrite and not self.first:
+            new = {(split, shard): (split, shard, name, n) for split, shard, name, n in read_version(self.path).shards} | new
+        shards = sorted(new.values())
+        temporary = f"{root}/_staging_{self.job}/manifest"
+        fs.create_dir(f"{root}/_staging_{self.job}", recursive=True)
+        with fs.open_output_stream(temporary) as sink:
+            sink.write(json.dumps({"seq_len": self.seq_len, "shards": shards}).encode())
+        fs.move(temporary, f"{root}/version-{number:08d}.json")
+        names = {name for _, _, name, _ in shards}
+        stale = [name for name in present if FILE_NAME.fullmatch(name) and name not in names]
+        stale += manifests + [name for name in present if name == UNFINISHED]
+        with ThreadPoolExecutor(DELETES_AT_ONCE) as pool:
+            list(pool.map(lambda name: fs.delete_file(f"{root}/{name}"), stale))
         self._drop_staging(fs, root)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        self._drop_staging(*_filesystem(self.path))
+        """Remove what this write left; files that tasks had put in place go, the version in force stays."""
+        fs, root = _filesystem(self.path)
+        own = {name for m in messages if m for _, _, name, _ in m.shards}
+        for name in own:
+            if fs.get_file_info(f"{root}/{name}").type == pafs.FileType.File:
+                fs.delete_file(f"{root}/{name}")
+        self._drop_staging(fs, root)
 
     def _drop_staging(self, fs: pafs.FileSystem, root: str) -> None:
         staging = f"{root}/_staging_{self.job}"
@@ -277,19 +348,17 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenShardSource)
 
 
+def arranged(placed: DataFrame) -> DataFrame:
+    """Rows of a shard together and in order; the one move of token arrays that writing needs."""
+    start = F.col("start") if "start" in placed.columns else F.lit(0)
+    rows = placed.select("split", "shard_id", "seq_in_shard", start.cast("int").alias("start"), "tokens")
+    return rows.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "seq_in_shard", "start")
+
+
 def write_token_shards(placed: DataFrame, path: str, seq_len: int, mode: str = "overwrite") -> None:
-    """Write sequences with split, shard_id and seq_in_shard; a task handles whole shards."""
-    spark = placed.sparkSession
-    register(spark)
-    (
-        placed.select("split", "shard_id", "seq_in_shard", "tokens")
-        .repartition("split", "shard_id")
-        .sortWithinPartitions("split", "shard_id", "seq_in_shard")
-        .write.format(FORMAT)
-        .option("seq_len", str(seq_len))
-        .mode(mode)
-        .save(path)
-    )
+    """Write sequences, or slices with their ``start``, by split, shard_id and seq_in_shard; a task handles whole shards."""
+    register(placed.sparkSession)
+    arranged(placed).write.format(FORMAT).option("seq_len", str(seq_len)).mode(mode).save(path)
 
 
 def read_token_shards(spark: SparkSession, path: str, seq_len: int, split: str | None = None) -> DataFrame:
@@ -302,6 +371,4 @@ def read_token_shards(spark: SparkSession, path: str, seq_len: int, split: str |
 
 def lookup(shards: DataFrame, split: str, global_idx: int) -> DataFrame:
     """The sequence at a global index of a split; other files are not read."""
-    from pyspark.sql import functions as F
-
     return shards.filter((F.col("split") == split) & (F.col("global_idx") == global_idx))
