@@ -71,3 +71,23 @@ def test_range_numbers_search_pairs():
     keys, ids = np.array([0, 1, 1, 3, 3, 3, 9, 9, 10]), np.array([9, 4, 5, 1, 2, 9, -1, 0, 0])
     want = [sum(c <= (k, i) for c in cuts) for k, i in zip(keys.tolist(), ids.tolist())]
     assert rs.range_numbers(keys, ids, cuts).tolist() == want
+
+
+def test_written_rows_keep_missing_and_repeated_ids(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else i // 6, f"t{i % 50}" if i % 7 else None, f"c{i}") for i in range(400)]
+    docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, text string, tag string, slot int")
+    rs.write_shards(docs, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out")).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, str(r[1]), r[2])
+    assert sorted(((r["doc_id"], r["text"], r["tag"]) for r in back), key=key) == sorted(rows, key=key)
+    for shard in range(4):
+        slots = sorted(r["slot"] for r in back if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_draws_follow_the_sizes_whatever_passes_the_bar(spark):
+    # one record holds nearly all bytes, so few others pass the first bar
+    rows = spark.createDataFrame([(i, i * 7919, 1) for i in range(500)] + [(1000, -5, 10**7)], "doc_id bigint, key bigint, size bigint")
+    got = rs.draw(rows, 100)
+    assert len(got) == 100 and (-5, 1000) in got and got == sorted(got)
+    assert len(rs.draw(rows, 5000)) == 501

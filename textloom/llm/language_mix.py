@@ -8,7 +8,7 @@ languages, the rarest one is taken out as long as the penalised likelihood rises
 selected as well. The prediction is the largest proportion of the selected set.
 
 The models are learnt from at most ``DOCS_PER_LANGUAGE`` labelled documents of a language (those with
-the smallest hash of their id), whole texts; everything else covers all documents.
+the smallest hash of id and text, repeated rows once), whole texts; everything else covers all documents.
 
 Defined results: null texts and texts without letters are ``und`` with score 0, as is every text when
 nothing was learnt. Equal proportions go to the language first in code point order.
@@ -68,14 +68,17 @@ def train(docs: DataFrame, label: str = "lang", per_language: int = DOCS_PER_LAN
     """Learn one model per value of ``label`` from rows of (doc_id, text, label)."""
     spark = docs.sparkSession
     known = docs.filter(F.col(label).isNotNull()).select("doc_id", "text", F.col(label).alias("name"))
-    known = known.withColumn("place", F.xxhash64("doc_id"))
-    first = F.row_number().over(Window.partitionBy("name").orderBy("place"))
-    cuts = (
-        known.select("name", "place").withColumn("n", first).filter(F.col("n") <= per_language)
-        .groupBy("name").agg(F.max("place").alias("cut"))
-    )
+    known = known.withColumn("place", F.xxhash64("doc_id", "text"))
+    # about twice as many as are wanted pass by their hash, so that a language's window sees few rows
+    sizes = known.groupBy("name").agg(F.approx_count_distinct("place").alias("docs"))
     # one row per language
-    chosen = known.join(F.broadcast(cuts), "name").filter("place <= cut").select("name", "text")
+    early = known.select("name", "place").join(F.broadcast(sizes), "name")
+    early = early.filter(F.pmod("place", F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("docs") <= 2 * per_language).drop("docs")
+    order = Window.partitionBy("name").orderBy(F.pmod("place", F.lit(1 << 30)), "place")
+    first = early.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    # at most per_language rows per language
+    chosen = known.join(F.broadcast(first.select("name", "place")), ["name", "place"])
+    chosen = chosen.groupBy("name", "place").agg(F.first("text").alias("text")).select("name", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -62,10 +62,20 @@ def with_range(rows: DataFrame, splitters: list[Splitter]) -> DataFrame:
 
 
 def draw(rows: DataFrame, n: int) -> list[Splitter]:
-    """``n`` records drawn by size, as sorted keys; bounded by ``MOST_RANGES * DRAWS_PER_RANGE``."""
+    """``n`` records drawn by size, as sorted keys; bounded by ``MOST_RANGES * DRAWS_PER_RANGE``.
+
+    A record waits less than ``2 n / total`` with a chance near ``2 n * size / total``, so about twice as many
+    as are wanted pass that bar and are sorted. If a few records hold most of the bytes fewer may pass; then
+    the bar goes up.
+    """
     uniform = (F.pmod(F.xxhash64("doc_id", "key", F.lit("draw")), F.lit(1 << 40)) + 1) / float(1 << 40)
     waiting = rows.select("key", "doc_id", (-F.log(uniform) / F.col("size")).alias("wait"))
-    picked = waiting.orderBy("wait", "key", "doc_id").limit(n).toArrow()
+    total, count = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
+    bar = 2.0 * n / total if count else 0.0
+    while count > n and waiting.filter(F.col("wait") <= bar).count() < n:
+        bar *= 4
+    early = waiting.filter(F.col("wait") <= bar) if count > n else waiting
+    picked = early.orderBy("wait", "key", "doc_id").limit(n).toArrow()
     ids = picked.column("doc_id").combine_chunks().fill_null(-(1 << 63)).to_pylist()
     return sorted(zip(picked.column("key").to_pylist(), ids))
 
@@ -98,18 +108,24 @@ def ranged(rows: DataFrame, n_rows: int) -> DataFrame:
     return with_range(rows, splitters)
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, range, shard, slot) for each row of ``docs`` (doc_id, text)."""
-    rows = docs.select(
+def shard_documents(docs: DataFrame, shards: int = SHARDS, carry: bool = False) -> DataFrame:
+    """(doc_id, size, text_crc32, range, shard, slot) for each row of ``docs`` (doc_id, text).
+
+    With ``carry`` a further column ``row`` holds the whole row of ``docs``.
+    """
+    extra = ["row"] if carry else []
+    rows = docs.withColumn("row", F.struct(*docs.columns)) if carry else docs
+    rows = rows.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64("text").alias("key"),
+        *extra,
     )
     rows = materialize(rows, "sizes")
     n_rows, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     if not n_rows:
-        return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("range"), F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"))
+        return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("range"), F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"), *extra)
     placed = materialize(ranged(rows, n_rows), "ranged")
     totals = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,21 +143,23 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     middle = (F.col("bytes_before") + F.col("end")) * 2 - F.col("size")
     shard = F.least(F.floor(middle.cast("decimal(38,0)") * shards / (2 * total)), F.lit(shards - 1)).cast("int")
     numbered = numbered.select(
-        "doc_id", "size", "text_crc32", "range", shard.alias("shard"), (F.col("rows_before") + F.col("nth") - 1).alias("row")
+        "doc_id", "size", "text_crc32", "range", shard.alias("shard"), (F.col("rows_before") + F.col("nth") - 1).alias("nth"), *extra
     )
     numbered = materialize(numbered, "numbered")
-    first = numbered.groupBy("shard").agg(F.min("row").alias("first_row"))
+    first = numbered.groupBy("shard").agg(F.min("nth").alias("first_row"))
     # one row per shard
     out = numbered.join(F.broadcast(first), "shard")
-    return out.select("doc_id", "size", "text_crc32", "range", "shard", (F.col("row") - F.col("first_row")).cast("bigint").alias("slot"))
+    return out.select("doc_id", "size", "text_crc32", "range", "shard", (F.col("nth") - F.col("first_row")).cast("bigint").alias("slot"), *extra)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Write the records below ``path``, one folder per shard, rows of a shard in slot order.
 
-    Ids must be unique. Tasks write whole ranges, so a shard is written by many of them.
+    Rows travel with their place, so missing and repeated ids keep their rows. Tasks write whole ranges, so a
+    shard is written by many of them. Columns of ``docs`` named ``range``, ``shard`` or ``slot`` give way to those of the place.
     """
-    placed = shard_documents(docs, shards).select("doc_id", "range", "shard", "slot")
-    rows = docs.join(placed, "doc_id")
+    placed = shard_documents(docs, shards, carry=True)
+    kept = [F.col("row")[name].alias(name) for name in docs.columns if name not in ("range", "shard", "slot")]
+    rows = placed.select(*kept, "range", "shard", "slot")
     spread = rows.repartition("shard", "range").sortWithinPartitions("shard", "slot")
     spread.write.partitionBy("shard").parquet(path)
