@@ -113,10 +113,12 @@ def test_tagger_learns_held_out_spans(spark):
         base = set(base_spans(r["text"]))
         found = set(pt.tagged_spans(pt.tag_texts(model, [r["text"]], pt.class_table())[0]))
         hits, total = hits + len(base & found), total + len(base)
+        if r["doc_id"] % 2 == 0:  # nothing was put into these
+            extra += len(pt.merged(r["text"], base_spans(r["text"]), list(found)))
     assert hits / total > 0.85
     text = "call (988) 555-2485 now or pay 4111.1111.1111.1111 please"
     added = pt.merged(text, base_spans(text), pt.tagged_spans(pt.tag_texts(model, [text], pt.class_table())[0]))
-    assert all(plausible(k, text[s:e]) for k, s, e in added)
+    assert added and all(plausible(k, text[s:e]) for k, s, e in added)
     assert extra == 0
 
 
@@ -182,3 +184,32 @@ def test_spans_of_a_text_are_chosen_across_kinds():
     spans = base_spans(text)
     assert len(spans) == 12 and sorted(k for k, _, _ in pt.chosen_spans(text, spans)) == [0, 1, 2, 3]
     assert pt.without_spans(text, spans).split() == ["x", "x"]
+
+
+def test_added_spans_on_held_out_documents(spark):
+    """Forms that the patterns miss, put into documents that were not trained on."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = pt.train(docs.filter("doc_id % 5 <> 0"))
+    held = [r["text"] for r in docs.filter("doc_id % 5 = 0 and text is not null").orderBy("doc_id").limit(200).collect()]
+
+    def added(texts):
+        tags = pt.tag_texts(model, texts, pt.class_table())
+        return [set(pt.merged(x, base_spans(x), pt.tagged_spans(t))) - set(base_spans(x)) for x, t in zip(texts, tags)]
+
+    rng = np.random.default_rng(77)
+    texts, truth = [], []
+    while len(texts) < 400:
+        kind, value = pt.made_up(rng)
+        if base_spans(value):
+            continue
+        words = held[int(rng.integers(len(held)))][:600].split()
+        at = int(rng.integers(0, len(words) + 1))
+        left = "".join(w + " " for w in words[:at])
+        texts.append(left + value + " " + " ".join(words[at:]))
+        truth.append((kind, len(left), len(left) + len(value)))
+    got = added(texts)
+    for kind in (0, 2, 3):
+        exact = [t in found for t, found in zip(truth, got) if t[0] == kind]
+        assert len(exact) > 50 and np.mean(exact) > 0.65
+    assert sum(t in found for t, found in zip(truth, got)) / sum(map(len, got)) > 0.95
+    assert sum(map(len, added(held))) <= 2

@@ -42,7 +42,7 @@ SPAN_SHARE, MADE_UP_SHARE = 1 / 3, 0.6  # of all windows; of those without spans
 SPANS_PER_TEXT = 4
 WINDOW, MARGIN = 256, 16
 TRAIN_WINDOW = 64
-HIDDEN = 4
+HIDDEN = 8
 TAGS = 1 + 2 * len(KINDS)
 EPOCHS = 12
 BATCH = 48
@@ -367,9 +367,10 @@ def made_up(rng: np.random.Generator) -> tuple[int, str]:
         sep = str(rng.choice(["", " ", "-"])) if form < 0.8 else str(rng.choice([".", "/", "  "]))
         return kind, sep.join(number[i : i + 4] for i in range(0, len(number), 4))
     area, a, b = digits(3), digits(3), digits(4)
-    if form < 0.6:
+    # half without a country code: these are the ones that no pattern finds
+    if form < 0.3:
         return kind, f"+{rng.integers(1, 99)} ({area}) {a}-{b}"
-    if form < 0.8:
+    if form < 0.5:
         return kind, f"+{rng.integers(1, 99)}" + str(rng.choice([" ", "-", "."])) .join(["", area, a, b])
     return kind, str(rng.choice([f"({area}) {a}-{b}", f"{area}-{a}-{b}", f"{area}.{a}.{b}"]))
 
