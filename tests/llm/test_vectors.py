@@ -139,3 +139,21 @@ def test_recall_on_fifty_thousand_vectors():
     recall = np.take_along_axis(found, best, axis=1).mean()
     print("recall", recall, "share of vectors read", found.mean())
     assert recall >= 0.9 and found.mean() < 1
+
+
+@pytest.mark.parametrize("kind", ["apart", "shorter"])
+def test_recall_of_queries_unlike_the_other_vectors(spark, kind):
+    rng = np.random.default_rng(6)
+    data = rng.normal(size=(3000, 64))
+    if kind == "apart":
+        data[::20] = 0.2 * rng.normal(size=(150, 64)) + 3 * rng.normal(size=64)
+    else:
+        data[::20] *= 0.1
+    data = data.astype(np.float32).astype(np.float64)
+    got = collect(posting_lists.search(table(spark, [(i, x.tolist()) for i, x in enumerate(data)])))
+    scores = data[::20] @ data.T
+    scores[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    recall = sum(len({i for i, _ in got[q * 20]} & set(best[q].tolist())) for q in range(150)) / best.size
+    print(kind, "recall", recall)
+    assert recall >= 0.9
