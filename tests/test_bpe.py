@@ -150,3 +150,25 @@ def test_both_ways_of_counting_learn_the_same(spark, monkeypatch, share):
     want = bpe_train.train(df, TokenizerConfig(vocab_size=60)).merges
     monkeypatch.setattr(bpe_train, "RECOUNT_SHARE", share)
     assert bpe_train.train(df, TokenizerConfig(vocab_size=60)).merges == want
+
+
+def test_counts_of_a_task_equal_the_grouped_ones(spark, monkeypatch):
+    """Pairs and merged pieces by arrays of code points, with runs of one symbol, large counts and early hand-over."""
+    rng = random.Random(11)
+    pieces = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(300)} | {"a" * 7, "a" * 8, "b"})
+    words = spark.createDataFrame([(w, (1 << 50) + i if i % 7 == 0 else i + 1) for i, w in enumerate(pieces)], "symbols string, n long")
+    merges = [("ab", "X"), ("aa", "\U00010005"), ("Xc", "Z"), ("\U00010005a", "W"), ("cc", "c")]
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for kept in (1 << 20, 4):
+        monkeypatch.setattr(bpe_train, "KEPT_PAIRS", kept)
+        for k in range(len(merges) + 1):
+            after = words.withColumn("symbols", bpe_train.apply_merges("symbols", merges[:k])) if k else words
+            assert rows(bpe_train.summed_pairs(words, merges[:k])) == rows(bpe_train.pair_counts(after))
+    table = bpe_train.PieceTable(words, 2).after(merges)
+    assert rows(table.words.select("symbols", "n")) == rows(after.filter(F.char_length("symbols") > 1))
+
+
+def test_a_round_of_training_counts_in_one_pass_over_arrays(spark):
+    words = spark.createDataFrame([("abab", 3)], "symbols string, n long")
+    plan = bpe_train.summed_pairs(words, [("ab", "X")])._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
