@@ -172,3 +172,29 @@ def test_a_round_of_training_counts_in_one_pass_over_arrays(spark):
     words = spark.createDataFrame([("abab", 3)], "symbols string, n long")
     plan = bpe_train.summed_pairs(words, [("ab", "X")])._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_large_batches_are_encoded_by_slices(monkeypatch):
+    """Whatever the batch, ids are gathered for a bounded part of its rows at a time."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    rows = [[rng.choice(["ab", " é", "x" * 30, ""]) for _ in range(rng.randint(0, 20))] for _ in range(400)] + [["y" * 500]]
+    encode = bpe_codec.piece_encoder({s: i for i, s in enumerate(bpe_codec.byte_symbols())}, [], {}, None)
+    monkeypatch.setattr(bpe_codec, "SLICE", 300)
+    found, largest = [], 0
+    for part, offsets, lengths, values in bpe_codec._by_slices(pa.array([["z"], *rows], pa.list_(pa.string())).slice(1), encode):
+        ends = [0, *lengths.cumsum().tolist()]
+        largest = max([largest, len(values)] if len(part) > 1 else [largest])
+        found += [values[ends[a] : ends[b]].tolist() for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+    assert found == [[i for piece in row for i in encode(piece)] for row in rows]
+    assert 0 < largest <= 300
+
+
+def test_texts_encoded_together_equal_those_encoded_alone(spark, trained):
+    _, model = trained
+    df = spark.createDataFrame([("one two", None, "three"), ("", "näïve text", " "), ("x" * 3000, "a", None)], "a string, b string, c string")
+    texts = [F.col(c) for c in df.columns]
+    alone = df.select(*[bpe_codec.encode(t, model).alias(c) for t, c in zip(texts, df.columns)]).collect()
+    together = df.select(bpe_codec.encode_several(texts, model).alias("ids")).collect()
+    assert [list(r) for r in alone] == [r.ids for r in together]
