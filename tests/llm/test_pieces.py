@@ -129,3 +129,16 @@ def test_whole_texts_are_checked_where_words_cannot_be_cut(tmp_path, monkeypatch
     ids, sizes, exact = pk.WordCache(path.read_bytes()).encode(texts)
     assert ids.tolist() == [i for text in sp.encode(texts) for i in text] and set(seen) == set(texts) - {""}
     assert exact.tolist() == [sp.decode(sp.encode(t)) == t for t in texts]
+
+
+def test_new_words_are_learnt_a_few_at_a_time(monkeypatch):
+    """The library's results of a block with many new words are never held together, and ids stay the same."""
+    text = " ".join(f"word{i}x{i * i}" for i in range(400)) + "   \n é"
+    want = pk.WordCache(pk.MODEL_PATH).encode([text, "", "one two"])
+    monkeypatch.setattr(pk, "LEARNT_AT_ONCE", 50)
+    cache, sizes = pk.WordCache(pk.MODEL_PATH), []
+    pieces_of = cache.pieces_of
+    monkeypatch.setattr(cache, "pieces_of", lambda words: sizes.append(len(words)) or pieces_of(words))
+    got = cache.encode([text, "", "one two"])
+    assert all((a == b).all() for a, b in zip(got, want))
+    assert len(sizes) > 8 and max(sizes) <= 50

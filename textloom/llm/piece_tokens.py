@@ -48,6 +48,8 @@ MARK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
 WORDS_AT_ONCE = 500
+# new words that are encoded at a time: the library's results take many times the room of the ids kept
+LEARNT_AT_ONCE = 8_000
 CACHED_WORDS, CACHED_CHARS = 300_000, 4_000_000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -223,8 +225,10 @@ class WordCache:
 
     def learn(self, words: list[str]) -> None:
         new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if not new:
-            return
+        for start in range(0, len(new), LEARNT_AT_ONCE):
+            self._learn_new(new[start : start + LEARNT_AT_ONCE])
+
+    def _learn_new(self, new: list[str]) -> None:
         if self.cuts:
             found = self.pieces_of(new)
             spelt = self.bare.decode_batch(found, skip_special_tokens=False)
