@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -11,6 +16,7 @@ from textloom.sources.tokenshard import (
     lookup,
     read_token_shards,
     read_version,
+    scan_token_shards,
     write_token_shards,
 )
 
@@ -206,3 +212,64 @@ def test_lookup_goes_by_the_manifest(spark, tmp_path):
     reader = TokenShardReader(str(tmp_path), "train", 8)
     list(reader.pushFilters([EqualTo(("global_idx",), 4000)]))
     assert reader.partitions() == []
+
+
+WHOLE_WRITE_AND_READ = r"""
+import sys
+from pathlib import Path
+from pyspark.sql import functions as F
+from textloom.operators.packing import assign_shards
+from textloom.session import local_session
+from textloom.sources.tokenshard import scan_token_shards, write_token_shards
+
+spark = local_session("2", shuffle_partitions=2, memory="1g")
+seqs = spark.range(20).select(F.col("id").alias("seq_id"), F.array_repeat(F.lit(3), 8).alias("tokens"))
+write_token_shards(assign_shards(seqs, 4, val_fraction=0.2), sys.argv[1], 8)
+rows = scan_token_shards(spark, sys.argv[1], 8).count()
+running = []
+for entry in Path("/proc").glob("[0-9]*/cmdline"):
+    try:
+        command = entry.read_bytes()
+        environment = (entry.parent / "environ").read_bytes()
+    except OSError:
+        continue
+    if b"pyspark.daemon\0pyspark.sql.worker." in command and b"TOKENSHARD_TEST=1" in environment:
+        running.append(command)
+print("ROWS", rows, "DRIVER WORKERS", len(running))
+spark.stop()
+"""
+
+
+def test_whole_writes_and_reads_keep_no_workers_on_the_driver(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    environment = os.environ | {"PYTHONPATH": os.pathsep.join([root, os.environ.get("PYTHONPATH", "")]), "TOKENSHARD_TEST": "1"}
+    command = [sys.executable, "-c", WHOLE_WRITE_AND_READ, str(tmp_path / "out")]
+    done = subprocess.run(command, env=environment, capture_output=True, text=True, timeout=240)
+    assert "ROWS 20 DRIVER WORKERS 0" in done.stdout, done.stdout + done.stderr[-2000:]
+
+
+def test_a_scan_gives_the_rows_of_a_read(spark, written):
+    path, _ = written
+    for split in (None, "train", "val"):
+        read, scanned = read_token_shards(spark, path, 8, split), scan_token_shards(spark, path, 8, split)
+        assert scanned.schema == read.schema
+        assert sorted(scanned.collect()) == sorted(read.collect())
+    assert scan_token_shards(spark, path, 200, "val").collect() == []
+    with pytest.raises(FileNotFoundError, match="no test_"):
+        scan_token_shards(spark, path, 8, "test")
+
+
+def test_a_failed_write_takes_back_the_shards_of_other_tasks(spark, tmp_path):
+    path = str(tmp_path)
+    first = TokenShardWriter(path, 8, overwrite=True)
+    first.write(iter([batch_of([("train", 0, 0, 0, [1] * 8)])]))
+    first.abort([])
+    assert not list(tmp_path.glob("*.bin"))
+    write_token_shards(constant_shards(spark, 1), path, 8)
+    later = TokenShardWriter(path, 8, overwrite=True)
+    later.write(iter([batch_of([("train", 0, 0, 0, [2] * 8)])]))
+    later.abort([])
+    assert {t for r in scan_token_shards(spark, path, 8).collect() for t in r.tokens} == {1}
+    assert scan_token_shards(spark, path, 8).count() == 10
+    with pytest.raises(ValueError, match="mode"):
+        write_token_shards(constant_shards(spark, 1), path, 8, mode="ignore")

@@ -12,6 +12,11 @@ leaves the version before as it was.
 Reading: options ``path``, ``split`` (optional) and ``seq_len``. The reader takes the newest manifest,
 or lists the files where there is none, and finds the shards of a range of sequences by bisection in
 the running counts; it prunes by filters on split and global index.
+
+Spark plans and commits a Python data source in Python workers of the driver, and each kind of step keeps a
+daemon of its own for the whole session. So whole writes and reads (``write_token_shards``, ``scan_token_shards``)
+run the same writer and reader as plain tasks, and plan and commit in the calling process; look-ups, which need filters
+in the plan, go through the data source.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +58,9 @@ MAX_ID = 65_535
 # stands in a folder without a manifest while its first version is written; readers refuse it
 UNFINISHED = "_unfinished"
 DELETES_AT_ONCE = 64
+# what a task of the writer hands on, and one of the reader gets
+WRITTEN = "split string, shard_id bigint, file string, tokens bigint"
+RANGES = "ranges array<struct<split string, file string, shard_idx int, first_local bigint, first_global bigint, count bigint>>"
 # sequences per read task and tokens per Arrow batch
 TASK_TOKENS = 16 << 20
 BATCH_TOKENS = 1 << 20
@@ -224,6 +232,7 @@ class TokenShardWriter(DataSourceArrowWriter):
         fs, root = _filesystem(path)
         # the first version has plain names, later ones must not touch the files in force
         self.first = not _in_folder(fs, root)
+        self.tag = "" if self.first else f"-{self.job}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, root = _filesystem(self.path)
@@ -281,10 +290,9 @@ class TokenShardWriter(DataSourceArrowWriter):
         finally:
             if sink is not None and not sink.closed:
                 sink.close()
-        tag = "" if self.first else f"-{self.job}"
         found = []
         for temporary, split, shard, n in done:
-            name = f"{split}_{shard:06d}{tag}.bin"
+            name = f"{split}_{shard:06d}{self.tag}.bin"
             # attempts of one task write the same bytes, so whichever comes last is right
             fs.move(temporary, f"{root}/{name}")
             found.append((split, shard, name, n))
@@ -314,11 +322,14 @@ class TokenShardWriter(DataSourceArrowWriter):
         self._drop_staging(fs, root)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Remove what this write left; files that tasks had put in place go, the version in force stays."""
+        """Remove what this write left; files that tasks had put in place go, the version in force stays.
+
+        They are found by their mark, whether or not their task's message came; a folder's first version began
+        without any.
+        """
         fs, root = _filesystem(self.path)
-        own = {name for m in messages if m for _, _, name, _ in m.shards}
-        for name in own:
-            if fs.get_file_info(f"{root}/{name}").type == pafs.FileType.File:
+        for _, _, name, _ in _in_folder(fs, root):
+            if name.endswith(f"{self.tag}.bin"):
                 fs.delete_file(f"{root}/{name}")
         self._drop_staging(fs, root)
 
@@ -355,13 +366,52 @@ def arranged(placed: DataFrame) -> DataFrame:
     return rows.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "seq_in_shard", "start")
 
 
+def _written_rows(writer: TokenShardWriter):
+    """The shards that a task has written, as rows of ``WRITTEN``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = list(zip(*writer.write(batches).shards)) or [()] * 4
+        arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["split", "shard_id", "file", "tokens"])
+
+    return run
+
+
 def write_token_shards(placed: DataFrame, path: str, seq_len: int, mode: str = "overwrite") -> None:
     """Write sequences, or slices with their ``start``, by split, shard_id and seq_in_shard; a task handles whole shards."""
-    register(placed.sparkSession)
-    arranged(placed).write.format(FORMAT).option("seq_len", str(seq_len)).mode(mode).save(path)
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be overwrite or append, not {mode}")
+    writer = TokenShardWriter(path, seq_len, mode == "overwrite")
+    try:
+        # a row per shard, as the manifest has
+        done = arranged(placed).mapInArrow(_written_rows(writer), WRITTEN).collect()
+    except BaseException:
+        writer.abort([])
+        raise
+    writer.commit([WrittenShards([tuple(row) for row in done])])
+
+
+def _sequences(reader: TokenShardReader):
+    """The sequences of the ranges that a task gets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ranges in batch.column(0).to_pylist():
+                yield from reader.read(ShardTask([ShardRange(**part) for part in ranges]))
+
+    return run
+
+
+def scan_token_shards(spark: SparkSession, path: str, seq_len: int, split: str | None = None) -> DataFrame:
+    """All sequences, in the rows of ``read_token_shards``. Filters do not narrow the files that are read."""
+    reader = TokenShardReader(path, split, seq_len)
+    plan = [([astuple(part) for part in task.ranges],) for task in reader.partitions()]
+    tasks = spark.sparkContext.parallelize(plan, max(1, len(plan)))
+    return spark.createDataFrame(tasks, RANGES).mapInArrow(_sequences(reader), SCHEMA)
 
 
 def read_token_shards(spark: SparkSession, path: str, seq_len: int, split: str | None = None) -> DataFrame:
+    """The sequences, as a data source that reads only what filters on split and global index leave."""
     register(spark)
     reader = spark.read.format(FORMAT).option("seq_len", str(seq_len))
     if split is not None:
