@@ -69,10 +69,10 @@ def prepare(
     reads the signatures only, and packing reads the token counts before it touches the ids.
     """
     rows = quality_rows(source_rows(docs, cfg, order, max_docs), cfg)
-    with_ids = rows.withColumn(
-        "tokens", F.array_append(encode(F.col("text"), tokenizer), F.lit(tokenizer.eos_id))
-    ).drop("text")
-    table = dedup.signatures(with_ids, cfg.dedup).withColumn("n_tokens", F.size("tokens").cast("bigint"))
+    # signatures first: rows wait for Python's results, and words take several times the space of the text
+    signed = dedup.signatures(rows, cfg.dedup)
+    with_ids = signed.withColumn("tokens", F.array_append(encode(F.col("text"), tokenizer), F.lit(tokenizer.eos_id)))
+    table = with_ids.drop("text").withColumn("n_tokens", F.size("tokens").cast("bigint"))
     encoded = materialize(table, "encoded")
     kept = dedup.first_kept_wins(encoded.select(order, "sig"), cfg.dedup, order)
     lengths = materialize(encoded.select(order, "n_tokens").join(kept, order, "left_semi"), "lengths")

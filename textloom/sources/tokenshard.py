@@ -26,7 +26,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import astuple, dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +60,9 @@ UNFINISHED = "_unfinished"
 DELETES_AT_ONCE = 64
 # what a task of the writer hands on, and one of the reader gets
 WRITTEN = "split string, shard_id bigint, file string, tokens bigint"
-RANGES = "ranges array<struct<split string, file string, shard_idx int, first_local bigint, first_global bigint, count bigint>>"
+RANGES = pa.list_(
+    pa.struct([("split", pa.string()), ("file", pa.string()), *((name, pa.int64()) for name in ("shard_idx", "first_local", "first_global", "count"))])
+)
 # sequences per read task and tokens per Arrow batch
 TASK_TOKENS = 16 << 20
 BATCH_TOKENS = 1 << 20
@@ -405,9 +407,9 @@ def _sequences(reader: TokenShardReader):
 def scan_token_shards(spark: SparkSession, path: str, seq_len: int, split: str | None = None) -> DataFrame:
     """All sequences, in the rows of ``read_token_shards``. Filters do not narrow the files that are read."""
     reader = TokenShardReader(path, split, seq_len)
-    plan = [([astuple(part) for part in task.ranges],) for task in reader.partitions()]
-    tasks = spark.sparkContext.parallelize(plan, max(1, len(plan)))
-    return spark.createDataFrame(tasks, RANGES).mapInArrow(_sequences(reader), SCHEMA)
+    # as an Arrow table, since rows would be turned into a table by Python workers
+    plan = pa.table({"ranges": pa.array([[asdict(part) for part in task.ranges] for task in reader.partitions()], RANGES)})
+    return spark.createDataFrame(plan).mapInArrow(_sequences(reader), SCHEMA)
 
 
 def read_token_shards(spark: SparkSession, path: str, seq_len: int, split: str | None = None) -> DataFrame:
