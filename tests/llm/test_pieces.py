@@ -142,3 +142,54 @@ def test_new_words_are_learnt_a_few_at_a_time(monkeypatch):
     got = cache.encode([text, "", "one two"])
     assert all((a == b).all() for a, b in zip(got, want))
     assert len(sizes) > 8 and max(sizes) <= 50
+
+
+def merge_file(path):
+    """A small model file of the merge type whose texts can be cut: no byte pieces, so other characters are unknown."""
+    import struct
+
+    def field(number, kind, body):
+        return bytes([number << 3 | kind]) + body
+
+    def text(number, value):
+        return field(number, 2, bytes([len(value)]) + value)
+
+    pieces = [("<unk>", 0.0, 2), ("▁", -2.0, 1), ("▁a", -2.5, 1), ("▁ab", -3.0, 1), ("a", -4.0, 1), ("b", -4.5, 1), ("c", -6.0, 1)]
+    data = b"".join(text(1, text(1, p.encode()) + field(2, 5, struct.pack("<f", s)) + field(3, 0, bytes([k]))) for p, s, k in pieces)
+    norm = text(1, b"identity") + field(3, 0, b"\x01") + field(4, 0, b"\x00") + field(5, 0, b"\x01")
+    path.write_bytes(data + text(2, field(3, 0, b"\x02")) + text(3, norm))
+
+
+class Counted:
+    """Counts the id lists given to a tokenizer's decoder."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.lists = tokenizer, 0
+
+    def decode_batch(self, ids, **options):
+        self.lists += len(ids)
+        return self.tokenizer.decode_batch(ids, **options)
+
+
+def test_groups_of_words_are_decoded_whole():
+    """Words with byte pieces as well; each has the ids that it has alone."""
+    words = [f"word{i}{mark}{i * i}" for i, mark in zip(range(3000), ["", "\n", "é", "日本", "🤖", "\x00", "<0x41>"] * 500)]
+    cache = pk.WordCache(pk.MODEL_PATH)
+    cache.bare = Counted(cache.bare)
+    ids, sizes, exact = cache.encode([" ".join(words), *words])
+    assert ids.tolist() == [i for text in SP.encode([" ".join(words), *words]) for i in text] and exact.all()
+    assert 0 < cache.bare.lists <= 10
+
+
+def test_unknown_words_among_others_are_found(tmp_path):
+    path = tmp_path / "m.model"
+    merge_file(path)
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    cache = pk.WordCache(path.read_bytes())
+    assert cache.cuts
+    texts = ["ab c", "ab 日本 c 日", "c日", "abab  c ", "<unk> ab", "日", " ", "a 日▁b"]
+    ids, sizes, exact = cache.encode(texts)
+    assert ids.tolist() == [i for text in sp.encode(texts) for i in text]
+    assert sizes.tolist() == [len(x) for x in sp.encode(texts)]
+    # an unknown word decodes to the name of its piece
+    assert exact.tolist() == [True, False, False, True, True, False, True, False]

@@ -6,13 +6,15 @@ Everything that reads characters works on these blocks, so that the memory of a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 CODE_POINTS = 0x110000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -24,14 +26,33 @@ def texts_of(column: pa.Array) -> list[str]:
 
 def blocks(texts: list[str], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts with about ``limit`` characters in all, with the number of the first."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield start, texts[start:i]
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, texts[start:]
+    for start, end in _cuts(map(len, texts), limit):
+        yield start, texts[start:end]
+
+
+def text_blocks(column: pa.Array, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """``blocks`` of a string array; null counts as empty. Only one block is held as Python strings."""
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False).tolist()
+    for start, end in _cuts(sizes, limit):
+        yield start, texts_of(column.slice(start, end - start))
+
+
+def _cuts(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    start, size, end = 0, 0, 0
+    for end, more in enumerate(sizes, 1):
+        if size and size + more > limit:
+            yield start, end - 1
+            start, size = end - 1, 0
+        size += more
+    if start < end:
+        yield start, end
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can. Python workers outlive their tasks, and wait
+    beside the JVM while it joins and sorts."""
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -35,6 +35,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -50,7 +51,8 @@ THREADS = 2
 WORDS_AT_ONCE = 500
 # new words that are encoded at a time: the library's results take many times the room of the ids kept
 LEARNT_AT_ONCE = 8_000
-CACHED_WORDS, CACHED_CHARS = 300_000, 4_000_000
+CACHED_WORDS, CACHED_CHARS = 150_000, 4_000_000
+CHARS_AT_ONCE = 1 << 19
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -191,6 +193,19 @@ def tokenizer_of(source: str | bytes):
     return build(read_model(source))
 
 
+def characters(piece: str, kind: int) -> int:
+    """Characters that a piece stands for. A character's first byte counts for it, the others for none; control and
+    unknown pieces have a length that no text reaches."""
+    if kind == BYTE:
+        return int(int(piece[3:5], 16) & 0xC0 != 0x80)
+    return len(piece) if kind in (NORMAL, USER) else 1 << 40
+
+
+def misspellings(words: list[str], spelt: list[str], blank: str) -> dict[str, str]:
+    """Words that are not what their ids decode to, markers read as ``blank``."""
+    return {w: t for w, t in zip(words, spelt) if t != w.replace(MARK, blank)}
+
+
 class WordCache:
     """Ids and spelling of the words that texts are cut into; each distinct word is encoded, checked and
     decoded once.
@@ -213,6 +228,7 @@ class WordCache:
         self.bare.decoder = decoders.Sequence(spelling)
         if self.cuts:
             self.core.pre_tokenizer = self.whole.pre_tokenizer
+        self.chars_of = np.array([characters(text, kind) for text, _, kind in model.pieces], np.int64)
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if self.cuts else (lambda text: [text])
         self.normal = (lambda text: MARK + text.replace(" ", MARK)) if self.cuts else (lambda text: text)
         self.clear()
@@ -225,52 +241,66 @@ class WordCache:
 
     def learn(self, words: list[str]) -> None:
         new = [w for w in dict.fromkeys(words) if w not in self.index]
-        for start in range(0, len(new), LEARNT_AT_ONCE):
-            self._learn_new(new[start : start + LEARNT_AT_ONCE])
-
-    def _learn_new(self, new: list[str]) -> None:
-        if self.cuts:
-            found = self.pieces_of(new)
-            spelt = self.bare.decode_batch(found, skip_special_tokens=False)
-        else:
-            found = encode_texts(new, self.source)
-            check_parity(new, found, self.source)
-            spelt = decode_ids(found, self.source)
-        self.misspelt.update((w, t) for w, t in zip(new, spelt) if t != w.replace(MARK, " " if self.cuts else MARK))
-        for w in new:
-            self.index[w] = len(self.index)
-            self.chars += len(w)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        if not new:
+            return
+        parts = [self._new_ids(new[start : start + LEARNT_AT_ONCE]) for start in range(0, len(new), LEARNT_AT_ONCE)]
+        sizes = np.concatenate([p[1] for p in parts])
+        for *_, misspelt in parts:
+            self.misspelt.update(misspelt)
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.chars += sum(map(len, new))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, *(p[0] for p in parts)])
         self.sizes = np.concatenate([self.sizes, sizes])
 
-    def pieces_of(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word, held against the library. Words are encoded many at a time: the cutting rule
-        parts them again, and the encoding says which id belongs to which word. A word of markers only
-        ends its group, because the next word's marker would belong to the same run."""
-        groups: list[list[int]] = [[]]
-        for i, word in enumerate(words):
-            groups[-1].append(i)
-            if len(groups[-1]) == WORDS_AT_ONCE or word.endswith(MARK):
-                groups.append([])
-        groups = [group for group in groups if group]
-        out: list[list[int]] = [[] for _ in words]
-        joined = ["".join(words[i] for i in group) for group in groups]
-        encoded = self.core.encode_batch(joined, add_special_tokens=False)
+    def _new_ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, dict[str, str]]:
+        """All ids of new words, the number of ids of each, and what the ids of misspelt ones decode to."""
+        if self.cuts:
+            return self.pieces_of(new)
+        found = encode_texts(new, self.source)
+        check_parity(new, found, self.source)
+        spelt = decode_ids(found, self.source)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes, misspellings(new, spelt, MARK)
+
+    def pieces_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, dict[str, str]]:
+        """Ids of words, held against the library, as ``_new_ids`` gives them. Words are encoded many at a time:
+        the cutting rule parts them again. A word of markers only ends its group, because the next word's marker
+        would belong to the same run.
+
+        Groups are decoded whole. Where a group decodes to its text and its pieces have as many characters as its
+        words, word by word, the lengths say which ids belong to which word, and each word is spelt by its ids. In
+        other groups a fuller encoding says it, and words are decoded one by one."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends = [i + 1 for i, word in enumerate(words) if word.endswith(MARK)]
+        groups: list[tuple[int, int]] = []
+        for start, end in zip([0, *ends], [*ends, len(words)]):
+            groups += [(s, min(s + WORDS_AT_ONCE, end)) for s in range(start, end, WORDS_AT_ONCE)]
+        joined = ["".join(words[s:e]) for s, e in groups]
+        found = [encoding.ids for encoding in self.core.encode_batch_fast(joined, add_special_tokens=False)]
         # the first marker is the one that the normaliser puts before a text; one blank alone is an empty text to it
         raw = [text[1:].replace(MARK, " ") if len(text) > 1 else None for text in joined]
         checked = [i for i, text in enumerate(raw) if text is not None]
-        check_parity([raw[i] for i in checked], [encoded[i].ids for i in checked], self.source)
-        for group, text, encoding in zip(groups, raw, encoded):
-            ids, of = encoding.ids, np.array(encoding.word_ids, np.int64)
-            if text is None:
-                # the marker alone follows a word; two of them are one run
-                check_parity(["a "], [self.core.encode(f"{MARK}a{MARK}", add_special_tokens=False).ids], self.source)
-            bounds = np.searchsorted(of, np.arange(len(group) + 1)).tolist()
-            for i, s, e in zip(group, bounds[:-1], bounds[1:]):
-                out[i] = ids[s:e]
-        return out
+        check_parity([raw[i] for i in checked], [found[i] for i in checked], self.source)
+        if len(checked) < len(raw):
+            # the marker alone follows a word; two of them are one run
+            check_parity(["a "], [self.core.encode(f"{MARK}a{MARK}", add_special_tokens=False).ids], self.source)
+        spelt = self.bare.decode_batch(found, skip_special_tokens=False)
+        flat, sizes, misspelt = [np.zeros(0, np.int32)], np.zeros(len(words), np.int64), {}
+        for (s, e), text, numbers, decoded in zip(groups, joined, found, spelt):
+            ids = np.array(numbers, np.int32)
+            flat.append(ids)
+            reach, word_ends = np.cumsum(self.chars_of[ids]), np.cumsum(lengths[s:e])
+            bounds = np.searchsorted(reach, word_ends, side="right")
+            if decoded == text.replace(MARK, " ") and (reach[bounds - 1] == word_ends).all():
+                sizes[s:e] = np.diff(bounds, prepend=0)
+                continue
+            of = self.core.encode(text, add_special_tokens=False).word_ids
+            bounds = np.searchsorted(np.array(of, np.int64), np.arange(e - s + 1))
+            sizes[s:e] = np.diff(bounds)
+            each = [numbers[x:y] for x, y in pairwise(bounds.tolist())]
+            misspelt |= misspellings(words[s:e], self.bare.decode_batch(each, skip_special_tokens=False), " ")
+        return np.concatenate(flat), sizes, misspelt
 
     def spelling(self, words: list[str]) -> str:
         """The text that the ids of words decode to. Decoding takes away the blank of the first marker."""
@@ -331,15 +361,19 @@ def encode(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())  # a model file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = cache_of(shared.value)
         for batch in batches:
             doc_ids, column = batch.column(0), batch.column(1)
-            for start, texts in bl.blocks(bl.texts_of(column)):
+            for start, texts in bl.text_blocks(column, CHARS_AT_ONCE):
                 missing = column.slice(start, len(texts)).is_null()
-                flat, sizes, exact = cache_of(shared.value).encode(texts)
+                flat, sizes, exact = words.encode(texts)
                 ids, same = bl.list_array(flat, sizes, pa.int32()), pa.array(exact)
                 if missing.true_count:
                     ids, same = pc.if_else(missing, None, ids), pc.if_else(missing, None, same)
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(start, len(texts)), ids, same], ["doc_id", "ids", "round_trip"])
+        # most words of a task are its own, and the worker may go on to other work
+        words.clear()
+        bl.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>, round_trip boolean")
 
