@@ -83,7 +83,7 @@ def train(docs: DataFrame, label: str = "lang", per_language: int = DOCS_PER_LAN
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for start, texts in bl.blocks(bl.texts_of(batch.column(1))):
+            for start, texts in bl.text_blocks(batch.column(1)):
                 bucket, _, _, letters = trigrams(texts)
                 of = np.repeat(np.array(names[start : start + len(texts)], object), np.diff(letters))
                 for name in sorted(set(names[start : start + len(texts)])):
@@ -92,6 +92,7 @@ def train(docs: DataFrame, label: str = "lang", per_language: int = DOCS_PER_LAN
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(seen), pa.string()), pa.array(seen), pa.array(n[seen])], ["name", "bucket", "n"]
                     )
+        bl.give_back()
 
     counted = chosen.mapInArrow(count, "name string, bucket bigint, n bigint").groupBy("name", "bucket").agg(F.sum("n").alias("n"))
     # at most languages x BUCKETS rows
@@ -171,11 +172,12 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in bl.blocks(bl.texts_of(batch.column(1))):
+            for start, texts in bl.text_blocks(batch.column(1)):
                 names, score = predict_texts(texts, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), pa.array(names), pa.array(score)], ["doc_id", "lang_pred", "score"]
                 )
+        bl.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
@@ -196,12 +198,13 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float) -> Data
         for batch in batches:
             names: list[str] = []
             scores: list[np.ndarray] = [np.zeros(0)]
-            for _, texts in bl.blocks(bl.texts_of(batch.column(text_at))):
+            for _, texts in bl.text_blocks(batch.column(text_at)):
                 found, score = predict_texts(texts, shared.value)
                 names += found
                 scores.append(score)
             columns = [pa.array(names, pa.string()) if i == lang_at else c for i, c in enumerate(batch.columns)]
             keep = (np.concatenate(scores) >= least) & (np.array(names, object) != UNDETERMINED)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
+        bl.give_back()
 
     return docs.mapInArrow(run, docs.schema)

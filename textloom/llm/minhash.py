@@ -154,7 +154,7 @@ def _sign(cfg: NearDupConfig):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, ids = batch.column(0), batch.column(2)
-            for start, texts in bl.blocks(bl.texts_of(batch.column(1))):
+            for start, texts in bl.text_blocks(batch.column(1)):
                 hashes, counts, lengths, whole = weighted_runs(texts, cfg.words)
                 sig = signatures(hashes, counts, lengths, cfg.registers)
                 sig_list = bl.list_array(sig.ravel(), np.where(lengths, cfg.registers, 0), pa.int32())
@@ -163,6 +163,7 @@ def _sign(cfg: NearDupConfig):
                 numbers = np.concatenate([whole.view(np.int64), packed_bits(sig, len(words))], axis=1)
                 columns = [pa.array(np.ascontiguousarray(column)) for column in numbers.T]
                 yield pa.RecordBatch.from_arrays([nodes.slice(start, len(texts)), ids.slice(start, len(texts)), *columns, sig_list], schema=schema)
+        bl.give_back()
 
     return run
 
@@ -172,7 +173,7 @@ def _runs_of(cfg: NearDupConfig):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in bl.blocks(bl.texts_of(batch.column(1))):
+            for start, texts in bl.text_blocks(batch.column(1)):
                 hashes, counts, lengths, _ = weighted_runs(texts, cfg.words)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -182,6 +183,7 @@ def _runs_of(cfg: NearDupConfig):
                     ],
                     schema=schema,
                 )
+        bl.give_back()
 
     return run
 

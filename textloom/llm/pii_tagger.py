@@ -29,6 +29,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -478,7 +479,7 @@ def find(docs: DataFrame, model: Tagger) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
         for batch in batches:
-            for start, texts in bl.blocks(bl.texts_of(batch.column(1)), bl.BLOCK_CHARS // 2):
+            for start, texts in bl.text_blocks(batch.column(1), bl.BLOCK_CHARS // 2):
                 base = [base_spans(text) for text in texts]
                 tags = tag_texts(shared.value, texts, table)
                 full = [merged(text, b, tagged_spans(t)) for text, b, t in zip(texts, base, tags)]
@@ -487,6 +488,7 @@ def find(docs: DataFrame, model: Tagger) -> DataFrame:
                     [batch.column(0).slice(start, len(texts)), *[pa.array(side, pa.list_(pa.int32())) for side in flat]],
                     ["doc_id", "base", "spans"],
                 )
+        bl.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, base array<int>, spans array<int>")
 
@@ -511,11 +513,14 @@ def masked(docs: DataFrame, model: Tagger) -> DataFrame:
         table = class_table()
         for batch in batches:
             column = batch.column(at)
-            texts, out = bl.texts_of(column), []
-            for _, part in bl.blocks(texts, bl.BLOCK_CHARS // 2):
+            out = [pa.array([], pa.string())]
+            for _, part in bl.text_blocks(column, bl.BLOCK_CHARS // 2):
+                done = []
                 for text, tags in zip(part, tag_texts(shared.value, part, table)):
-                    out.append(replaced(text, merged(text, base_spans(text), tagged_spans(tags))))
-            kept = pa.array(out, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
+                    done.append(replaced(text, merged(text, base_spans(text), tagged_spans(tags))))
+                out.append(pa.array(done, pa.string()))
+            kept = pc.if_else(column.is_null(), pa.scalar(None, pa.string()), pa.concat_arrays(out))
             yield pa.RecordBatch.from_arrays([kept if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+        bl.give_back()
 
     return docs.mapInArrow(run, docs.schema)
