@@ -21,3 +21,23 @@ def test_a_column_is_not_turned_into_strings_at_once(monkeypatch):
     monkeypatch.setattr(bl, "texts_of", lambda column: held.append(len(column)) or real(column))
     assert sum(len(part) for _, part in bl.text_blocks(pa.array(["x" * 10] * 1000), 100)) == 1000
     assert max(held) == 10
+
+
+def test_memory_is_returned_after_the_last_batch_is_dropped(monkeypatch):
+    order = []
+
+    class Pool:
+        def release_unused(self):
+            order.append("returned")
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+
+    @bl.give_back
+    def run(batches):
+        try:
+            for batch in batches:
+                yield batch
+        finally:
+            order.append("ended")
+
+    assert list(run(iter([1, 2]))) == [1, 2] and order == ["ended", "returned"]

@@ -7,7 +7,7 @@ Everything that reads characters works on these blocks, so that the memory of a
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -48,11 +48,17 @@ def _cuts(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def give_back() -> None:
-    """Return freed memory to the system, where the C library can. Python workers outlive their tasks, and wait
-    beside the JVM while it joins and sorts."""
-    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-        libc.malloc_trim(0)
+def give_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, a function over a task's batches, that returns freed memory to the system at its end, where Arrow and
+    the C library can. Python workers outlive their tasks, and wait beside the JVM while it joins and sorts."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return whole
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +119,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each run of characters, from prefix sums of a polynomial modulo 2**64."""
-    size = 1 << max(20, int(len(codes)).bit_length())
+    size = 1 << max(19, int(len(codes)).bit_length())
     up, down = _powers(BASE, size), _powers(INVERSE, size)
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(mix(codes.astype(np.uint64) + GOLDEN) * up[: len(codes)], out=sums[1:])

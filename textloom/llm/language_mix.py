@@ -80,6 +80,7 @@ def train(docs: DataFrame, label: str = "lang", per_language: int = DOCS_PER_LAN
     chosen = known.join(F.broadcast(first.select("name", "place")), ["name", "place"])
     chosen = chosen.groupBy("name", "place").agg(F.first("text").alias("text")).select("name", "text")
 
+    @bl.give_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
@@ -92,7 +93,6 @@ def train(docs: DataFrame, label: str = "lang", per_language: int = DOCS_PER_LAN
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(seen), pa.string()), pa.array(seen), pa.array(n[seen])], ["name", "bucket", "n"]
                     )
-        bl.give_back()
 
     counted = chosen.mapInArrow(count, "name string, bucket bigint, n bigint").groupBy("name", "bucket").agg(F.sum("n").alias("n"))
     # at most languages x BUCKETS rows
@@ -170,6 +170,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, lang_pred, score) from rows of (doc_id, text); nothing but the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS numbers
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in bl.text_blocks(batch.column(1)):
@@ -177,7 +178,6 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), pa.array(names), pa.array(score)], ["doc_id", "lang_pred", "score"]
                 )
-        bl.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
@@ -194,6 +194,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names: list[str] = []
@@ -205,6 +206,5 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float) -> Data
             columns = [pa.array(names, pa.string()) if i == lang_at else c for i, c in enumerate(batch.columns)]
             keep = (np.concatenate(scores) >= least) & (np.array(names, object) != UNDETERMINED)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
-        bl.give_back()
 
     return docs.mapInArrow(run, docs.schema)

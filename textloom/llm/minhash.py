@@ -151,6 +151,7 @@ def _sign(cfg: NearDupConfig):
     longs = [(name, pa.int64()) for name in ("node", "doc_id", "h1", "h2", *words)]
     schema = pa.schema([*longs, ("sig", pa.list_(pa.int32()))])
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, ids = batch.column(0), batch.column(2)
@@ -163,7 +164,6 @@ def _sign(cfg: NearDupConfig):
                 numbers = np.concatenate([whole.view(np.int64), packed_bits(sig, len(words))], axis=1)
                 columns = [pa.array(np.ascontiguousarray(column)) for column in numbers.T]
                 yield pa.RecordBatch.from_arrays([nodes.slice(start, len(texts)), ids.slice(start, len(texts)), *columns, sig_list], schema=schema)
-        bl.give_back()
 
     return run
 
@@ -171,6 +171,7 @@ def _sign(cfg: NearDupConfig):
 def _runs_of(cfg: NearDupConfig):
     schema = pa.schema([("node", pa.int64()), ("runs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in bl.text_blocks(batch.column(1)):
@@ -183,7 +184,6 @@ def _runs_of(cfg: NearDupConfig):
                     ],
                     schema=schema,
                 )
-        bl.give_back()
 
     return run
 

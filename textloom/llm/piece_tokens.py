@@ -360,6 +360,7 @@ def encode(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     the text itself back. The model file is read by the driver and sent to the executors."""
     shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())  # a model file
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = cache_of(shared.value)
         for batch in batches:
@@ -373,7 +374,6 @@ def encode(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(start, len(texts)), ids, same], ["doc_id", "ids", "round_trip"])
         # most words of a task are its own, and the worker may go on to other work
         words.clear()
-        bl.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>, round_trip boolean")
 

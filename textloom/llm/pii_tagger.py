@@ -476,6 +476,7 @@ def find(docs: DataFrame, model: Tagger) -> DataFrame:
     """(doc_id, base, spans) for each row: flat arrays of kind, start, end."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
         for batch in batches:
@@ -488,7 +489,6 @@ def find(docs: DataFrame, model: Tagger) -> DataFrame:
                     [batch.column(0).slice(start, len(texts)), *[pa.array(side, pa.list_(pa.int32())) for side in flat]],
                     ["doc_id", "base", "spans"],
                 )
-        bl.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, base array<int>, spans array<int>")
 
@@ -509,6 +509,7 @@ def masked(docs: DataFrame, model: Tagger) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @bl.give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
         for batch in batches:
@@ -521,6 +522,5 @@ def masked(docs: DataFrame, model: Tagger) -> DataFrame:
                 out.append(pa.array(done, pa.string()))
             kept = pc.if_else(column.is_null(), pa.scalar(None, pa.string()), pa.concat_arrays(out))
             yield pa.RecordBatch.from_arrays([kept if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
-        bl.give_back()
 
     return docs.mapInArrow(run, docs.schema)
