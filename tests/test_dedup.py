@@ -267,3 +267,22 @@ def test_stream_equals_batch_and_survives_replay(spark, documents, tmp_path):
         query.awaitTermination()
         got = sorted(r.doc_id for r in spark.read.parquet(out).collect())
         assert got == sorted(r.doc_id for r in corpus_prep.unique_ids(docs, CorpusConfig()).collect())
+
+
+def test_values_of_large_buckets_are_dealt_and_not_sent_through_the_driver(spark, tmp_path):
+    rng = random.Random(21)
+    shared = [rng.randrange(10**6) for _ in range(40)]
+    # one bucket; each two documents share 40 of 64 values, and pairs of neighbours 20 more
+    rows = []
+    for i in range(3000):
+        own = random.Random(i // 2)
+        rows.append((1, i, shared + [own.randrange(10**6, 10**9) for _ in range(20)] + [rng.randrange(10**6, 10**9) for _ in range(4)]))
+    spark.createDataFrame(rows, "bucket bigint, id bigint, sig array<int>").write.parquet(f"{tmp_path}/members")
+    members = spark.read.parquet(f"{tmp_path}/members")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "2m")
+    try:
+        cut = dedup._cut(members, members.select("id", "sig"), DedupConfig(), dedup.SMALL_BUCKET, dedup.HOT_ROWS)
+        by_bucket = cut.groupBy("bucket").agg(F.sort_array(F.collect_set("id")).alias("ids")).select("ids").distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert sorted(r.ids for r in by_bucket) == [[i, i + 1] for i in range(0, 3000, 2)]

@@ -131,3 +131,20 @@ def test_slices_have_the_places_of_whole_sequences(spark):
     key = lambda r: (r.seq_id, r.split, r.shard_id, r.seq_in_shard, list(r.tokens))
     got = assembled(placed_slices(docs, offsets, 8, count, 8, 0.2)).collect()
     assert count > 20 and sorted(map(key, got)) == sorted(map(key, whole.collect()))
+
+
+def test_exploded_cuts_are_dealt_and_not_sent_through_the_driver(spark, tmp_path):
+    # 20 rows of offsets stand for 100,000 cuts, which Spark takes for as small as those rows
+    rows = spark.range(20).select(F.col("id").alias("doc_id"), F.sequence(F.lit(0), F.lit(19_999)).alias("tokens"))
+    rows.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    token_offsets(docs.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))).write.parquet(f"{tmp_path}/offsets")
+    offsets = spark.read.parquet(f"{tmp_path}/offsets")
+    parts, packed = placed_slices(docs, offsets, 4, 100_000, 512), pack(docs, 4, offsets=offsets)
+    for df, joins in ((parts, ["doc_id", "seq_id"]), (packed, ["doc_id"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"BroadcastHashJoin \[(doc|seq)_id#", plan)
+        assert sorted(re.findall(r"SortMergeJoin \[(doc_id|seq_id)#", plan)) == joins
+    found = parts.agg(F.count("*"), F.sum(F.size("tokens")), F.countDistinct("seq_id")).first()
+    assert tuple(found) == (100_000, 400_000, 100_000)
+    assert tuple(packed.agg(F.count("*"), F.min(F.size("tokens"))).first()) == (100_000, 4)

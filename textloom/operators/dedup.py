@@ -233,7 +233,7 @@ def _cut(members: DataFrame, reps: DataFrame, cfg: DedupConfig, small_bucket: in
     common = counts.filter("n = of").groupBy("bucket").agg(F.count(F.lit(1)).alias("common"))
     alike = common.filter(F.col("common") >= cfg.permutations - differing).select("bucket")
     others = counts.filter("n < of").join(alike, "bucket", "left_anti").select("key", "n")
-    met = skew_join(values.select("bucket", "id", "key"), others, "key", hot_keys(others, "key", task_rows=hot_rows))
+    met = skew_join(values.select("bucket", "id", "key"), others, "key", hot_keys(others, "key", task_rows=hot_rows), exploded=True)
     rarest = F.slice(F.sort_array(F.collect_list(F.struct("n", "key"))), 1, differing + 1)
     finer = met.groupBy("bucket", "id").agg(rarest.alias("keys")).select("bucket", "id", F.explode("keys").alias("k"))
     finer = materialize(finer.filter("k.n > 1").select("bucket", "id", F.col("k.key").alias("key")), "finer")

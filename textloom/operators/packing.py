@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.hashing import unit_hash
 from textloom.functions.text import int_div
 from textloom.operators.ordering import running_total
+from textloom.plans.skew import dealt_by_key
 
 
 def token_offsets(lengths: DataFrame, order: str = "doc_id") -> DataFrame:
@@ -71,7 +72,7 @@ def slices(docs: DataFrame, cuts: DataFrame, order: str = "doc_id", tokens: str
     """
     kept = [c for c in cuts.columns if c not in (order, "from", "length")]
     lists = cuts.groupBy(order).agg(F.collect_list(F.struct(*kept, "from", "length")).alias("_cuts"))
-    met = docs.select(order, F.col(tokens).alias("_tokens")).join(lists, order)
+    met = docs.select(order, F.col(tokens).alias("_tokens")).join(dealt_by_key(lists), order)
     part = lambda c: F.struct(*[c[k].alias(k) for k in kept], F.slice("_tokens", c["from"] + 1, c["length"]).alias("tokens"))
     return met.select(F.inline(F.transform("_cuts", part)))
 
@@ -94,7 +95,7 @@ def placed_slices(
     """
     ids = docs.sparkSession.range(count).withColumnRenamed("id", "seq_id")
     places = place_sequences(ids, shard_sequences, val_fraction, seed)
-    return slices(docs, slice_plan(offsets, seq_len, count, order).join(places, "seq_id"), order)
+    return slices(docs, dealt_by_key(slice_plan(offsets, seq_len, count, order)).join(places, "seq_id"), order)
 
 
 def assembled(parts: DataFrame) -> DataFrame:

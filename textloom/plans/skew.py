@@ -25,6 +25,14 @@ def key_sizes(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def dealt_by_key(df: DataFrame) -> DataFrame:
+    """``df`` for a join that deals both sides by the key.
+
+    Spark takes exploded rows for no more than the file they come from, and would send them whole through the driver.
+    """
+    return df.hint("merge")
+
+
 def skew_join(
     big: DataFrame,
     small: DataFrame,
@@ -32,14 +40,17 @@ def skew_join(
     hot: DataFrame | None,
     how: str = "inner",
     condition: Column | None = None,
+    exploded: bool = False,
 ) -> DataFrame:
     """Join ``big`` with ``small``, which has a bounded number of rows per key.
 
     Rows of a hot key are dealt over several tasks, and the few matching rows of ``small`` are copied
     to each of them. All other rows take the ordinary join. ``condition`` filters inner matches.
+    ``exploded`` says that ``big`` holds many rows for one of its table; it is then dealt, see ``dealt_by_key``.
     """
+    whole = dealt_by_key if exploded else (lambda df: df)
     if hot is None:
-        out = big.join(small, key, how)
+        out = whole(big).join(small, key, how)
     else:
         # at most rows / task_rows keys, see hot_keys
         hot = F.broadcast(hot)
@@ -47,7 +58,7 @@ def skew_join(
         dealt = big.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*big.columns), parts)).drop("_parts")
         every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
         copied = small.join(hot, key, "left").withColumn("_part", every).drop("_parts")
-        out = dealt.join(copied, [key, "_part"], how).drop("_part")
+        out = whole(dealt).join(copied, [key, "_part"], how).drop("_part")
     return out if condition is None else out.filter(condition)
 
 
